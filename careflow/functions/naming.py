@@ -41,6 +41,12 @@ def first_column(columns: Iterable[str], keywords: Sequence[str]) -> str | None:
     return next(iter(find_columns(columns, keywords)), None)
 
 
+def locate(columns: Sequence[str], lookup: Sequence) -> str | None:
+    """First column for a lookup: keywords, or several keyword lists tried in turn."""
+    choices = [lookup] if isinstance(lookup[0], str) else lookup
+    return next(filter(None, (first_column(columns, keywords) for keywords in choices)), None)
+
+
 def resolve_column(columns: Iterable[str], keywords: Sequence[str]) -> str:
     """As ``first_column``, but a missing column is an error."""
     found = first_column(columns, keywords)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow import vocab
-from careflow.functions.naming import clean_name, first_column, quoted
+from careflow.functions.naming import clean_name, locate, quoted
 from careflow.functions.temporal import as_timestamp, parse_text_timestamp, render_timestamp
 from careflow.schemas import ROW_ID, SOURCE_RANK, target_type
 
@@ -130,22 +130,30 @@ def map_columns(df: DataFrame, target: Sequence[str], rules: Sequence[Rule]) ->
 
 
 # Rows scanned from workbooks with uneven headers arrive with their fields already
-# located, file by file, under this prefix; MISSING lists the fields a file lacks.
+# located, file by file, under this prefix.  MISSING lists what a row's file lacks:
+# required fields and sheets.
 FIELD_PREFIX = "@"
-MISSING = "_missing_fields"
+MISSING = "_missing"
+
+
+def rows_having(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Drop rows of files that lack one of the named fields or sheets."""
+    if MISSING not in df.columns:
+        return df
+    return df.filter(~F.arrays_overlap(F.col(MISSING), F.array(*map(F.lit, names))))
 
 
 class Fields:
     """Input columns found by keyword: ``fields["age"]`` is a text Column or None."""
 
-    def __init__(self, df: DataFrame, lookups: Mapping[str, Sequence[str]]):
+    def __init__(self, df: DataFrame, lookups: Mapping[str, Sequence]):
         self.df = df
         own = [c for c in df.columns if c not in ROW_ID and not c.startswith(FIELD_PREFIX)]
         self.names = {
             field: FIELD_PREFIX + field
             if FIELD_PREFIX + field in df.columns
-            else first_column(own, keywords)
-            for field, keywords in lookups.items()
+            else locate(own, lookup)
+            for field, lookup in lookups.items()
         }
 
     def __getitem__(self, field: str) -> Column | None:
@@ -163,10 +171,7 @@ class Fields:
         """Input rows, or none where a required column does not exist."""
         if any(self.names[f] is None for f in required):
             return self.df.filter(F.lit(False))
-        if MISSING in self.df.columns:
-            lacking = F.arrays_overlap(F.col(MISSING), F.array(*map(F.lit, required)))
-            return self.df.filter(~lacking)
-        return self.df
+        return rows_having(self.df, required)
 
 
 def text_or_null(column: Column | None) -> Column:

@@ -51,9 +51,8 @@ LOOKUPS = {
     "visit_date": vocab.VISIT_DATE,
 }
 INTENT_LOOKUPS = LOOKUPS | {
-    # A column of diagnosis text, not one of codes, where there is a choice.
-    "diagnosis_text": ("诊断（文字）", "诊断文字"),
-    "patient_id": (*vocab.PATIENT_ID, vocab.PATIENT_ID_ALIAS),
+    "diagnosis": vocab.DIAGNOSIS_TEXT_FIRST,
+    "patient_id": vocab.ANY_PATIENT_ID,
 }
 
 
@@ -77,7 +76,6 @@ def extract_diagnoses(
             fields.date_rule(("就诊日期", "开始日期", "门诊日期"), "visit_date"),
         ]
     else:
-        text = text if fields["diagnosis_text"] is None else fields["diagnosis_text"]
         words, icd = text_or_null(text), text_or_null(code)
         respiratory = classify.respiratory_flag(icd)
         rules = [

@@ -24,9 +24,11 @@ TEST_LOOKUPS = {
     "patient_id": vocab.PATIENT_ID,
     "test_date": vocab.TEST_DATE,
 }
-ALIASES = (*vocab.PATIENT_ID, vocab.PATIENT_ID_ALIAS)
-# Diagnosis text comes before the code column, which also holds the word for diagnosis.
-TEXT_FIRST = ("诊断（文字）", "诊断文字")
+INTENT_DIAGNOSIS_LOOKUPS = DIAGNOSIS_LOOKUPS | {
+    "diagnosis": vocab.DIAGNOSIS_TEXT_FIRST,
+    "patient_id": vocab.ANY_PATIENT_ID,
+}
+INTENT_TEST_LOOKUPS = TEST_LOOKUPS | {"patient_id": vocab.ANY_PATIENT_ID}
 
 
 def diagnosed_cases(
@@ -37,13 +39,8 @@ def diagnosed_cases(
     compat: bool = False,
 ) -> DataFrame:
     """Visits whose diagnosis names the disease."""
-    lookups = DIAGNOSIS_LOOKUPS if compat else DIAGNOSIS_LOOKUPS | {
-        "patient_id": ALIASES, "diagnosis_text": TEXT_FIRST,
-    }
-    fields = Fields(df, lookups)
+    fields = Fields(df, DIAGNOSIS_LOOKUPS if compat else INTENT_DIAGNOSIS_LOOKUPS)
     text = fields["diagnosis"]
-    if not compat and fields["diagnosis_text"] is not None:
-        text = fields["diagnosis_text"]
     rows = fields.rows_with("diagnosis", "patient_id")
     if text is not None:
         rows = rows.filter(classify.contains_any(text, keywords))
@@ -65,7 +62,7 @@ def tested_cases(
     compat: bool = False,
 ) -> DataFrame:
     """Tests for the disease, with the infection status that the result means."""
-    fields = Fields(df, TEST_LOOKUPS if compat else TEST_LOOKUPS | {"patient_id": ALIASES})
+    fields = Fields(df, TEST_LOOKUPS if compat else INTENT_TEST_LOOKUPS)
     rows = fields.rows_with("test_name", "test_result", "patient_id")
     name, result = fields["test_name"], fields["test_result"]
     if name is not None:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from careflow import vocab
 from careflow.functions import classify
 from careflow.operators.projection import Fields, Rule, lineage, map_columns
-from careflow.plans.infections import ALIASES
 from careflow.schemas import HEADERS, LIS04, LIS05
 
 DRUG_LOOKUPS = {
@@ -29,6 +28,8 @@ LAB_LOOKUPS = {
     "test_method": vocab.TEST_METHOD,
     "test_department": vocab.TEST_DEPARTMENT,
 }
+INTENT_DRUG_LOOKUPS = DRUG_LOOKUPS | {"patient_id": vocab.ANY_PATIENT_ID}
+INTENT_LAB_LOOKUPS = LAB_LOOKUPS | {"patient_id": vocab.ANY_PATIENT_ID}
 
 
 def antiviral_orders(
@@ -38,7 +39,7 @@ def antiviral_orders(
     compat: bool = False,
 ) -> DataFrame:
     """Orders whose drug name holds an antiviral keyword (case-sensitive)."""
-    fields = Fields(df, DRUG_LOOKUPS if compat else DRUG_LOOKUPS | {"patient_id": ALIASES})
+    fields = Fields(df, DRUG_LOOKUPS if compat else INTENT_DRUG_LOOKUPS)
     rows = fields.rows_with("drug_name", "patient_id")
     drug = fields["drug_name"]
     if drug is not None:
@@ -62,7 +63,7 @@ def lab_tests(
     compat: bool = False,
 ) -> DataFrame:
     """Tests for the disease with result type and (recorded or implied) method."""
-    fields = Fields(df, LAB_LOOKUPS if compat else LAB_LOOKUPS | {"patient_id": ALIASES})
+    fields = Fields(df, LAB_LOOKUPS if compat else INTENT_LAB_LOOKUPS)
     rows = fields.rows_with("test_name", "test_result", "patient_id")
     name, result = fields["test_name"], fields["test_result"]
     if name is not None:

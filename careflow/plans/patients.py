@@ -34,6 +34,8 @@ PATIENT_LOOKUPS = {
     "admission_date": vocab.ADMISSION_DATE,
     "latest_date": vocab.LATEST_DATE,
 }
+INTENT_POPULATION_LOOKUPS = POPULATION_LOOKUPS | {"patient_id": vocab.ANY_PATIENT_ID}
+INTENT_PATIENT_LOOKUPS = PATIENT_LOOKUPS | {"unique_patient_id": vocab.ANY_UNIQUE_PATIENT_ID}
 
 
 def all_patients(outpatients: DataFrame, inpatients: DataFrame) -> DataFrame:
@@ -48,10 +50,7 @@ def population_split(
 
     The bands and the categories cut age at different years; both are kept.
     """
-    lookups = POPULATION_LOOKUPS if compat else POPULATION_LOOKUPS | {
-        "patient_id": (*vocab.PATIENT_ID, vocab.PATIENT_ID_ALIAS)
-    }
-    fields = Fields(patients, lookups)
+    fields = Fields(patients, POPULATION_LOOKUPS if compat else INTENT_POPULATION_LOOKUPS)
     rows = fields.rows_with("patient_id")
     age = text_or_null(fields["age"])
     gender = classify.text_or_blank(text_or_null(fields["gender"]))
@@ -85,10 +84,7 @@ def unique_patients(
     candidate and partial counts per patient, so a patient with most of the rows costs
     one row per task in the shuffle.
     """
-    lookups = PATIENT_LOOKUPS if compat else PATIENT_LOOKUPS | {
-        "unique_patient_id": (*vocab.UNIQUE_PATIENT_ID, vocab.PATIENT_ID_ALIAS)
-    }
-    fields = Fields(patients, lookups)
+    fields = Fields(patients, PATIENT_LOOKUPS if compat else INTENT_PATIENT_LOOKUPS)
 
     def blank(field: str) -> Column:
         return classify.text_or_blank(text_or_null(fields[field]))
@@ -144,10 +140,9 @@ def unique_patients(
 
 def patient_ids(patients: DataFrame, compat: bool = False) -> DataFrame:
     """Distinct known patient IDs."""
-    keywords = vocab.UNIQUE_PATIENT_ID if compat else (*vocab.UNIQUE_PATIENT_ID, vocab.PATIENT_ID_ALIAS)
-    fields = Fields(patients, {"id": keywords})
-    rows = fields.rows_with("id")
-    return rows.select(text_or_null(fields["id"]).alias("患者ID")).dropna().distinct()
+    fields = Fields(patients, PATIENT_LOOKUPS if compat else INTENT_PATIENT_LOOKUPS)
+    rows = fields.rows_with("unique_patient_id")
+    return rows.select(text_or_null(fields["unique_patient_id"]).alias("患者ID")).dropna().distinct()
 
 
 def population_labels(patients: DataFrame, age: str, gender: str) -> DataFrame:

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from careflow import schemas, vocab
 from careflow.functions import classify
-from careflow.functions.naming import clean_name, first_column, quoted
+from careflow.functions.naming import clean_name, quoted
 from careflow.functions.temporal import as_timestamp
 from careflow.operators import dedup
-from careflow.operators.projection import align, lineage, with_source_rank
+from careflow.operators.projection import Fields, align, lineage, with_source_rank
 from careflow.operators.union import union_aligned
 from careflow.schemas import HEADERS, LIS01, SOURCE_FILE
 
 VISIT_TS, VISIT_DAY = "_visit_ts", "_visit_day"
 CODE = "患者唯一编码"
+LOOKUPS = {"visit_patient": vocab.VISIT_PATIENT_ID}
 
 
 def _one_source(
@@ -28,10 +29,10 @@ def _one_source(
     key = clean_name if clean else str
     have = {key(c): c for c in reversed(df.columns)}
     renamed = dict(dates)
-    if not compat and key("患者编号") not in have:
-        alias = first_column(df.columns, vocab.PATIENT_ID)
-        if alias is not None:
-            renamed["患者编号"] = alias
+    if not compat:
+        patient = Fields(df, LOOKUPS).names["visit_patient"]
+        if patient is not None:
+            renamed["患者编号"] = patient
     ranked = with_source_rank(df, rank)
     start = have.get(key(renamed.get("就诊日期", "就诊日期")))
     ts = F.lit(None).cast("timestamp_ntz") if start is None else as_timestamp(df, start)

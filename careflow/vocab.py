@@ -54,3 +54,10 @@ CONTACT = ("联系", "电话", "手机", "联系方式")
 ADDRESS = ("地址", "住址", "家庭住址")
 LATEST_DATE = ("日期", "时间", "就诊日期", "入院日期")
 ADMISSION_DATE = ("入院日期",)
+
+# Lookups with the intended meaning: alternatives are tried in turn.
+ANY_PATIENT_ID = (PATIENT_ID, (PATIENT_ID_ALIAS,))
+ANY_UNIQUE_PATIENT_ID = (UNIQUE_PATIENT_ID, (PATIENT_ID_ALIAS,))
+VISIT_PATIENT_ID = ((PATIENT_ID_ALIAS,), PATIENT_ID)
+# Diagnosis text comes before the code column, whose name holds the same word.
+DIAGNOSIS_TEXT_FIRST = (("诊断（文字）", "诊断文字"), DIAGNOSIS)
