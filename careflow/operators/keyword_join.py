@@ -12,8 +12,11 @@ from careflow.functions.naming import quoted
 # The nested-loop plan tests every term against every text and ships all terms to every
 # executor, so it is for short lists only.
 MAX_BROADCAST_TERMS = 500
-# Bounds the bytes of the broadcast together with the number of terms.
-MAX_TERM_CHARS = 200
+MAX_BROADCAST_BYTES = 4 << 20
+
+# A long vocabulary is looked up by the first characters of its terms: as many as the
+# largest of these that a term has.
+ANCHOR_LENGTHS = (1, 2, 4, 8, 16, 32)
 
 
 def keyword_semijoin(
@@ -26,48 +29,58 @@ def keyword_semijoin(
 ) -> DataFrame:
     """Left-semi join on ``contains(text, term)``.
 
-    A short vocabulary is counted, then broadcast.  A long one goes through
-    ``_substring_semijoin``, which is exact too and shuffles on the term instead.
-    ``row_key`` must identify a row of ``df``.
+    A short vocabulary is measured, then broadcast.  A long one goes through
+    ``_anchored_semijoin``, which is exact too and shuffles instead.  ``row_key`` must
+    identify a row of ``df``.
     """
-    terms = (
-        vocabulary.select(F.col(quoted(term)).alias("_term")).dropna().distinct()
-    )
-    too_big = terms.select(
-        (F.count("*") > max_broadcast_terms)
-        | (F.coalesce(F.max(F.length("_term")), F.lit(0)) > MAX_TERM_CHARS)
-    ).first()[0]
-    if too_big:
-        return _substring_semijoin(df, text, terms, row_key)
-    return df.join(
-        F.broadcast(terms), F.contains(F.col(quoted(text)), F.col("_term")), "left_semi"
-    )
+    terms = vocabulary.select(F.col(quoted(term)).alias("_term")).dropna().distinct()
+    size = terms.agg(
+        F.count("*").alias("n"),
+        F.sum(F.octet_length("_term")).alias("bytes"),
+        F.count_if(F.col("_term") == "").alias("blank"),
+    ).first()
+    if size.blank:
+        return df.filter(F.col(quoted(text)).isNotNull())
+    if size.n <= max_broadcast_terms and (size.bytes or 0) <= MAX_BROADCAST_BYTES:
+        return df.join(
+            F.broadcast(terms), F.contains(F.col(quoted(text)), F.col("_term")), "left_semi"
+        )
+    return _anchored_semijoin(df, text, terms, row_key)
 
 
-def _substring_semijoin(
+def _anchored_semijoin(
     df: DataFrame, text: str, terms: DataFrame, row_key: Sequence[str]
 ) -> DataFrame:
-    """Equi-join the substrings of each text, of every length a term has, with the terms.
+    """Find where a term could start, then look up the pieces of text that start there.
 
-    The distinct lengths are the only thing that reaches the driver.  A substring common
-    to many rows is a hot key of the term join, where AQE splits it: the other side
-    holds each term once.
+    Substrings of the (at most six) anchor lengths are joined with the terms' anchors.
+    An anchor is there once, with the lengths its terms have, so terms that start alike
+    are never paired with each text.  The piece of each such length is then looked up in
+    the vocabulary.  All three joins are equi-joins whose vocabulary side has one row
+    per key; AQE splits a substring that is common to many texts.
     """
-    lengths = [r[0] for r in terms.select(F.length("_term")).distinct().collect()]
-    source = F.col(quoted(text))
-    keyed = df.filter(source.isNotNull()).select(*row_key, source.alias("_text"))
-    spans = keyed.select(
-        *row_key, "_text", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])).alias("_len")
-    ).filter(F.length("_text") >= F.col("_len"))
-    grams = spans.select(
-        *row_key,
-        "_text",
-        "_len",
-        F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)).alias("_at"),
-    ).select(*row_key, F.expr("substr(_text, _at, _len)").alias("_gram"))
-    matched = (
-        grams.join(terms.hint("shuffle_hash"), F.col("_gram") == F.col("_term"), "left_semi")
-        .select(*row_key)
-        .distinct()
+    length = F.length("_term")
+    anchor = F.greatest(F.lit(1), *[F.when(length >= n, F.lit(n)) for n in ANCHOR_LENGTHS])
+    anchored = terms.select("_term", length.alias("_n"), anchor.alias("_a"))
+    used = sorted(r[0] for r in anchored.select("_a").distinct().collect())
+    anchors = anchored.groupBy(F.left("_term", F.col("_a")).alias("_anchor")).agg(
+        F.collect_set("_n").alias("_lengths")
+    )
+    texts = df.select(*row_key, F.col(quoted(text)).alias("_text")).dropna(subset=["_text"])
+    grams = (
+        texts.select(*row_key, "_text", F.explode(F.array(*map(F.lit, used))).alias("_a"))
+        .filter(F.length("_text") >= F.col("_a"))
+        .select(
+            *row_key, "_text", "_a",
+            F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_a") + 1)).alias("_at"),
+        )
+        .select(*row_key, "_at", F.expr("substr(_text, _at, _a)").alias("_gram"))
+    )
+    starts = grams.join(anchors, F.col("_gram") == F.col("_anchor")).select(
+        *row_key, "_at", F.explode("_lengths").alias("_n")
+    )
+    pieces = starts.join(texts, list(row_key)).select(
+        *row_key, F.expr("substr(_text, _at, _n)").alias("_piece")
     )
-    return df.join(matched, list(row_key), "left_semi")
+    matched = pieces.join(terms, F.col("_piece") == F.col("_term"), "left_semi")
+    return df.join(matched.select(*row_key).distinct(), list(row_key), "left_semi")
