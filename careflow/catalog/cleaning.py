@@ -94,9 +94,19 @@ def passages(spark, sf_dir):
     return _passages(spark, sf_dir)
 
 
-@query("keyword_semijoin_large", _PASSAGES_SQL)
-def passages_large(spark, sf_dir):
-    return _passages(spark, sf_dir, max_broadcast_terms=0)
+@query("keyword_semijoin_nested", _PASSAGES_SQL)
+def passages_nested(spark, sf_dir):
+    return _passages(spark, sf_dir, max_nested_terms=100_000)
+
+
+@query("keyword_semijoin_broadcast", _PASSAGES_SQL)
+def passages_broadcast(spark, sf_dir):
+    return _passages(spark, sf_dir, max_nested_terms=0)
+
+
+@query("keyword_semijoin_shuffled", _PASSAGES_SQL)
+def passages_shuffled(spark, sf_dir):
+    return _passages(spark, sf_dir, max_nested_terms=0, max_broadcast_terms=0)
 
 
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careflow.functions.naming import quoted
 
-# The nested-loop plan tests every term against every text and ships all terms to every
-# executor, so it is for short lists only.
-MAX_BROADCAST_TERMS = 500
-MAX_BROADCAST_BYTES = 4 << 20
+try:
+    import ahocorasick
+except ImportError:  # long vocabularies are then always shuffled
+    ahocorasick = None
 
-# A long vocabulary is looked up by the first characters of its terms: as many as the
+# Testing every term against every text is for short lists only.
+MAX_NESTED_TERMS = 64
+# What is broadcast is measured first.
+MAX_BROADCAST_TERMS = 200_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+# A longer vocabulary is looked up by the first characters of its terms: as many as the
 # largest of these that a term has.
 ANCHOR_LENGTHS = (1, 2, 4, 8, 16, 32)
+PART_CHARS = 256
 
 
 def keyword_semijoin(
@@ -25,62 +33,123 @@ def keyword_semijoin(
     vocabulary: DataFrame,
     term: str,
     row_key: Sequence[str],
+    max_nested_terms: int = MAX_NESTED_TERMS,
     max_broadcast_terms: int = MAX_BROADCAST_TERMS,
 ) -> DataFrame:
-    """Left-semi join on ``contains(text, term)``.
+    """Left-semi join on ``contains(text, term)``; ``row_key`` identifies a row of ``df``.
 
-    A short vocabulary is measured, then broadcast.  A long one goes through
-    ``_anchored_semijoin``, which is exact too and shuffles instead.  ``row_key`` must
-    identify a row of ``df``.
+    The vocabulary is measured.  A short one is tested term by term inside the scan's
+    stage.  A longer one goes to every task as one automaton, which reads each text once
+    whatever the number of terms.  Beyond a size it is shuffled.  All are exact.
     """
     terms = vocabulary.select(F.col(quoted(term)).alias("_term")).dropna().distinct()
     size = terms.agg(
         F.count("*").alias("n"),
-        F.sum(F.octet_length("_term")).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length("_term")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.length("_term")), F.lit(0)).alias("longest"),
         F.count_if(F.col("_term") == "").alias("blank"),
     ).first()
     if size.blank:
         return df.filter(F.col(quoted(text)).isNotNull())
-    if size.n <= max_broadcast_terms and (size.bytes or 0) <= MAX_BROADCAST_BYTES:
+    small = size.bytes <= MAX_BROADCAST_BYTES
+    if size.n == 0 or (small and size.n <= max_nested_terms):
         return df.join(
             F.broadcast(terms), F.contains(F.col(quoted(text)), F.col("_term")), "left_semi"
         )
-    return _anchored_semijoin(df, text, terms, row_key)
+    if small and size.n <= max_broadcast_terms and ahocorasick is not None:
+        words = [r[0] for r in terms.collect()]
+        return df.filter(_holds_any(words)(F.col(quoted(text))))
+    return _anchored_semijoin(df, text, terms, row_key, size.longest)
+
+
+def _holds_any(words: list[str]):
+    """Arrow-batched predicate; the automaton is built once per Python worker task."""
+
+    @F.pandas_udf("boolean")
+    def holds_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for word in words:
+            automaton.add_word(word)
+        automaton.make_automaton()
+        for texts in batches:
+            yield texts.map(
+                lambda t: t is not None and next(automaton.iter(t), None) is not None
+            ).astype(bool)
+
+    return holds_any
 
 
 def _anchored_semijoin(
-    df: DataFrame, text: str, terms: DataFrame, row_key: Sequence[str]
+    df: DataFrame, text: str, terms: DataFrame, row_key: Sequence[str], longest: int
 ) -> DataFrame:
     """Find where a term could start, then look up the pieces of text that start there.
 
     Substrings of the (at most six) anchor lengths are joined with the terms' anchors.
     An anchor is there once, with the lengths its terms have, so terms that start alike
     are never paired with each text.  The piece of each such length is then looked up in
-    the vocabulary.  All three joins are equi-joins whose vocabulary side has one row
-    per key; AQE splits a substring that is common to many texts.
+    the vocabulary.  All joins are equi-joins whose vocabulary side has one row per key;
+    AQE splits a substring that is common to many texts.
+
+    Characters are found by counting from the start of a string, so long texts are cut
+    into blocks first, and these into parts.  A block goes on into the next by the
+    longest term's length.
     """
+    key = list(row_key)
     length = F.length("_term")
     anchor = F.greatest(F.lit(1), *[F.when(length >= n, F.lit(n)) for n in ANCHOR_LENGTHS])
     anchored = terms.select("_term", length.alias("_n"), anchor.alias("_a"))
-    used = sorted(r[0] for r in anchored.select("_a").distinct().collect())
+    used = sorted(anchored.agg(F.collect_set("_a")).first()[0])
     anchors = anchored.groupBy(F.left("_term", F.col("_a")).alias("_anchor")).agg(
         F.collect_set("_n").alias("_lengths")
     )
-    texts = df.select(*row_key, F.col(quoted(text)).alias("_text")).dropna(subset=["_text"])
-    grams = (
-        texts.select(*row_key, "_text", F.explode(F.array(*map(F.lit, used))).alias("_a"))
-        .filter(F.length("_text") >= F.col("_a"))
-        .select(
-            *row_key, "_text", "_a",
-            F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_a") + 1)).alias("_at"),
-        )
-        .select(*row_key, "_at", F.expr("substr(_text, _at, _a)").alias("_gram"))
+
+    size = F.greatest(F.lit(max(PART_CHARS, longest)), F.ceil(F.sqrt(F.length("_text"))))
+    texts = (
+        df.select(*key, F.col(quoted(text)).alias("_text"))
+        .filter(F.length("_text") > 0)
+        .withColumn("_size", size.cast("int"))
+    )
+    blocks = texts.select(
+        *key, "_size", _cut("_text", F.length("_text"), F.col("_size"), longest - 1, "_block")
+    )
+    # The characters at which a block's own pieces start; the rest is the next block's.
+    own = F.least(F.length("_block"), F.col("_size"))
+    parts = blocks.withColumn("_own", own).select(
+        *key, "_block_no", "_own",
+        _cut("_block", F.col("_own"), F.lit(PART_CHARS), max(ANCHOR_LENGTHS) - 1, "_part"),
+    )
+    starting = F.least(F.lit(PART_CHARS), F.col("_own") - F.col("_part_no") * PART_CHARS)
+    substrings = F.flatten(F.transform(
+        F.array(*map(F.lit, used)),
+        lambda a: F.transform(
+            F.sequence(F.lit(1), starting),
+            lambda p: F.struct(p.alias("p"), F.substr(F.col("_part"), p, a).alias("gram")),
+        ),
+    ))
+    grams = parts.select(*key, "_block_no", "_part_no", F.explode(substrings).alias("_s")).select(
+        *key, "_block_no",
+        (F.col("_part_no") * PART_CHARS + F.col("_s.p")).alias("_at"),
+        F.col("_s.gram").alias("_gram"),
     )
     starts = grams.join(anchors, F.col("_gram") == F.col("_anchor")).select(
-        *row_key, "_at", F.explode("_lengths").alias("_n")
+        *key, "_block_no", "_at", F.explode("_lengths").alias("_n")
     )
-    pieces = starts.join(texts, list(row_key)).select(
-        *row_key, F.expr("substr(_text, _at, _n)").alias("_piece")
+    pieces = starts.join(blocks, [*key, "_block_no"]).select(
+        *key, F.expr("substr(_block, _at, _n)").alias("_piece")
     )
     matched = pieces.join(terms, F.col("_piece") == F.col("_term"), "left_semi")
-    return df.join(matched.select(*row_key).distinct(), list(row_key), "left_semi")
+    return df.join(matched.select(*key).distinct(), key, "left_semi")
+
+
+def _cut(text: str, length: Column, size: Column, overlap: int, name: str) -> Column:
+    """One row per started ``size`` of ``length``: its number and the text from there.
+
+    The pieces come out of the generator itself; a plain column would be moved into the
+    expressions that use it and cut again for each of their values.
+    """
+    last = F.floor((length - 1) / size).cast("int")
+    pieces = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda n: F.substr(F.col(text), n * size + 1, size + overlap),
+    )
+    return F.posexplode(pieces).alias(f"{name}_no", name)

@@ -76,11 +76,11 @@ def _row_key(visits: DataFrame) -> list[str]:
 
 
 def latest_first(visits: DataFrame) -> list[Column]:
-    return [
-        F.desc_nulls_last(VISIT_TS),
-        F.asc(schemas.SOURCE_RANK),
-        *dedup.tie_break(visits, _row_key(visits)),
+    """Newest first; then outpatients before inpatients, in input order."""
+    others = [schemas.ROW_IDX] if schemas.ROW_IDX in visits.columns else [
+        c for c in visits.columns if c not in (*visit_keys(visits), VISIT_TS, schemas.SOURCE_RANK)
     ]
+    return [F.desc_nulls_last(VISIT_TS), *dedup.tie_break(visits, [schemas.SOURCE_RANK, *others])]
 
 
 def latest_visits(visits: DataFrame, keep_null_keys: bool = False) -> DataFrame:
