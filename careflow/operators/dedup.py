@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.functions.naming import quoted
+from careflow.operators.filters import keyed_rows
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows.  There can be at most
 # HOT_SHARE such keys whatever the data, which bounds what is broadcast.
@@ -45,7 +46,7 @@ def drop_duplicate_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    return df.select(quoted(key)).dropna().distinct()
+    return keyed_rows(df.select(quoted(key)), key).distinct()
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str | Column], *extra: Column) -> DataFrame:
@@ -57,7 +58,7 @@ def duplicate_groups(
     df: DataFrame, keys: Sequence[str], *extra: Column, keep_null_keys: bool = False
 ) -> DataFrame:
     """Keys held by more than one row."""
-    rows = df if keep_null_keys else df.dropna(how="any", subset=list(keys))
+    rows = df if keep_null_keys else keyed_rows(df, *keys)
     return group_sizes(rows, keys, *extra).filter("group_size > 1")
 
 
@@ -105,7 +106,7 @@ def duplicate_members(
     df: DataFrame, keys: Sequence[str], row_key: Sequence[str] = ()
 ) -> DataFrame:
     """Audit of duplicates: every row whose (known) key is held by several rows."""
-    rows = df.dropna(how="any", subset=list(keys))
+    rows = keyed_rows(df, *keys)
     return with_group_size(rows, keys, row_key).filter("group_size > 1")
 
 

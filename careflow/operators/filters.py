@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +20,11 @@ def keyword_rows(df: DataFrame, column: str, keywords: Sequence[str]) -> DataFra
 
 
 def keyed_rows(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows in which every key is known."""
-    return df.dropna(how="any", subset=list(keys))
+    """Rows in which every key is known.
+
+    Plain null tests, unlike ``dropna``, are pushed down to the scan.
+    """
+    return df.filter(reduce(and_, [F.col(quoted(k)).isNotNull() for k in keys]))
 
 
 def empty_table(df: DataFrame, schema: T.StructType) -> DataFrame:

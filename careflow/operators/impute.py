@@ -6,7 +6,7 @@ exact value needs a few bounded passes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,12 +62,20 @@ def _fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
+    """Number of rows, and of known values per column: one pass, one row."""
+    found = df.agg(F.count("*"), *[F.count(_known(df, c)) for c in columns]).first()
+    return found[0], dict(zip(columns, found[1:]))
+
+
 def _fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
         return df
-    medians = exact_medians(df, columns)
+    total, known = _counts(df, columns)
+    # A column without gaps needs no statistic.
+    medians = exact_medians(df, [c for c in columns if known[c] < total], known)
     return df.withColumns(
-        {c: F.coalesce(_known(df, c).cast("double"), F.lit(medians[c]).cast("double"))
+        {c: F.coalesce(_known(df, c).cast("double"), F.lit(medians.get(c)).cast("double"))
          for c in columns}
     )
 
@@ -118,6 +126,7 @@ def _pieces(value: Column, a: float, b: float) -> Column:
 def exact_medians(
     df: DataFrame,
     columns: Sequence[str],
+    counts: Mapping[str, int] | None = None,
     final_values: int = MEDIAN_FINAL_VALUES,
     accuracy: int = MEDIAN_ACCURACY,
 ) -> dict[str, float | None]:
@@ -127,13 +136,14 @@ def exact_medians(
     of bounded size, proposes an interval around the middle and exact counts settle
     which part of it holds a middle rank; each pass leaves about 4/``accuracy`` of the
     values.  Once at most ``final_values`` are left they are sorted in one task.  What
-    reaches the driver is one row per pass.
+    reaches the driver is one row per pass.  ``counts`` are the known values per column,
+    where the caller has them.
     """
     if not columns:
         return {}
     value = {c: _known(df, c).cast("double") for c in columns}
-    counts = dict(zip(columns, df.agg(*[F.count(value[c]) for c in columns]).first()))
-    middles = {c: sorted({(n - 1) // 2, n // 2}) for c, n in counts.items() if n}
+    counts = _counts(df, columns)[1] if counts is None else counts
+    middles = {c: sorted({(counts[c] - 1) // 2, counts[c] // 2}) for c in columns if counts[c]}
     sought = {(c, r): _Interval(r, counts[c]) for c, ranks in middles.items() for r in ranks}
 
     while wide := [k for k, i in sought.items() if not i.settled and i.size > final_values]:
@@ -160,10 +170,15 @@ def exact_medians(
 def _fill_mode(df: DataFrame) -> DataFrame:
     """Most frequent value of every column, the smallest on ties; '' where there is none.
 
-    One scan counts every column's values (grouping sets), partial counts before the
-    shuffle, then one row is kept per column.
+    One scan counts the values of the columns that have gaps (grouping sets), partial
+    counts before the shuffle, then one row is kept per column.  Columns without gaps,
+    such as unique keys, are never shuffled.
     """
     columns = [c for c in df.columns if c not in ROW_ID]
+    if not columns:
+        return df
+    total, known = _counts(df, columns)
+    columns = [c for c in columns if known[c] < total]
     if not columns:
         return df
     names = {c: f"v{i}" for i, c in enumerate(columns)}
@@ -171,19 +186,20 @@ def _fill_mode(df: DataFrame) -> DataFrame:
     counts = values.groupingSets([(n,) for n in names.values()], *names.values()).agg(
         F.count("*").alias("n"), F.grouping_id().alias("g")
     )
+    # In the set that groups by column i only bit i, from the left, of the id is 0.
     last = len(columns) - 1
-    # Bit i from the left of grouping_id is 0 in the set that groups by column i.
-    full = (1 << len(columns)) - 1
+    every = (1 << len(columns)) - 1
 
     def top(i: int, name: str) -> Column:
-        mine = (F.col("g") == full - (1 << (last - i))) & F.col(name).isNotNull()
+        mine = (F.col("g") == every - (1 << (last - i))) & F.col(name).isNotNull()
         return F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), F.col(name).alias("v"))))
 
-    tops = counts.agg(F.struct(*[top(i, n).alias(n) for i, n in enumerate(names.values())]).alias("s"))
-    scalar = tops.scalar()
+    best = counts.agg(
+        F.struct(*[top(i, n).alias(n) for i, n in enumerate(names.values())])
+    ).scalar()
     filled = {}
     for c, name in names.items():
-        value = F.coalesce(_known(df, c), scalar.getField(name).getField("v"))
+        value = F.coalesce(_known(df, c), best.getField(name).getField("v"))
         if isinstance(df.schema[c].dataType, T.StringType):
             value = F.coalesce(value, F.lit(""))
         filled[c] = value

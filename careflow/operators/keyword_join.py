@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careflow.functions.naming import quoted
+from careflow.operators.filters import keyed_rows
 
 try:
     import ahocorasick
@@ -42,7 +43,7 @@ def keyword_semijoin(
     stage.  A longer one goes to every task as one automaton, which reads each text once
     whatever the number of terms.  Beyond a size it is shuffled.  All are exact.
     """
-    terms = vocabulary.select(F.col(quoted(term)).alias("_term")).dropna().distinct()
+    terms = keyed_rows(vocabulary.select(F.col(quoted(term)).alias("_term")), "_term").distinct()
     size = terms.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("_term")), F.lit(0)).alias("bytes"),

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.operators.projection import MISSING
+from careflow.operators.projection import MISSING, existing_header
 from careflow.plans import merge, reports
-from careflow.plans.registry import SPECS, layouts
-from careflow.schemas import HEADERS, ROW_IDX, SOURCE_FILE, SOURCE_RANK, TABLES, target_type
+from careflow.plans.registry import SPECS, TableSpec, layouts
+from careflow.schemas import HEADERS, ROW_IDX, SOURCE_FILE, SOURCE_RANK, target_type
 from careflow.sources.sinks import read_store, upsert_files, write_table
+from careflow.sources.tables import holds_data
 from careflow.sources.workbook import MARKER, scan_workbooks, sheet_table, widen
 
 LANDED = "_landed"
@@ -65,11 +66,21 @@ def table_outcomes(files: DataFrame, numbers: Sequence[int] | None = None) -> Da
     ).select("source_file", "sheet", "ok", "error")
 
 
-def stored_schema(table: str) -> T.StructType:
+def stored_schema(header: Sequence[str]) -> T.StructType:
     """A stored table: the target columns and the row identity."""
-    fields = [T.StructField(c, target_type(c)) for c in HEADERS[table]]
     identity = [(SOURCE_FILE, T.StringType()), (SOURCE_RANK, T.IntegerType()), (ROW_IDX, T.LongType())]
-    return T.StructType(fields + [T.StructField(n, t) for n, t in identity])
+    return T.StructType(
+        [T.StructField(c, target_type(c)) for c in header]
+        + [T.StructField(n, t) for n, t in identity]
+    )
+
+
+def output_header(spark: SparkSession, spec: TableSpec, output: str) -> list[str]:
+    """The header of a table that is already stored, else the default one."""
+    path, default = f"{output}/{spec.name}", HEADERS[spec.name]
+    if spec.fixed_header or not holds_data(spark, path):
+        return list(default)
+    return existing_header(read_store(spark, path), default)
 
 
 def process_workbooks(
@@ -95,10 +106,11 @@ def process_workbooks(
         if numbers is not None and spec.number not in numbers:
             continue
         path = f"{output}/{spec.name}"
-        table = spec.build(spec.inputs(sheets), built, compat)
+        header = output_header(spark, spec, output)
+        table = spec.build(spec.inputs(sheets), built, header, compat)
         upsert_files(table, files.select(SOURCE_FILE), path, run)
         # Later tables read what was written rather than build it again.
-        built[spec.name] = read_store(spark, path, stored_schema(spec.name), run)
+        built[spec.name] = read_store(spark, path, stored_schema(header), run)
     results = reports.file_results(table_outcomes(files, numbers))
     only = numbers[0] if numbers is not None and len(numbers) == 1 else None
     report = {
@@ -110,8 +122,14 @@ def process_workbooks(
     return report
 
 
-def stored_tables(spark: SparkSession, output: str, tables: Sequence[str] = TABLES) -> Mapping[str, DataFrame]:
-    return {t: read_store(spark, f"{output}/{t}", stored_schema(t)) for t in tables}
+def stored_tables(spark: SparkSession, output: str) -> Mapping[str, DataFrame]:
+    """The seven tables as they are stored; one without any row has its default header."""
+    return {
+        s.name: read_store(
+            spark, f"{output}/{s.name}", stored_schema(output_header(spark, s, output))
+        )
+        for s in SPECS
+    }
 
 
 def merge_processed(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from careflow import vocab
 from careflow.functions import classify
 from careflow.functions.naming import quoted
+from careflow.operators.filters import keyed_rows
 from careflow.operators.projection import (
     Fields, Rule, lineage, map_columns, text_or_null, with_source_rank,
 )
@@ -103,17 +104,14 @@ def unique_patients(
     own = [c for c in target if c not in stats]
     keys = [c for c in (SOURCE_FILE,) if c in patients.columns] + ["_patient"]
     ties = [c for c in (SOURCE_RANK, ROW_IDX) if c in patients.columns]
-    rows = (
-        fields.rows_with("unique_patient_id")
-        .select(
-            *[c for c in keys if c != "_patient"],
-            patient.alias("_patient"),
-            _latest_date(fields, compat).alias("_ts"),
-            F.struct(*map_columns(patients, own, rules)).alias("_row"),
-            *ties,
-        )
-        .dropna(subset=["_patient"])
+    rows = fields.rows_with("unique_patient_id").select(
+        *[c for c in keys if c != "_patient"],
+        patient.alias("_patient"),
+        _latest_date(fields, compat).alias("_ts"),
+        F.struct(*map_columns(patients, own, rules)).alias("_row"),
+        *ties,
     )
+    rows = keyed_rows(rows, "_patient")
     # Greatest time first (null is least), then earliest row; without row numbers the
     # row's own content settles ties.
     order = [-F.col(c) for c in ties] if ROW_IDX in ties else [F.col("_row")]
@@ -142,7 +140,8 @@ def patient_ids(patients: DataFrame, compat: bool = False) -> DataFrame:
     """Distinct known patient IDs."""
     fields = Fields(patients, PATIENT_LOOKUPS if compat else INTENT_PATIENT_LOOKUPS)
     rows = fields.rows_with("unique_patient_id")
-    return rows.select(text_or_null(fields["unique_patient_id"]).alias("患者ID")).dropna().distinct()
+    ids = rows.select(text_or_null(fields["unique_patient_id"]).alias("患者ID"))
+    return keyed_rows(ids, "患者ID").distinct()
 
 
 def population_labels(patients: DataFrame, age: str, gender: str) -> DataFrame:

@@ -5,7 +5,7 @@ A new table is one more entry here.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,52 +23,58 @@ Inputs = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class TableSpec:
-    """``build`` takes the input sheets, the tables built so far, and the mode."""
+    """``build`` takes the input sheets, the tables built so far, the header and the mode.
+
+    A table of ``fixed_header`` ignores the header of an output that is already there.
+    """
 
     number: int
     name: str
     required: tuple[str, ...]
-    build: Callable[[Inputs, Inputs, bool], DataFrame]
+    build: Callable[[Inputs, Inputs, Sequence[str], bool], DataFrame]
+    fixed_header: bool = False
 
     def inputs(self, sheets: Inputs) -> Inputs:
         """The input sheets, without rows of files that lack a sheet this table needs."""
         return {s: rows_having(df, self.required) for s, df in sheets.items()}
 
 
-def _visits(sheets: Inputs, built: Inputs, compat: bool) -> DataFrame:
+def _visits(sheets: Inputs, built: Inputs, header: Sequence[str], compat: bool) -> DataFrame:
     return visits.merge_visits(sheets[OUTPATIENT], sheets[INPATIENT], compat)
 
 
-def _diagnoses(sheets: Inputs, built: Inputs, compat: bool) -> DataFrame:
-    merged = built[LIS01] if LIS01 in built else _visits(sheets, built, compat)
+def _diagnoses(sheets: Inputs, built: Inputs, header: Sequence[str], compat: bool) -> DataFrame:
+    merged = built[LIS01] if LIS01 in built else _visits(sheets, built, header, compat)
     return diagnosis.flag_diagnoses(merged)
 
 
-def _infections(sheets: Inputs, built: Inputs, compat: bool) -> DataFrame:
+def _infections(sheets: Inputs, built: Inputs, header: Sequence[str], compat: bool) -> DataFrame:
     return infections.infection_cases(
-        sheets[OUTPATIENT], sheets[INPATIENT], sheets[EXAMINATIONS], compat=compat
+        sheets[OUTPATIENT], sheets[INPATIENT], sheets[EXAMINATIONS], header, compat
     )
 
 
-def _population(sheets: Inputs, built: Inputs, compat: bool) -> DataFrame:
+def _population(sheets: Inputs, built: Inputs, header: Sequence[str], compat: bool) -> DataFrame:
     united = patients.all_patients(sheets[OUTPATIENT], sheets[INPATIENT])
-    return patients.population_split(united, compat=compat)
+    return patients.population_split(united, header, compat)
 
 
-def _unique(sheets: Inputs, built: Inputs, compat: bool) -> DataFrame:
+def _unique(sheets: Inputs, built: Inputs, header: Sequence[str], compat: bool) -> DataFrame:
     united = patients.all_patients(sheets[OUTPATIENT], sheets[INPATIENT])
-    return patients.unique_patients(united, compat=compat)
+    return patients.unique_patients(united, header, compat)
 
 
 VISIT_SHEETS = (OUTPATIENT, INPATIENT)
 SPECS = (
-    TableSpec(1, LIS01, VISIT_SHEETS, _visits),
-    TableSpec(2, LIS02, VISIT_SHEETS, _diagnoses),
+    TableSpec(1, LIS01, VISIT_SHEETS, _visits, fixed_header=True),
+    TableSpec(2, LIS02, VISIT_SHEETS, _diagnoses, fixed_header=True),
     TableSpec(3, LIS03, (*VISIT_SHEETS, EXAMINATIONS), _infections),
     TableSpec(4, LIS04, (DRUG_ORDERS,),
-              lambda s, b, compat: orders.antiviral_orders(s[DRUG_ORDERS], compat=compat)),
+              lambda s, b, header, compat: orders.antiviral_orders(
+                  s[DRUG_ORDERS], header, compat=compat)),
     TableSpec(5, LIS05, (EXAMINATIONS,),
-              lambda s, b, compat: orders.lab_tests(s[EXAMINATIONS], compat=compat)),
+              lambda s, b, header, compat: orders.lab_tests(
+                  s[EXAMINATIONS], header, compat=compat)),
     TableSpec(6, LIS06, (*VISIT_SHEETS, STATISTICS), _population),
     TableSpec(7, LISA1, VISIT_SHEETS, _unique),
 )

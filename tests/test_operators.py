@@ -92,7 +92,7 @@ def test_exact_medians(spark, values):
     known = [float(v) for v in values if v is not None]
     want = statistics.median(known) if known else None
     # A tiny final size makes it narrow over several passes.
-    for options in ({}, {"final_values": 2, "accuracy": 20}):
+    for options in ({}, {"counts": {"x": len(known)}}, {"final_values": 2, "accuracy": 20}):
         got = impute.exact_medians(df, ["x"], **options)["x"]
         assert got == pytest.approx(want) if known else got is None
 
