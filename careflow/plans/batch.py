@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from careflow.functions.temporal import unparsable_dates
 from careflow.operators.projection import MISSING, existing_header
+from careflow.operators.union import union_aligned
 from careflow.plans import merge, reports
 from careflow.plans.registry import SPECS, TableSpec, layouts
 from careflow.schemas import HEADERS, ROW_IDX, SOURCE_FILE, SOURCE_RANK, target_type
 from careflow.sources.sinks import read_store, upsert_files, write_table
-from careflow.sources.tables import holds_data
+from careflow.sources.tables import holds_data, skip_reasons
 from careflow.sources.workbook import MARKER, scan_workbooks, sheet_table, widen
 
 LANDED = "_landed"
@@ -66,6 +68,37 @@ def table_outcomes(files: DataFrame, numbers: Sequence[int] | None = None) -> Da
     ).select("source_file", "sheet", "ok", "error")
 
 
+def bad_dates(landed: DataFrame) -> DataFrame:
+    """Per file and sheet: visit and admission dates that no known layout reads.
+
+    Such a date becomes blank and its row is kept, so this is where one learns of it.
+    """
+    unread = unparsable_dates(landed, "就诊日期") + unparsable_dates(landed, "入院日期")
+    return (
+        landed.filter(F.col(ROW_IDX) != MARKER)
+        .groupBy(F.col(SOURCE_FILE).alias("源文件路径"), F.col("sheet").alias("sheet名称"))
+        .agg(unread.alias("无法识别的日期数"))
+        .filter(F.col("无法识别的日期数") > 0)
+    )
+
+
+def skipped_inputs(files: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(file, sheet, reason): which processed file adds nothing to which table, and why."""
+    counts = union_aligned([
+        df.groupBy(F.col(SOURCE_FILE).alias("file"), F.lit(table).alias("sheet"))
+        .agg(F.count("*").alias("rows")) for table, df in tables.items()
+    ])
+    number = F.create_map(*[F.lit(v) for s in SPECS for v in (f"sheet{s.number}", s.name)])
+    outcomes = table_outcomes(files).select(
+        F.col("source_file").alias("file"), number[F.col("sheet")].alias("sheet"),
+        F.lit(True).alias("exists"), "error", "ok",
+    )
+    return skip_reasons(
+        outcomes.drop("ok"), outcomes.filter("ok").select("file", "sheet"), counts,
+        ("file", "sheet"),
+    )
+
+
 def stored_schema(header: Sequence[str]) -> T.StructType:
     """A stored table: the target columns and the row identity."""
     identity = [(SOURCE_FILE, T.StringType()), (SOURCE_RANK, T.IntegerType()), (ROW_IDX, T.LongType())]
@@ -94,8 +127,8 @@ def process_workbooks(
 ) -> dict[str, DataFrame]:
     """Build the tables of all workbooks; rows of a file replace its earlier rows.
 
-    ``numbers`` picks tables (1-7); ``run`` names the run and must be new.  Returns the two
-    report tables, which are written too.
+    ``numbers`` picks tables (1-7); ``run`` names the run and must be new.  Returns the report
+    tables, which are written too.
     """
     run = run or uuid.uuid4().hex
     landed = land_workbooks(spark, directory, output, pattern, compat)
@@ -116,6 +149,7 @@ def process_workbooks(
     report = {
         "总体统计": reports.batch_summary(results),
         "详细结果": reports.batch_details(results, output, only),
+        "日期异常": bad_dates(landed),
     }
     for name, frame in report.items():
         write_table(frame, f"{output}/batch_process_report/{name}")
@@ -136,7 +170,10 @@ def merge_processed(
     spark: SparkSession, processed: str, output: str, run_ts: str, compat: bool = False
 ) -> dict[str, DataFrame]:
     """Merge what ``process_workbooks`` left in ``processed``."""
-    files = workbook_files(read_landed(spark, processed)).select(F.col(SOURCE_FILE).alias("path"))
-    return merge.merge_results(
-        spark, stored_tables(spark, processed), files, output, run_ts, compat
+    files, tables = workbook_files(read_landed(spark, processed)), stored_tables(spark, processed)
+    report = merge.merge_results(
+        spark, tables, files.select(F.col(SOURCE_FILE).alias("path")), output, run_ts, compat
     )
+    report["跳过的文件"] = skipped_inputs(files, tables)
+    write_table(report["跳过的文件"], f"{output}/merge_report/跳过的文件")
+    return report

@@ -66,15 +66,19 @@ def missing_inputs(present: DataFrame, files: DataFrame, required: DataFrame) ->
     return expected.join(present, ["file", "sheet"], "left_anti")
 
 
-def skip_reasons(files: DataFrame, table_files: DataFrame, row_counts: DataFrame) -> DataFrame:
+def skip_reasons(
+    files: DataFrame, table_files: DataFrame, row_counts: DataFrame, on: Sequence[str] = ("file",)
+) -> DataFrame:
     """Why a file adds nothing to a table.
 
     ``files``: (file, exists, error); ``table_files``: (file) that hold the table;
-    ``row_counts``: (file, rows).  Files that add rows are not listed.
+    ``row_counts``: (file, rows).  Files that add rows are not listed.  With (file, sheet)
+    in ``on`` all tables are judged at once.
     """
+    keys = list(on)
     joined = (
-        files.join(table_files.select("file", F.lit(True).alias("has_table")), "file", "left")
-        .join(row_counts, "file", "left")
+        files.join(table_files.select(*keys, F.lit(True).alias("has_table")), keys, "left")
+        .join(row_counts, keys, "left")
     )
     reason = (
         F.when(~F.col("exists"), F.lit("missing file"))
@@ -82,4 +86,4 @@ def skip_reasons(files: DataFrame, table_files: DataFrame, row_counts: DataFrame
         .when(F.col("has_table").isNull(), F.lit("missing sheet"))
         .when(F.coalesce("rows", F.lit(0)) == 0, F.lit("empty"))
     )
-    return joined.select("file", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return joined.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())

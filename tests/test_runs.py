@@ -34,6 +34,8 @@ def folder(tmp_path):
     other = {k: v for k, v in BOOK.items() if k != "统计数据"}
     other["门急诊信息"] = [["姓名", "病人ID", "诊断文字", "诊断ICD编码", "就诊日期"],
                      ["李四", "P001", "新型冠状病毒感染", "J18", "2023/01/01 08:00:00"]]
+    other["住院信息"] = [BOOK["住院信息"][0], ["P004", "赵六", 60, "女", "1月4日", None, "肺炎"]]
+    other["药物医嘱信息"] = BOOK["药物医嘱信息"][:1]
     write_workbook(source / "b.xlsx", other, shared=False)
     write_workbook(source / "c.xlsx", BOOK, damage="检查信息")
     (source / "bad.xlsx").write_bytes(b"not a workbook")
@@ -79,8 +81,9 @@ def test_batch(spark, folder, tmp_path):
     assert details["c"]["失败处理的sheet"] == "sheet3, sheet5"
     assert details["bad"]["错误信息"].startswith("BadZipFile")
 
+    assert [tuple(r)[1:] for r in report["日期异常"].collect()] == [("住院信息", 1)]
     stored = batch.stored_tables(spark, out)
-    assert {t: df.count() for t, df in stored.items()} == dict(zip(TABLES, (8, 8, 4, 3, 2, 8, 8)))
+    assert {t: df.count() for t, df in stored.items()} == dict(zip(TABLES, (8, 8, 4, 2, 2, 8, 8)))
     b = stored[LIS02].filter(F.col("_source_file").endswith("/b.xlsx") & (F.col("来源") == "门急诊"))
     row = b.first()
     assert (row["患者唯一编码"], row["就诊日期"], row["新冠患者"], row["RS患者"]) == (
@@ -100,9 +103,13 @@ def test_batch(spark, folder, tmp_path):
     final = batch.merge_processed(spark, out, merged, "2024-01-01 00:00:00")
     lines = {r["指标"]: r["数值"] for r in final["总体统计"].collect()}
     assert lines["合并状态"] == "success" and lines["输入文件数"] == "4"
-    assert [r["行数"] for r in final["详细结果"].collect()] == [3, 3, 2, 1, 1, 3, 3]
+    assert [r["行数"] for r in final["详细结果"].collect()] == [4, 4, 2, 1, 1, 3, 3]
     assert [r["文件名"] for r in final["输入文件列表"].orderBy("序号").collect()] == [
         "b.xlsx", "bad.xlsx", "c.xlsx", "测试原始数据a.xlsx"]
+    skipped = {(r.file.rsplit("/", 1)[-1], r.sheet, r.reason) for r in final["跳过的文件"].collect()}
+    assert skipped >= {("b.xlsx", LIS04, "empty"), ("b.xlsx", LIS06, "missing sheet"),
+                       ("c.xlsx", LIS05, "missing sheet"), ("bad.xlsx", LIS01, "unreadable")}
+    assert len(skipped) == 2 + 2 + 7
     visits = spark.read.parquet(f"{merged}/{LIS01}")
     assert {"年龄周岁", "诊断ICD编码", "数据来源", "数据更新时间"} <= set(visits.columns)
     assert {r["数据更新时间"] for r in visits.collect()} == {"2024-01-01 00:00:00"}
