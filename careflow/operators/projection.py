@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow import vocab
-from careflow.functions.naming import clean_name, locate, quoted
+from careflow.functions.naming import clean_name, clean_names, locate, quoted
 from careflow.functions.temporal import as_timestamp, parse_text_timestamp, render_timestamp
 from careflow.schemas import ROW_ID, SOURCE_RANK, target_type
 
@@ -117,15 +117,17 @@ class Rule:
 def map_columns(df: DataFrame, target: Sequence[str], rules: Sequence[Rule]) -> list[Column]:
     """First matching rule, else the column of the same name, else null.
 
-    Rules depend on names only, so they are settled here and one ``select`` is left.
+    Names are compared after cleaning.  Rules depend on names only, so they are settled
+    here and one ``select`` is left.
     """
+    have = {clean_name(c): c for c in reversed(df.columns)}
     columns = []
     for name in target:
         rule = next((r for r in rules if r.applies(name)), None)
         if rule is not None:
             columns.append(rule.value(name).alias(name))
         else:
-            columns.append(target_value(df, name if name in df.columns else None, name))
+            columns.append(target_value(df, have.get(clean_name(name)), name))
     return columns
 
 
@@ -144,15 +146,19 @@ def rows_having(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 class Fields:
-    """Input columns found by keyword: ``fields["age"]`` is a text Column or None."""
+    """Input columns found by keyword in their cleaned names.
+
+    ``fields["age"]`` is a text Column, or None when there is no such column.
+    """
 
     def __init__(self, df: DataFrame, lookups: Mapping[str, Sequence]):
         self.df = df
         own = [c for c in df.columns if c not in ROW_ID and not c.startswith(FIELD_PREFIX)]
+        cleaned = dict(zip(clean_names(own), own))
         self.names = {
             field: FIELD_PREFIX + field
             if FIELD_PREFIX + field in df.columns
-            else locate(own, lookup)
+            else cleaned.get(locate(list(cleaned), lookup))
             for field, lookup in lookups.items()
         }
 

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from careflow import vocab
 from careflow.functions import classify
-from careflow.functions.naming import quoted
+from careflow.functions.naming import clean_names, quoted
 from careflow.operators.filters import keyed_rows
 from careflow.operators.projection import (
-    Fields, Rule, lineage, map_columns, text_or_null, with_source_rank,
+    FIELD_PREFIX, MISSING, Fields, Rule, lineage, map_columns, text_or_null, with_source_rank,
 )
 from careflow.operators.union import outer_union
-from careflow.schemas import HEADERS, LIS06, LISA1, ROW_IDX, SOURCE_FILE, SOURCE_RANK
+from careflow.schemas import HEADERS, LIS06, LISA1, ROW_ID, ROW_IDX, SOURCE_FILE, SOURCE_RANK
 
 POPULATION_LOOKUPS = {
     "patient_id": vocab.PATIENT_ID,
@@ -40,8 +40,16 @@ INTENT_PATIENT_LOOKUPS = PATIENT_LOOKUPS | {"unique_patient_id": vocab.ANY_UNIQU
 
 
 def all_patients(outpatients: DataFrame, inpatients: DataFrame) -> DataFrame:
-    """Both sheets, united by column name."""
-    return outer_union([with_source_rank(outpatients, 0), with_source_rank(inpatients, 1)])
+    """Both sheets, united by cleaned column name."""
+    return outer_union([
+        with_source_rank(_cleaned(outpatients), 0), with_source_rank(_cleaned(inpatients), 1)
+    ])
+
+
+def _cleaned(df: DataFrame) -> DataFrame:
+    kept = (*ROW_ID, MISSING)
+    own = [c for c in df.columns if c not in kept and not c.startswith(FIELD_PREFIX)]
+    return df.withColumnsRenamed(dict(zip(own, clean_names(own))))
 
 
 def population_split(

@@ -6,7 +6,7 @@ A new table is one more entry here.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -102,9 +102,11 @@ def layouts(compat: bool = False) -> dict[str, Layout]:
               DIAGNOSIS_EXTRACT_HEADER),
         ("diagnosis", "patient_id", "unique_patient_id"),
     )
+    # As written the first date column of the outpatients decides for both sheets.
+    stay_fields = {f: v for f, v in visit_fields.items() if not (compat and f == "latest_date")}
     return {
         OUTPATIENT: visit,
-        INPATIENT: visit,
+        INPATIENT: replace(visit, fields=stay_fields),
         DRUG_ORDERS: Layout(drug_fields, names(HEADERS[LIS04]), ("drug_name", "patient_id")),
         EXAMINATIONS: Layout(
             test_fields, names(HEADERS[LIS03], HEADERS[LIS05]),

@@ -208,3 +208,11 @@ def test_unique_patients_shuffles_once(spark):
 def test_existing_header_decides_the_target(out, stay, labs):
     got = infections.infection_cases(out, stay, labs, target=["病人ID", "检测结果", "新列"])
     assert dicts(got, "病人ID", "检测结果", "新列")[0] == ("1", "阳性", None)
+
+
+def test_names_are_cleaned_before_they_are_compared(table):
+    sheet = table(["患者（ID）", " 姓名 ", "年-龄"], [("1", "甲", "70")])
+    other = table(["患者ID", "姓名", "年龄"], [("2", "乙", "10")])
+    got = patients.population_split(patients.all_patients(sheet, other))
+    assert dicts(got, "患者ID", "姓名", "年龄", "人群类别") == [
+        ("1", "甲", "70", "老年人"), ("2", "乙", "10", "儿童青少年")]
