@@ -49,13 +49,13 @@ def is_date_column(name: str) -> bool:
 def target_value(df: DataFrame, source: str | None, target: str) -> Column:
     """Column ``source`` in the form that ``target`` wants; null (a blank date) without one."""
     dtype = target_type(target)
+    if source is None:
+        # One expression: most columns of a wide header are missing.
+        value = "''" if is_date_column(target) else f"CAST(NULL AS {dtype.simpleString()})"
+        return F.expr(f"{value} AS {quoted(target)}")
     if is_date_column(target):
-        value = F.lit("") if source is None else render_timestamp(as_timestamp(df, source))
-    elif source is None:
-        value = F.lit(None).cast(dtype)
-    else:
-        value = typed(df, source, dtype)
-    return value.alias(target)
+        return render_timestamp(as_timestamp(df, source)).alias(target)
+    return typed(df, source, dtype).alias(target)
 
 
 def align(
