@@ -19,7 +19,7 @@ YES, NO = "是", "否"
 
 # Department keyword -> visit type, first match wins; then by source.
 DEPARTMENT_TYPES = (("ICU", "ICU(I)"), ("发热", "发热(F)"), ("急诊", "急诊(E)"))
-SOURCE_TYPES = (("门急诊", "门诊(O)"), ("住院", "住院(H)"))
+SOURCE_TYPES = ((vocab.TAG_OUTPATIENT, "门诊(O)"), (vocab.TAG_INPATIENT, "住院(H)"))
 DEFAULT_HOSPITAL = "030"
 
 # Result patterns.  The word for "not detected" holds the word for
@@ -38,6 +38,13 @@ AGE_BANDS = (
 )
 LAST_BAND, UNKNOWN_BAND = "高龄老人(80岁以上)", "未知"
 
+# Labels of infection status, result type and population category.
+CONFIRMED, EXCLUDED = "确诊", "排除"
+RESULT_POSITIVE, RESULT_NEGATIVE = "阳性", "阴性"
+ELDERLY, ADULT, MINOR, CHILD = "老年人", "成年人", "儿童青少年", "儿童"
+MALE, FEMALE, UNCLASSIFIED = "男性", "女性", "未分类"
+GENDER_MALE, GENDER_FEMALE = "男", "女"
+
 
 def contains_any(text: Column, keywords: Sequence[str]) -> Column:
     """True when ``text`` holds any keyword.
@@ -94,11 +101,11 @@ def _result_rules(positive: str, negative: str, compat: bool):
 
 
 def infection_status(result: Column, compat: bool = False) -> Column:
-    return first_match(text_or_blank(result), _result_rules("确诊", "排除", compat), RESULT_UNKNOWN)
+    return first_match(text_or_blank(result), _result_rules(CONFIRMED, EXCLUDED, compat), RESULT_UNKNOWN)
 
 
 def result_type(result: Column, compat: bool = False) -> Column:
-    return first_match(text_or_blank(result), _result_rules("阳性", "阴性", compat), RESULT_UNKNOWN)
+    return first_match(text_or_blank(result), _result_rules(RESULT_POSITIVE, RESULT_NEGATIVE, compat), RESULT_UNKNOWN)
 
 
 def detection_method(method: Column | None, test_name: Column) -> Column:
@@ -149,12 +156,12 @@ def population_category(age: Column, gender: Column) -> Column:
     """By age where there is one, else by gender."""
     years = age_value(age)
     return (
-        F.when(years >= 65, F.lit("老年人"))
-        .when(years >= 18, F.lit("成年人"))
-        .when(years.isNotNull(), F.lit("儿童青少年"))
-        .when(gender == "男", F.lit("男性"))
-        .when(gender == "女", F.lit("女性"))
-        .otherwise(F.lit("未分类"))
+        F.when(years >= 65, F.lit(ELDERLY))
+        .when(years >= 18, F.lit(ADULT))
+        .when(years.isNotNull(), F.lit(MINOR))
+        .when(gender == GENDER_MALE, F.lit(MALE))
+        .when(gender == GENDER_FEMALE, F.lit(FEMALE))
+        .otherwise(F.lit(UNCLASSIFIED))
     )
 
 
@@ -162,10 +169,10 @@ def population_labels(age: Column, gender: Column) -> Column:
     """Every category whose criterion holds, as an array."""
     years = age_value(age)
     criteria = (
-        ("老年人", years >= 65),
-        ("成年人", (years >= 18) & (years < 65)),
-        ("儿童", years < 18),
-        ("男性", gender == "男"),
-        ("女性", gender == "女"),
+        (ELDERLY, years >= 65),
+        (ADULT, (years >= 18) & (years < 65)),
+        (CHILD, years < 18),
+        (MALE, gender == GENDER_MALE),
+        (FEMALE, gender == GENDER_FEMALE),
     )
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in criteria]))

@@ -69,24 +69,24 @@ def extract_diagnoses(
     if compat:
         # Keys are tried in this order, so the diagnosis and patient rules win too often.
         rules = [
-            Rule(("诊断", "疾病", "病名"), text),
-            Rule(("编码", "icd"), code),
-            Rule(("患者", "病人", "就诊"), patient),
-            Rule(("就诊类型", "类型", "来源"), F.lit(visit_type)),
-            fields.date_rule(("就诊日期", "开始日期", "门诊日期"), "visit_date"),
+            Rule(vocab.DIAGNOSIS, text),
+            Rule(vocab.TO_CODE, code),
+            Rule(vocab.TO_PATIENT, patient),
+            Rule(vocab.TO_VISIT_TYPE, F.lit(visit_type)),
+            fields.date_rule(vocab.VISIT_DATE, "visit_date"),
         ]
     else:
         words, icd = text_or_null(text), text_or_null(code)
         respiratory = classify.respiratory_flag(icd)
         rules = [
             Rule(("诊断", "诊断（文字）", "诊断文字", "疾病", "病名"), text, exact=True),
-            Rule(("编码", "icd"), code),
+            Rule(vocab.TO_CODE, code),
             Rule(("新冠患者",), classify.covid_flag(words), exact=True),
             Rule(("RS患者",), respiratory, exact=True),
             Rule(("诊断合并为肺炎",), classify.pneumonia_flag(respiratory, words), exact=True),
             Rule(("就诊类型", "来源"), F.lit(visit_type)),
-            fields.date_rule(("就诊日期", "开始日期", "门诊日期"), "visit_date"),
-            Rule(("患者", "病人", "就诊"), patient),
+            fields.date_rule(vocab.VISIT_DATE, "visit_date"),
+            Rule(vocab.TO_PATIENT, patient),
         ]
     return rows.select(*map_columns(df, target, rules), *lineage(df))
 
@@ -98,6 +98,6 @@ def diagnosis_extract(
     compat: bool = False,
 ) -> DataFrame:
     return union_aligned([
-        extract_diagnoses(with_source_rank(outpatients, 0), "门急诊", target, compat),
-        extract_diagnoses(with_source_rank(inpatients, 1), "住院", target, compat),
+        extract_diagnoses(with_source_rank(outpatients, 0), vocab.TAG_OUTPATIENT, target, compat),
+        extract_diagnoses(with_source_rank(inpatients, 1), vocab.TAG_INPATIENT, target, compat),
     ])

@@ -44,12 +44,12 @@ def diagnosed_cases(
     rows = fields.rows_with("diagnosis", "patient_id")
     if text is not None:
         rows = rows.filter(classify.contains_any(text, keywords))
-    patient = Rule(("患者", "病人", "就诊"), fields["patient_id"])
+    patient = Rule(vocab.TO_PATIENT, fields["patient_id"])
     others = [
-        Rule(("就诊类型", "类型", "来源"), F.lit(visit_type)),
-        fields.date_rule(("就诊日期", "开始日期", "门诊日期"), "visit_date"),
-        Rule(("诊断", "疾病", "病名"), text),
-        Rule(("感染状态", "感染情况", "感染结果"), F.lit("确诊")),
+        Rule(vocab.TO_VISIT_TYPE, F.lit(visit_type)),
+        fields.date_rule(vocab.VISIT_DATE, "visit_date"),
+        Rule(vocab.DIAGNOSIS, text),
+        Rule(vocab.TO_INFECTION, F.lit(classify.CONFIRMED)),
     ]
     rules = [patient, *others] if compat else [*others, patient]
     return rows.select(*map_columns(df, target, rules), *lineage(df))
@@ -69,18 +69,18 @@ def tested_cases(
         rows = rows.filter(classify.contains_any(name, keywords))
     raw = None if result is None else classify.text_or_blank(result)
     status = Rule(
-        ("感染状态", "感染情况", "感染结果"),
+        vocab.TO_INFECTION,
         None if result is None else classify.infection_status(result, compat),
     )
-    patient = Rule(("患者", "病人", "就诊"), fields["patient_id"])
-    visit = Rule(("就诊类型", "类型", "来源"), F.lit("检查"))
-    days = ("检查日期", "检验日期") if compat else ("检查日期", "检验日期", "检测日期")
+    patient = Rule(vocab.TO_PATIENT, fields["patient_id"])
+    visit = Rule(vocab.TO_VISIT_TYPE, F.lit(vocab.TAG_TEST))
+    days = vocab.TO_TEST_DAY if compat else ("检查日期", "检验日期", "检测日期")
     others = [
         fields.date_rule(days, "test_date"),
-        fields.date_rule(("就诊日期", "开始日期", "门诊日期"), "test_date"),
-        Rule(("检查名称", "检验名称", "项目名称"), name),
+        fields.date_rule(vocab.VISIT_DATE, "test_date"),
+        Rule(vocab.TEST_NAME, name),
     ]
-    outcome = Rule(("检查结果", "检验结果", "结果"), raw)
+    outcome = Rule(vocab.TEST_RESULT, raw)
     rules = (
         [patient, visit, *others, outcome, status]
         if compat
@@ -97,7 +97,7 @@ def infection_cases(
     compat: bool = False,
 ) -> DataFrame:
     return union_aligned([
-        diagnosed_cases(with_source_rank(outpatients, 0), "门急诊", target, compat=compat),
-        diagnosed_cases(with_source_rank(inpatients, 1), "住院", target, compat=compat),
+        diagnosed_cases(with_source_rank(outpatients, 0), vocab.TAG_OUTPATIENT, target, compat=compat),
+        diagnosed_cases(with_source_rank(inpatients, 1), vocab.TAG_INPATIENT, target, compat=compat),
         tested_cases(with_source_rank(examinations, 2), target, compat=compat),
     ])

@@ -45,13 +45,13 @@ def antiviral_orders(
     if drug is not None:
         rows = rows.filter(classify.contains_any(drug, keywords))
     rules = [
-        Rule(("患者", "病人", "就诊"), fields["patient_id"]),
-        Rule(("药物名称", "药品名称", "医嘱内容", "药名"), drug),
-        fields.date_rule(("用药日期", "医嘱日期", "开始日期"), "drug_date"),
-        Rule(("剂量", "用量", "单次用量"), fields["dose"]),
-        Rule(("频次", "用药频次", "给药频次"), fields["frequency"]),
-        Rule(("途径", "给药途径", "用药途径"), fields["route"]),
-        Rule(("药物类型", "药品类型", "类型"), F.lit("抗病毒药物")),
+        Rule(vocab.TO_PATIENT, fields["patient_id"]),
+        Rule(vocab.DRUG_NAME, drug),
+        fields.date_rule(vocab.DRUG_DATE, "drug_date"),
+        Rule(vocab.DOSE, fields["dose"]),
+        Rule(vocab.FREQUENCY, fields["frequency"]),
+        Rule(vocab.ROUTE, fields["route"]),
+        Rule(vocab.TO_DRUG_TYPE, F.lit(vocab.DRUG_TYPE)),
     ]
     return rows.select(*map_columns(df, target, rules), *lineage(df))
 
@@ -69,19 +69,19 @@ def lab_tests(
     if name is not None:
         rows = rows.filter(classify.contains_any(name, keywords))
     outcome = Rule(
-        ("检查结果", "检验结果", "结果"), None if result is None else classify.text_or_blank(result)
+        vocab.TEST_RESULT, None if result is None else classify.text_or_blank(result)
     )
     kind = Rule(
-        ("结果类型", "结果判断"), None if result is None else classify.result_type(result, compat)
+        vocab.TO_RESULT_TYPE, None if result is None else classify.result_type(result, compat)
     )
     method = None if name is None else classify.detection_method(fields["test_method"], name)
     rules = [
-        Rule(("患者", "病人", "就诊"), fields["patient_id"]),
-        Rule(("检查名称", "检验名称", "项目名称"), name),
+        Rule(vocab.TO_PATIENT, fields["patient_id"]),
+        Rule(vocab.TEST_NAME, name),
         # As written the shorter key wins and the type column shows the raw result.
         *([outcome, kind] if compat else [kind, outcome]),
-        fields.date_rule(("检查日期", "检验日期", "日期"), "test_date"),
-        Rule(("检查方法", "检验方法", "方法"), method),
-        Rule(("检查部门", "检验部门", "部门", "科室"), fields["test_department"]),
+        fields.date_rule(vocab.TEST_DATE, "test_date"),
+        Rule(vocab.TEST_METHOD, method),
+        Rule(vocab.TEST_DEPARTMENT, fields["test_department"]),
     ]
     return rows.select(*map_columns(df, target, rules), *lineage(df))

@@ -63,16 +63,16 @@ def population_split(
     rows = fields.rows_with("patient_id")
     age = text_or_null(fields["age"])
     gender = classify.text_or_blank(text_or_null(fields["gender"]))
-    years = Rule(("年龄",), age)
-    band = Rule(("年龄段", "年龄组", "年龄分组"), classify.age_band(age))
+    years = Rule(vocab.AGE, age)
+    band = Rule(vocab.TO_AGE_BAND, classify.age_band(age))
     rules = [
-        Rule(("患者", "病人", "就诊"), classify.text_or_blank(text_or_null(fields["patient_id"]))),
+        Rule(vocab.TO_PATIENT, classify.text_or_blank(text_or_null(fields["patient_id"]))),
         # As written the shorter key wins and the band column shows the raw age.
         *([years, band] if compat else [band, years]),
-        Rule(("性别",), gender),
-        Rule(("地区", "区域", "地址", "住址"),
+        Rule(vocab.GENDER, gender),
+        Rule(vocab.REGION,
              classify.text_or_blank(text_or_null(fields["region"]))),
-        Rule(("人群类别", "人群分类", "人群划分"), classify.population_category(age, gender)),
+        Rule(vocab.TO_POPULATION, classify.population_category(age, gender)),
     ]
     return rows.select(*map_columns(patients, target, rules), *lineage(patients))
 
@@ -101,13 +101,13 @@ def unique_patients(
     patient = text_or_null(fields["unique_patient_id"])
     stats = () if compat else ("首次就诊日期", "最近就诊日期", "就诊次数")
     rules = [
-        Rule(("患者id", "病人id", "唯一标识"), patient),
-        Rule(("姓名", "患者姓名", "病人姓名"), blank("name")),
-        Rule(("年龄",), text_or_null(fields["age"])),
-        Rule(("性别",), blank("gender")),
-        Rule(("出生", "生日", "出生日期"), text_or_null(fields["birth"])),
-        Rule(("联系", "电话", "手机", "联系方式"), blank("contact")),
-        Rule(("地址", "住址", "家庭住址"), blank("address")),
+        Rule(vocab.TO_UNIQUE_PATIENT, patient),
+        Rule(vocab.NAME, blank("name")),
+        Rule(vocab.AGE, text_or_null(fields["age"])),
+        Rule(vocab.GENDER, blank("gender")),
+        Rule(vocab.BIRTH, text_or_null(fields["birth"])),
+        Rule(vocab.CONTACT, blank("contact")),
+        Rule(vocab.ADDRESS, blank("address")),
     ]
     own = [c for c in target if c not in stats]
     keys = [c for c in (SOURCE_FILE,) if c in patients.columns] + ["_patient"]

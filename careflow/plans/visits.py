@@ -53,8 +53,8 @@ def all_visits(
     """
     stay = {"就诊日期": "入院日期", "就诊结束日期": "出院日期"}
     visits = union_aligned([
-        _one_source(outpatients, "门急诊", 0, {}, compat),
-        _one_source(inpatients, "住院", 1, stay, compat),
+        _one_source(outpatients, vocab.TAG_OUTPATIENT, 0, {}, compat),
+        _one_source(inpatients, vocab.TAG_INPATIENT, 1, stay, compat),
     ])
     return (
         visits.withColumn("医院编码", classify.hospital_code(F.col("医院编码")))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+# Where a row comes from, and the one drug type.
+TAG_OUTPATIENT, TAG_INPATIENT, TAG_TEST = "门急诊", "住院", "检查"
+DRUG_TYPE = "抗病毒药物"
+
 # Match vocabularies.
 COVID_DIAGNOSIS = ("新冠", "冠状病毒", "COVID", "SARS-CoV-2", "新型冠状")
 COVID_TEST = ("新冠", "冠状病毒", "COVID", "SARS-CoV-2", "核酸", "PCR", "抗原")
@@ -55,6 +59,20 @@ ADDRESS = ("地址", "住址", "家庭住址")
 LATEST_DATE = ("日期", "时间", "就诊日期", "入院日期")
 ADMISSION_DATE = ("入院日期",)
 
+# Keywords that mark a target column, compared with its lower-cased name.
+# Where a target column is marked by the same words as an input column, the list above
+# serves both.
+TO_PATIENT = ("患者", "病人", "就诊")
+TO_UNIQUE_PATIENT = ("患者id", "病人id", "唯一标识")
+TO_VISIT_TYPE = ("就诊类型", "类型", "来源")
+TO_CODE = ("编码", "icd")
+TO_INFECTION = ("感染状态", "感染情况", "感染结果")
+TO_TEST_DAY = ("检查日期", "检验日期")
+TO_RESULT_TYPE = ("结果类型", "结果判断")
+TO_DRUG_TYPE = ("药物类型", "药品类型", "类型")
+TO_AGE_BAND = ("年龄段", "年龄组", "年龄分组")
+TO_POPULATION = ("人群类别", "人群分类", "人群划分")
+
 # Lookups with the intended meaning: alternatives are tried in turn.
 ANY_PATIENT_ID = (PATIENT_ID, (PATIENT_ID_ALIAS,))
 ANY_UNIQUE_PATIENT_ID = (UNIQUE_PATIENT_ID, (PATIENT_ID_ALIAS,))
