@@ -7,6 +7,7 @@ sheet, so rows leave the task already in one layout and everything after is colu
 from __future__ import annotations
 
 import io
+import math
 import re
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
@@ -26,6 +27,8 @@ from careflow.schemas import ROW_IDX, SOURCE_FILE
 # One marker row per sheet (and per unreadable file) has this number instead of a row's.
 MARKER = -1
 BATCH_ROWS = 4096
+# The limits of a sheet.
+MAX_ROWS, MAX_COLUMNS = 1_048_576, 16_384
 SCAN_SCHEMA = (
     f"{SOURCE_FILE} string, sheet string, {ROW_IDX} bigint, header array<string>, "
     f"cells array<string>, {MISSING} array<string>, error string"
@@ -246,7 +249,9 @@ class _Workbook:
                 root = e if root is None else root
                 if event == "start" or _tag(e) != "row":
                     continue
-                number = int(e.get("r", expected + 1))
+                number = _whole(e.get("r"), expected + 1)
+                if not expected < number <= MAX_ROWS:
+                    number = expected + 1
                 cells = self._cells(e)
                 root.clear()
                 if all(c is None for c in cells):
@@ -265,7 +270,9 @@ class _Workbook:
         for c in row:
             if _tag(c) != "c":
                 continue
-            place = _column_number(c.get("r")) if c.get("r") else len(cells)
+            place = _column_number(c.get("r") or "", len(cells))
+            if place >= MAX_COLUMNS:
+                continue
             cells.extend([None] * (place + 1 - len(cells)))
             cells[place] = self._value(c)
         return cells
@@ -279,12 +286,12 @@ class _Workbook:
         if text is None or kind == "e":
             return None
         if kind == "s":
-            place = int(text)
-            text = self.strings[place] if place < len(self.strings) else ""
+            place = _whole(text, -1)
+            text = self.strings[place] if 0 <= place < len(self.strings) else ""
         elif kind == "b":
             text = "True" if text == "1" else "False"
         elif kind == "n":
-            return self._number(text, int(c.get("s", 0)))
+            return self._number(text, _whole(c.get("s"), 0))
         return None if text in NA_TEXT else text
 
     def _number(self, text: str, style: int) -> str | None:
@@ -295,8 +302,10 @@ class _Workbook:
         if style in self.date_styles:
             try:
                 return str(self.epoch + timedelta(seconds=round(value * 86400)))
-            except OverflowError:
+            except (OverflowError, ValueError):
                 return None
+        if not math.isfinite(value):
+            return None
         if value.is_integer() and abs(value) < 1e15:
             return str(int(value))
         return repr(value)
@@ -306,10 +315,19 @@ def _tag(e: ElementTree.Element) -> str:
     return e.tag.rpartition("}")[2]
 
 
-def _column_number(reference: str) -> int:
+def _whole(text: str | None, default: int) -> int:
+    """Attributes of a damaged file must not stop a job."""
+    try:
+        return default if text is None else int(text)
+    except ValueError:
+        return default
+
+
+def _column_number(reference: str, default: int) -> int:
+    """Zero-based column of a cell reference such as ``AB7``."""
     number = 0
-    for ch in reference:
-        if not ch.isalpha():
+    for ch in reference[:4]:
+        if not "A" <= ch.upper() <= "Z":
             break
         number = number * 26 + ord(ch.upper()) - 64
-    return number - 1
+    return number - 1 if number else default

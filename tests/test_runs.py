@@ -68,6 +68,13 @@ def test_scan_of_every_sheet_keeps_text_and_reads_dates(spark, tmp_path):
     assert {r.sheet for r in scan.filter("_row_idx = -1").collect()} == {"甲", "空"}
 
 
+def test_damaged_attributes_do_not_stop_the_scan():
+    assert workbook._column_number("AB7", 0) == 27
+    assert workbook._column_number("7", 5) == 5
+    assert workbook._column_number("ZZZZZZ1", 0) >= workbook.MAX_COLUMNS
+    assert workbook._whole("x", 3) == 3 and workbook._whole("4", 3) == 4
+
+
 def test_batch(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     report = batch.process_workbooks(spark, str(folder), out)
