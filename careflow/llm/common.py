@@ -30,6 +30,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def text_rows(docs: DataFrame, held_out: Column, carry: bool) -> DataFrame:
+    """``doc_id, held_out, text`` for a task, with ``row`` (all columns of the input row) if carried."""
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    return docs.select("doc_id", held_out.alias("held_out"), "text", *whole)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``: the fold a labelled row belongs to."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

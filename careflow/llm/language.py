@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import fold
+from careflow.llm.common import fold, text_rows
 
 #: Bounds of the labelled sample: documents and characters of each language, and languages.
 SAMPLE_DOCS = 64
@@ -172,8 +172,13 @@ def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, st
     return {name: " ".join(pieces) for name, pieces in samples.items()}
 
 
-def identify(docs: DataFrame, held_out: int = 1, parts: int = 3) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``docs`` (``doc_id, text, lang``).
+def has_letter(text: str) -> bool:
+    return any(found.group().isalpha() for found in LETTER.finditer(text))
+
+
+def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = False) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row of ``docs`` (``doc_id, text, lang``), and with
+    ``carry`` the whole input row as ``row``.
 
     Learns from labelled rows whose fold (crc32 of the id modulo ``parts``) is not ``held_out``; rows
     with a null id are not learned from and count as not held out.  ``lang_pred`` is ``und`` with score
@@ -183,15 +188,18 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3) -> DataFrame:
     """
     parser = learn(labelled_samples(docs, held_out, parts))
     shared = docs.sparkSession.sparkContext.broadcast(parser)
+    out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
+    rows = text_rows(docs, out, carry)
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()),
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        *rows.schema.fields[3:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(2)]
-            known = [bool(parser.languages) and LETTER.search(t) is not None for t in texts]
+            known = [bool(parser.languages) and has_letter(t) for t in texts]
             cost = costs([plain(t) if k else b"" for t, k in zip(texts, known, strict=True)], parser)
             names, scores = [], []
             for row, k in zip(cost, known, strict=True):
@@ -204,8 +212,7 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3) -> DataFrame:
                 names.append(parser.languages[best])
                 scores.append(float(rest.min() / (rest.min() + row[best])) if len(rest) else 1.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
+                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+                 *batch.columns[3:]], schema.names)
 
-    out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
-    return docs.select("doc_id", out.alias("held_out"), "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

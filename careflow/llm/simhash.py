@@ -66,15 +66,18 @@ def fingerprint(text: bytes | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id, fp`` for every row of ``docs`` (``doc_id, text``); a null text has no words."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
+    """``doc_id, text_hash, fp`` for every row of ``docs`` (``doc_id, text``); a null text has no words."""
+    schema = T.StructType([
+        docs.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array([fingerprint(t.as_py(), width) for t in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            fps = pa.array([fingerprint(t.as_py(), width) for t in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], schema.names)
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")
+    ).mapInArrow(run, schema)
 
 
 def unary_counts(fp: Column) -> Column:
@@ -245,10 +248,10 @@ def close_links(fps: DataFrame, distance: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs`` (``doc_id, text``).
+    """``doc_id, text_hash, fp, root, component_id`` for every row of ``docs`` (``doc_id, text``).
 
     ``component_id`` is the smallest ``doc_id`` reachable over fingerprints that differ in at most
-    ``distance`` bits, itself included.  Equal texts, repeated rows and texts without words share a
+    ``distance`` bits, itself included; ``root`` is a fingerprint that names the component.  Equal texts, repeated rows and texts without words share a
     fingerprint and with it a component; so do rows with a null id, which name no component unless all
     of it are null.  Other columns are ignored; an empty table gives no row.
 
@@ -258,11 +261,12 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     marked = cut(fingerprints(docs, width))
     classes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(close_links(classes.select("fp"), distance))
-    grouped = cut(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"))
-    smallest = grouped.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("first_id").alias("smallest"))
-    named = cut(grouped.join(smallest, "root", "left").select(
-        "fp", F.coalesce("smallest", "first_id").alias("component_id")))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    grouped = cut(
+        classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = cut(grouped.select("fp", "root").join(smallest, "root"))
+    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def hex_of(fp: Column) -> Column:

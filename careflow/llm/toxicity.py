@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import cut, fit_logistic, fold, label_of, logistic, sample_by_class
+from careflow.llm.common import cut, fit_logistic, fold, label_of, logistic, sample_by_class, text_rows
 
 #: Bound of the labelled sample, documents of each label.
 SAMPLE_DOCS = 2500
@@ -179,8 +179,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4)
     return Model(ordinary, toxic, fit_logistic((x - center) / spread, y, weight), center, spread)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs`` (``doc_id, text``).
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4, carry: bool = False
+) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row of ``docs`` (``doc_id, text``), and with
+    ``carry`` the whole input row as ``row``.
 
     ``labels`` has ``doc_id, toxic``; learning uses labels of 0 or 1 whose fold (crc32 of the id modulo
     ``parts``) is not ``held_out``, the larger one where they differ.  Every window of the whole text
@@ -189,13 +192,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts:
     ignored; an empty table gives no row.
     """
     model = learn(docs, labels, held_out, parts)
-    out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False)).alias("held_out")
+    out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
+    rows = text_rows(docs, out, carry)
+    flagged = (F.col("score") >= THRESHOLD).cast("int")
     if not isinstance(model, Model):
-        constant = F.lit(float(model))
-        return docs.select("doc_id", out, constant.alias("score"), (constant >= THRESHOLD).cast("int").alias("predicted"))
+        return rows.drop("text").withColumn("score", F.lit(float(model))).withColumn("predicted", flagged)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([
-        docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
+        docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()),
+        *rows.schema.fields[3:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -204,7 +209,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts:
             x = np.array([features(t.as_py() or "", a, b) for t in batch.column(2)]).reshape(-1, len(model.center))
             scores = logistic((x - model.center) / model.spread, model.beta)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], schema.names)
+                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), *batch.columns[3:]], schema.names)
 
-    scored = docs.select("doc_id", out, "text").mapInArrow(run, schema)
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return rows.mapInArrow(run, schema).withColumn("predicted", flagged)

@@ -1,41 +1,96 @@
-"""A corpus pipeline of text operators: each stage works on all that the one before it kept."""
+"""A corpus pipeline of text operators: each stage works on all that the one before it kept.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns the documents it
+keeps.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careflow.llm import mixing
-from careflow.llm.common import table
+from careflow.llm import decontaminate, language, mixing, simhash, toxicity
+from careflow.llm.common import cut, table
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some language: texts that are null or have no letter are told ``und`` and go.
+
+    If nothing could be learned, no language is told; texts with letters stay even then.
+    """
+    told = language.identify(docs, carry=True)
+    letters = F.coalesce(F.col("row")["text"].rlike(r"\p{L}"), F.lit(False))
+    return told.where((F.col("lang_pred") != language.UNKNOWN) | letters).select("row.*")
+
+
+def filter_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), carry=True)
+    return scored.where(F.col("predicted") == 0).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id, rows without an id last.
+
+    Of rows that repeat an id, the text with the smallest hash; of equal rows, one.
+    """
+    found = simhash.near_duplicates(docs, width=4, distance=4)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    chosen = cut(
+        rows.groupBy("root").agg(first, F.max("copies").alias("most"))
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"), "most"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
+    single = docs.join(chosen.where(F.col("most") == 1), same, "left_semi")
+    repeated = chosen.where(F.col("most") > 1)
+    if repeated.isEmpty():
+        return single
+    return single.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with ``copies`` of each and its source's ``target`` in words.
 
-    Fully repeated rows (id and text) are one document here; texts without words add nothing to a
-    mix by words and go.
+    Equal rows (id and text) are one document here; texts without words add nothing to a mix by
+    words and go.
     """
-    key = [F.col("doc_id"), F.xxhash64("text").alias("text_hash")]
     taken = (
         mixing.mix_sources(docs).where(F.col("taken") > 0)
         .groupBy(F.col("doc_id").alias("mixed_id"), F.col("text_hash").alias("mixed_hash"))
-        .agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("copies"), F.max("target").alias("target"))
-    )
-    kept = [c for c in docs.columns if c not in ("copies", "target")]
-    return (
-        docs.select(*kept).dropDuplicates(["doc_id", "text"])
-        .join(taken, F.col("doc_id").eqNullSafe(F.col("mixed_id")) & (F.xxhash64("text") == F.col("mixed_hash")))
-        .select(*kept, "copies", "target")
+        .agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("copies"), F.max("target").alias("target"),
+             F.count(F.lit(1)).alias("rows"))
     )
+    taken = cut(taken)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("copies", "target", "rows")]
+    same = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & (F.xxhash64("text") == F.col("mixed_hash"))
+    mixed = docs.select(*kept).join(taken, same)
+    result = mixed.where(F.col("rows") == 1).select(*kept, "copies", "target")
+    if taken.where(F.col("rows") > 1).isEmpty():
+        return result
+    repeated = mixed.where(F.col("rows") > 1).dropDuplicates(["doc_id", "text"])
+    return result.unionByName(repeated.select(*kept, "copies", "target"))
 
 
-STAGES = [("mixing sources to target weights", mix_sources)]
+STAGES = [
+    ("language ID", identify_language),
+    ("toxicity", filter_toxic),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix_sources),
+]
 #: Training models and tiling texts are beyond SQL; tests compare run() with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage keeps is written once before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
