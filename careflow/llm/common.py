@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,29 @@ def sample_by_class(labelled: DataFrame, per_class: int) -> tuple[DataFrame, dic
     return taken[0].unionByName(taken[1]), {y: sizes.get(y, 0) for y in (0, 1)}
 
 
+class Calibration(NamedTuple):
+    """Logistic regression on features that are kept within the range it was fitted on."""
+
+    beta: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    center: np.ndarray
+    spread: np.ndarray
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        x = (np.clip(x.reshape(-1, len(self.low)), self.low, self.high) - self.center) / self.spread
+        return 1 / (1 + np.exp(-np.clip(self.beta[0] + x @ self.beta[1:], -30, 30)))
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, sizes: dict[int, int]) -> Calibration:
+    """Fitted to rows sampled by class, weighed by the classes' sizes."""
+    center, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    weight = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (1 - y).sum())
+    weight *= len(y) / weight.sum()
+    beta = fit_logistic((x - center) / spread, y, weight)
+    return Calibration(beta, x.min(axis=0), x.max(axis=0), center, spread)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Coefficients of a weighted logistic regression, intercept first, by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -69,7 +93,3 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
         if np.abs(step).max() < 1e-8:
             break
     return beta
-
-
-def logistic(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30)))

@@ -147,7 +147,7 @@ def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, st
     Bounded: the ``MAX_LANGUAGES`` most frequent languages, ``SAMPLE_DOCS`` documents of each (those
     of the smallest id hashes), from each a piece at a hashed place.
     """
-    rows = docs.where(
+    rows = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), parts) != held_out))
     common = (
         rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).select("lang")

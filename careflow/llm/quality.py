@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import cut, fit_logistic, fold, label_of, logistic, sample_by_class
+from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class
 
 #: Bounds of the labelled sample: documents of each label, and chunks of each that train filters.
 SAMPLE_DOCS = 1500
@@ -39,9 +39,7 @@ class Network(NamedTuple):
 
 class Model(NamedTuple):
     network: Network
-    beta: np.ndarray
-    center: np.ndarray
-    spread: np.ndarray
+    probability: Calibration
 
 
 def padded(text: bytes) -> bytes:
@@ -167,7 +165,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts: int = 5)
     labelled = label_of(labels, "quality").where(fold(F.col("doc_id"), parts) != held_out)
     chosen, sizes = sample_by_class(labelled, SAMPLE_DOCS)
     sample = cut(
-        docs.join(F.broadcast(chosen), "doc_id")
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "label").agg(F.coalesce(F.min("text"), F.lit("")).alias("text")))
     if sample.select("label").distinct().count() < 2:
         return sizes[1] / max(1, sum(sizes.values()))
@@ -180,10 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts: int = 5)
     network = train(chunks, np.array([r["label"] for r in parts_of]))
     rows = sorted(_featured(sample, network).collect(), key=lambda r: r["doc_id"])
     y, x = np.array([r["label"] for r in rows], float), np.array([r["x"] for r in rows])
-    center, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    weight = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (1 - y).sum())
-    weight *= len(y) / weight.sum()
-    return Model(network, fit_logistic((x - center) / spread, y, weight), center, spread)
+    return Model(network, calibrate(x, y, sizes))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts: int = 5) -> DataFrame:
@@ -208,8 +203,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts:
         model = shared.value
         tables = _tables(model.network.filters)
         for batch in batches:
-            x = np.array([features(t.as_py(), model.network, tables) for t in batch.column(2)]).reshape(-1, 4)
-            scores = logistic((x - model.center) / model.spread, model.beta)
+            scores = model.probability(np.array([features(t.as_py(), model.network, tables) for t in batch.column(2)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], schema.names)
 

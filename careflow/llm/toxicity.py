@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import cut, fit_logistic, fold, label_of, logistic, sample_by_class, text_rows
+from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class, text_rows
 
 #: Bound of the labelled sample, documents of each label.
 SAMPLE_DOCS = 2500
@@ -39,9 +39,7 @@ WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 class Model(NamedTuple):
     ordinary: bytes
     toxic: bytes
-    beta: np.ndarray
-    center: np.ndarray
-    spread: np.ndarray
+    probability: Calibration
 
 
 def plain(text: str) -> bytes:
@@ -163,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4)
     labelled = label_of(labels, "toxic").where(fold(F.col("doc_id"), parts) != held_out)
     chosen, sizes = sample_by_class(labelled, SAMPLE_DOCS)
     sample = cut(
-        docs.join(F.broadcast(chosen), "doc_id")
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "label").agg(F.coalesce(F.min("text"), F.lit("")).alias("text")))
     if sample.select("label").distinct().count() < 2:
         return sizes[1] / max(1, sum(sizes.values()))
@@ -173,10 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4)
     x = np.array([r["x"] for r in rows])
     order = np.lexsort([*x.T, y])
     x, y = x[order], y[order]
-    center, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    weight = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (1 - y).sum())
-    weight *= len(y) / weight.sum()
-    return Model(ordinary, toxic, fit_logistic((x - center) / spread, y, weight), center, spread)
+    return Model(ordinary, toxic, calibrate(x, y, sizes))
 
 
 def score_toxicity(
@@ -206,8 +201,7 @@ def score_toxicity(
         model = shared.value
         a, b = compressor(model.ordinary), compressor(model.toxic)
         for batch in batches:
-            x = np.array([features(t.as_py() or "", a, b) for t in batch.column(2)]).reshape(-1, len(model.center))
-            scores = logistic((x - model.center) / model.spread, model.beta)
+            scores = model.probability(np.array([features(t.as_py() or "", a, b) for t in batch.column(2)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), *batch.columns[3:]], schema.names)
 
