@@ -112,7 +112,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     vectors of the same number of components are candidates, ties go to the smaller id, and fewer than
     k candidates are all returned.  Null ids and vectors that are null or hold a null or non-finite
     component take no part; of rows that repeat an id, the one with the smallest vector counts; other
-    columns are ignored.
+    columns are ignored.  Products beyond a long are an error.
 
     Of equal vectors only the k + 1 smallest ids can be among the best of any query, so all copies
     of a frequent vector but those are left out beforehand, exactly.  Queries are taken in blocks of
