@@ -10,6 +10,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
 import __spark_entry__  # noqa: E402
 import check_oracles  # noqa: E402
+from careflow import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not there")
@@ -25,9 +26,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
     assert check_oracles.compare(spark, con, SF, name) is None
