@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,17 +11,18 @@ from pyspark.sql import functions as F
 from careflow import vocab
 from careflow.functions import status
 from careflow.functions.naming import clean_name, clean_names, quoted
+from careflow.functions.temporal import as_timestamp, render_timestamp
 from careflow.operators import dedup
 from careflow.operators.projection import lineage
 from careflow.plans import reports
 from careflow.schemas import (
-    LIS01, LIS02, LIS03, LIS04, LIS05, LIS06, LISA1, ROW_ID, SOURCE_FILE, TABLES, target_schema,
+    LIS01, LIS02, LIS03, LIS04, LIS05, LIS06, LISA1, ROW_ID, ROW_IDX, SOURCE_FILE, TABLES, target_schema,
 )
-from careflow.sources.sinks import read_store, write_table
+from careflow.sources.sinks import write_table
 
 ORIGIN, UPDATED = "数据来源", "数据更新时间"
 
-# What makes two rows of a table the same record.  A date key counts by day.
+# What makes two rows of a table the same record.
 KEYS: dict[str, tuple[str, ...]] = {
     LIS01: ("患者唯一编码", "就诊日期"),
     LIS02: ("患者唯一编码", "就诊日期"),
@@ -30,6 +32,12 @@ KEYS: dict[str, tuple[str, ...]] = {
     LIS06: ("患者ID",),
     LISA1: ("患者ID",),
 }
+# Keys that count by day: visits, of which there is one per patient and day.
+DAY_KEYS: dict[str, tuple[str, ...]] = {LIS01: ("就诊日期",), LIS02: ("就诊日期",)}
+# Statistics of a patient's visits.
+FIRST, LAST, VISITS = "首次就诊日期", "最近就诊日期", "就诊次数"
+# Tables that are merged side by side.
+MERGES = 4
 
 
 def with_provenance(df: DataFrame, run_ts: str) -> DataFrame:
@@ -50,21 +58,29 @@ def id_column(columns: Sequence[str]) -> str | None:
     )
 
 
-def _key_columns(keys: Sequence[str]) -> list[Column]:
-    return [
-        F.substring(F.col(quoted(k)).cast("string"), 1, 10) if k.endswith("日期") else F.col(quoted(k))
-        for k in map(clean_name, keys)
-    ]
+def _row_order(df: DataFrame, own: Sequence[str]) -> list[str]:
+    """Row identity; without row numbers a row's content settles what the file leaves open."""
+    return lineage(df) if ROW_IDX in df.columns else [*lineage(df), *own]
+
+
+def _blank(column: Column) -> Column:
+    return F.trim(F.coalesce(column.cast("string"), F.lit(""))) == ""
 
 
 def merge_table(
-    df: DataFrame, run_ts: str, keys: Sequence[str] | None = None, keep_null_keys: bool = False
+    df: DataFrame,
+    run_ts: str,
+    keys: Sequence[str] | None = None,
+    keep_null_keys: bool = False,
+    by_day: Sequence[str] = ("就诊日期",),
 ) -> DataFrame:
     """First row per key in (file, row) order.
 
-    With ``keys`` those decide.  Without, the first identifier column does, whatever it
-    is, and a table without one loses only rows equal in every column (origin included).
-    Rows whose key is null throughout count as one unless ``keep_null_keys``.
+    With ``keys`` those decide; of a key in ``by_day`` only the day counts, read from whatever
+    layout it is written in.  Without, the first identifier column does, whatever it is, and a
+    table without one loses only rows equal in every column (origin included).  With
+    ``keep_null_keys`` rows without the first key, or without a readable day, are nobody's
+    duplicates and all stay; else they are equal if their texts are.
     """
     merged = with_provenance(df, run_ts)
     own = [c for c in merged.columns if c not in ROW_ID]
@@ -73,15 +89,65 @@ def merge_table(
         if found is None:
             return dedup.drop_duplicate_rows(merged, lineage(merged))
         keys = (found,)
-    columns = _key_columns(keys)
-    order = dedup.tie_break(merged, lineage(merged))
+    keys, days = [clean_name(k) for k in keys], {clean_name(k) for k in by_day}
+    day = {k: as_timestamp(merged, k).cast("date").cast("string") for k in keys if k in days}
+    columns = [
+        F.coalesce(day[k], F.col(quoted(k)).cast("string")) if k in day else F.col(quoted(k)) for k in keys
+    ]
+    order = dedup.tie_break(merged, _row_order(merged, own))
     if not keep_null_keys:
         return dedup.keep_first(merged, columns, order).select(*map(quoted, own))
-    unknown = columns[0].isNull()
+    unknown = _blank(columns[0])
+    for value in day.values():
+        unknown = unknown | value.isNull()
     kept = dedup.keep_first(merged.filter(~unknown), columns, order)
     return kept.unionByName(merged.filter(unknown)).select(*map(quoted, own))
 
 
+def merge_patients(df: DataFrame, run_ts: str, key: str = KEYS[LISA1][0]) -> DataFrame:
+    """One row per known patient of all files: that of the latest visit, with the first and the
+    last visit and the number of visits over all of them.
+
+    One aggregation, partial before the shuffle.  Rows without a patient all stay.
+    """
+    merged = with_provenance(df, run_ts)
+    own = [c for c in merged.columns if c not in ROW_ID]
+    times = {c: as_timestamp(merged, c) for c in (FIRST, LAST) if c in own}
+    last = times.get(LAST, F.lit(None).cast("timestamp_ntz"))
+    # Least first: the newest time (none at the end), then the earliest row.
+    age = -F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), last)
+    ties = [part for c in _row_order(merged, own) for part in (F.col(quoted(c)).isNull(), F.col(quoted(c)))]
+    rows = merged.filter(~_blank(F.col(quoted(key)))).select(
+        F.col(quoted(key)).alias("_key"),
+        F.struct(last.isNull(), age, *ties).alias("_order"),
+        F.struct(*map(quoted, own)).alias("_row"),
+        *[times.get(c, F.lit(None).cast("timestamp_ntz")).alias(n) for c, n in ((FIRST, "_first"), (LAST, "_last"))],
+        (F.col(quoted(VISITS)) if VISITS in own else F.lit(None)).cast("bigint").alias("_visits"),
+    )
+    patients = rows.groupBy("_key").agg(
+        F.min_by("_row", "_order").alias("_row"), F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"), F.sum("_visits").alias("_visits"),
+    )
+    computed = {
+        FIRST: render_timestamp(F.col("_first")), LAST: render_timestamp(F.col("_last")),
+        VISITS: F.col("_visits"),
+    }
+    known = patients.select(*[
+        computed[c].cast(merged.schema[c].dataType).alias(c) if c in computed
+        else F.col("_row").getField(c).alias(c) for c in own
+    ])
+    return known.unionByName(merged.filter(_blank(F.col(quoted(key)))).select(*map(quoted, own)))
+
+
+def merged_rows(table: str, df: DataFrame, run_ts: str, compat: bool = False) -> DataFrame:
+    """The rows of one table over all files, without duplicates."""
+    if compat:
+        return merge_table(df, run_ts)
+    if table == LISA1:
+        return merge_patients(df, run_ts)
+    return merge_table(df, run_ts, KEYS[table], True, DAY_KEYS.get(table, ()))
+
+
 def merge_results(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -94,25 +160,25 @@ def merge_results(
 
     ``files`` has (path).  A table that fails is reported and does not stop the others.
     """
-    counts = []
-    for table in TABLES:
-        error = None
+    def merged(table: str) -> DataFrame:
+        """(sheet, rows, error) of one table, written."""
+        path, error, rows = f"{output}/{table}", None, 0
         try:
             if table in tables:
-                keys = None if compat else KEYS[table]
-                write_table(merge_table(tables[table], run_ts, keys), f"{output}/{table}")
+                write_table(merged_rows(table, tables[table], run_ts, compat), path)
+                rows = spark.read.parquet(path).count()
             else:
-                write_table(spark.createDataFrame([], target_schema(table)), f"{output}/{table}")
+                write_table(spark.createDataFrame([], target_schema(table)), path)
         except Exception as problem:
             error = f"{type(problem).__name__}: {problem}"
-        rows = (
-            F.lit(0).cast("bigint") if error else read_store(spark, f"{output}/{table}")
-            .agg(F.count("*")).scalar()
-        )
-        counts.append(spark.range(1).select(
-            F.lit(table).alias("sheet"), rows.alias("rows"),
+        return spark.range(1).select(
+            F.lit(table).alias("sheet"), F.lit(rows).cast("bigint").alias("rows"),
             F.lit(error).cast("string").alias("error"),
-        ))
+        )
+
+    # The tables have nothing to do with each other.
+    with ThreadPoolExecutor(MERGES) as pool:
+        counts = list(pool.map(merged, TABLES))
     per_table = counts[0]
     for more in counts[1:]:
         per_table = per_table.unionByName(more)

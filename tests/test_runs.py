@@ -110,7 +110,7 @@ def test_batch(spark, folder, tmp_path):
     final = batch.merge_processed(spark, out, merged, "2024-01-01 00:00:00")
     lines = {r["指标"]: r["数值"] for r in final["总体统计"].collect()}
     assert lines["合并状态"] == "success" and lines["输入文件数"] == "4"
-    assert [r["行数"] for r in final["详细结果"].collect()] == [4, 4, 2, 1, 1, 3, 3]
+    assert [r["行数"] for r in final["详细结果"].collect()] == [4, 4, 3, 1, 1, 3, 3]
     assert [r["文件名"] for r in final["输入文件列表"].orderBy("序号").collect()] == [
         "b.xlsx", "bad.xlsx", "c.xlsx", "测试原始数据a.xlsx"]
     skipped = {(r.file.rsplit("/", 1)[-1], r.sheet, r.reason) for r in final["跳过的文件"].collect()}
@@ -209,3 +209,43 @@ def test_read_table_keeps_text(spark, tmp_path):
     df.coalesce(1).drop("_source_file").write.parquet(str(tmp_path / "p"))
     numbered = tables.read_table(spark, [str(tmp_path / "p")])
     assert sorted(r["_row_idx"] for r in numbered.collect()) == [0, 1]
+
+
+PATIENTS = "_source_file string, _row_idx bigint, `患者ID` string, `姓名` string, `首次就诊日期` string, `最近就诊日期` string, `就诊次数` bigint"
+
+
+def test_merge_of_patients_counts_all_files(spark):
+    rows = [("a.xlsx", 0, "P001", "old", "2023-01-01", "2023-01-01 12:00:00", 2),
+            ("b.xlsx", 0, "P001", "new", "2022/05/01", "2024-05-01", 2),
+            ("b.xlsx", 1, None, "x", "2023-01-01", "2023-01-01", 1), ("a.xlsx", 1, " ", "y", "", "", None),
+            ("a.xlsx", 2, "P002", "z", "", "no date", 1), ("b.xlsx", 2, "P002", "w", "", "", 3)]
+    df = spark.createDataFrame(rows, PATIENTS)
+    got = {(r["患者ID"], r["姓名"]): (r["首次就诊日期"], r["最近就诊日期"], r["就诊次数"], r["数据来源"])
+           for r in merge.merge_patients(df, "t").collect()}
+    assert got == {
+        ("P001", "new"): ("2022-05-01", "2024-05-01", 4, "b.xlsx"), (None, "x"): ("2023-01-01", "2023-01-01", 1, "b.xlsx"),
+        (" ", "y"): ("", "", None, "a.xlsx"), ("P002", "z"): ("", "", 4, "a.xlsx")}
+
+
+def test_merge_keeps_tests_of_one_day_and_unknown_patients(spark):
+    rows = [("a", 0, "P1", "核酸", "2023-01-01 08:00:00", "阳性"), ("a", 1, "P1", "核酸", "2023-01-01 18:00:00", "阴性"),
+            ("b", 0, "P1", "核酸", "2023-01-01 08:00:00", "未检出"), ("b", 1, None, "核酸", "2023-01-01", "阴性"),
+            ("c", 0, None, "核酸", "2023-01-01", "阴性")]
+    df = spark.createDataFrame(
+        rows, "_source_file string, _row_idx bigint, `患者ID` string, `检查名称` string, `检查日期` string, `检查结果` string")
+    kept = merge.merged_rows(LIS05, df, "t")
+    assert sorted(r["检查结果"] for r in kept.collect()) == ["阳性", "阴性", "阴性", "阴性"]
+    assert merge.merged_rows(LIS05, df, "t", compat=True).count() == 2
+
+
+def test_merge_of_days_in_any_layout(spark):
+    rows = [("a", 0, "P1", "2023-01-01"), ("b", 0, "P1", "2023/01/01 08:00"), ("c", 0, "P1", "20230101"),
+            ("a", 1, "P1", "1月4日"), ("b", 1, "P1", "1月4日"), ("b", 2, "P1", "")]
+    df = spark.createDataFrame(rows, "_source_file string, _row_idx bigint, `患者唯一编码` string, `就诊日期` string")
+    days = [r["就诊日期"] for r in merge.merged_rows(LIS01, df, "t").collect()]
+    assert sorted(days) == ["", "1月4日", "1月4日", "2023-01-01"]
+
+
+def test_merge_without_row_numbers_is_the_same_in_any_partitioning(spark):
+    df = spark.range(4000).select(F.lit("f.csv").alias("_source_file"), F.lit("k").alias("患者ID"), F.col("id").alias("v"))
+    assert {merge.merge_table(df.repartition(n), "t", ["患者ID"]).first()["v"] for n in (1, 3, 7)} == {0}
