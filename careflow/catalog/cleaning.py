@@ -81,11 +81,14 @@ _PASSAGES_SQL = """SELECT doc_id, lang FROM documents d
 WHERE EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, b.text))"""
 
 
-def _passages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _passages(spark: SparkSession, sf_dir: str, vocabulary: DataFrame | None = None, **options) -> DataFrame:
+    """Documents that hold a passage; every seventh has no key."""
     documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    key = F.when(F.col("doc_id") % 7 > 0, F.col("doc_id"))
     found = keyword_semijoin(
-        documents.select("doc_id", "lang", "text"), "text",
-        benchmark.select(F.col("text").alias("passage")), "passage", ["doc_id"], **options)
+        documents.select("doc_id", "lang", "text", key.alias("known_id"), F.when(key.isNull(), F.col("doc_id")).alias("other_id")),
+        "text", (benchmark if vocabulary is None else vocabulary).select(F.col("text").alias("passage")), "passage",
+        ["known_id", "other_id"], **options)
     return found.select("doc_id", "lang")
 
 
@@ -94,19 +97,25 @@ def passages(spark, sf_dir):
     return _passages(spark, sf_dir)
 
 
-@query("keyword_semijoin_nested", _PASSAGES_SQL)
+@query("keyword_semijoin_nested", """SELECT doc_id, lang FROM documents d
+WHERE EXISTS (SELECT 1 FROM (SELECT max(text) AS text FROM benchmark GROUP BY left(text, 1)) b WHERE contains(d.text, b.text))""")
 def passages_nested(spark, sf_dir):
-    return _passages(spark, sf_dir, max_nested_terms=100_000)
+    """A short vocabulary: the last passage of each initial."""
+    last = read(spark, sf_dir, "benchmark").groupBy(F.left("text", F.lit(1)).alias("initial")).agg(F.max("text").alias("text"))
+    return _passages(spark, sf_dir, last)
 
 
-@query("keyword_semijoin_broadcast", _PASSAGES_SQL)
+@query("keyword_semijoin_broadcast", """SELECT doc_id, lang FROM documents d
+WHERE EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, left(b.text, 12)))""")
 def passages_broadcast(spark, sf_dir):
-    return _passages(spark, sf_dir, max_nested_terms=0)
+    """Short terms by anchors: the beginnings of all passages."""
+    starts = read(spark, sf_dir, "benchmark").select(F.left("text", F.lit(12)).alias("text"))
+    return _passages(spark, sf_dir, starts, max_nested_terms=0)
 
 
 @query("keyword_semijoin_shuffled", _PASSAGES_SQL)
 def passages_shuffled(spark, sf_dir):
-    return _passages(spark, sf_dir, max_nested_terms=0, max_broadcast_terms=0)
+    return _passages(spark, sf_dir, max_nested_terms=0)
 
 
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +169,24 @@ def impute_mode(spark, sf_dir):
     return _rounded(fill_missing(_gappy(spark, sf_dir), "mode"))
 
 
+_WIDE = 100
+
+
+def _wide_sql(i: int) -> str:
+    return f"CASE WHEN (event_id + {i}) % 7 > 0 THEN (event_id * {i + 1} + user_id) % {3 + i % 11} END"
+
+
+@query("impute_mode_wide", "WITH w AS (SELECT event_id, " + ", ".join(f"{_wide_sql(i)} AS c{i}" for i in range(_WIDE)) + """ FROM events)
+SELECT event_id, """ + ", ".join(
+    f"coalesce(c{i}, (SELECT c{i} FROM w WHERE c{i} IS NOT NULL GROUP BY c{i} ORDER BY count(*) DESC, c{i} LIMIT 1)) AS c{i}"
+    for i in range(_WIDE)) + " FROM w")
+def impute_mode_wide(spark, sf_dir):
+    """More columns with gaps than an id of grouping sets has bits."""
+    wide = read(spark, sf_dir, "events").select("event_id", *[
+        F.expr(f"{_wide_sql(i)} AS c{i}") for i in range(_WIDE)])
+    return fill_missing(wide, "mode")
+
+
 @query("format_dates", """
 SELECT event_id AS row_key, 'e' AS origin, CASE WHEN ts = date_trunc('day', ts) THEN strftime(ts, '%Y-%m-%d')
   ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "就诊日期", event_type AS other FROM events

@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from careflow.catalog.registry import query, read
 from careflow.plans import merge
 from careflow.schemas import LIS04, LIS06, ROW_IDX, SOURCE_FILE, TABLES
-from careflow.sources import sinks
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or a local one in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/careflow-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
+from careflow.sources import scratch, sinks
 
 
 def _by_status(spark: SparkSession, sf_dir: str):
@@ -32,15 +23,17 @@ def _by_status(spark: SparkSession, sf_dir: str):
 WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_totalprice >= 100000)""")
 def store_upsert(spark, sf_dir):
     """Three files are stored; then one comes with fewer rows and one with none."""
-    rows, path = _by_status(spark, sf_dir), f"{scratch(spark)}/orders"
+    rows, folder = _by_status(spark, sf_dir), scratch.new_folder(spark)
+    path = f"{folder}/orders"
     files = rows.select(SOURCE_FILE).distinct()
     sinks.upsert_files(rows, files, path, "first", buckets=16)
     again = files.filter(~F.col(SOURCE_FILE).endswith("O.xlsx"))
     fewer = rows.filter(F.col(SOURCE_FILE).endswith("F.xlsx") & (F.col("price") >= 100000))
     sinks.upsert_files(fewer, again, path, "second", buckets=16)
     stored = sinks.read_store(spark, path, rows.schema)
-    return stored.select(
+    named = stored.select(
         F.element_at(F.split(SOURCE_FILE, "/"), -1).alias("file"), "order_key", "price")
+    return scratch.without_folder(named, folder)
 
 
 _FILLED = {LIS04: "SELECT count(DISTINCT (o_custkey, o_orderpriority, o_orderdate)) FROM orders",
@@ -61,6 +54,6 @@ def merge_run(spark, sf_dir):
     )
     tables = {LIS04: rows, LIS06: rows.drop("药物名称", "用药日期")}
     files = rows.select(F.col(SOURCE_FILE).alias("path"))
-    report = merge.merge_results(
-        spark, tables, files, f"{scratch(spark)}/merged", "2024-02-01 00:00:00")
-    return report["详细结果"]
+    folder = scratch.new_folder(spark)
+    report = merge.merge_results(spark, tables, files, f"{folder}/merged", "2024-02-01 00:00:00")
+    return scratch.without_folder(report["详细结果"], folder)

@@ -1,24 +1,23 @@
 """Missing-value imputation: default, mean, median and mode.
 
-Statistics enter the plan as scalar subqueries of one row, except the median, whose
-exact value needs a few bounded passes.
+Statistics enter the plan as scalar subqueries of one row, except the median, which is picked
+beforehand by its rank.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow.functions.naming import quoted
+from careflow.operators.running import with_total_before
 from careflow.schemas import ROW_ID
 
-# The final pass of the median hands at most this many values per column to one task.
-MEDIAN_FINAL_VALUES = 1_000_000
-MEDIAN_ACCURACY = 10_000
+# Columns whose values are counted in one scan; an id of grouping sets has 64 bits.
+MODE_COLUMNS = 32
 
 
 def fill_missing(df: DataFrame, strategy: str = "default") -> DataFrame:
@@ -80,98 +79,45 @@ def _fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class _Interval:
-    """Closed interval that holds the value sought: the one at ``rank`` among ``size``."""
-
-    rank: int
-    size: int
-    lo: float | None = None
-    hi: float | None = None
-
-    @property
-    def settled(self) -> bool:
-        return self.lo is not None and self.lo == self.hi
-
-    def of(self, value: Column) -> Column:
-        """The value where it lies inside, else null."""
-        return value if self.lo is None else F.when(value.between(self.lo, self.hi), value)
-
-    def fractions(self, accuracy: int) -> list[float]:
-        """Quantiles that straddle the rank by more than the sketch's error."""
-        middle, slack = self.rank / self.size, 2 / accuracy
-        return [max(0.0, middle - slack), min(1.0, middle + slack)]
-
-    def narrowed(self, pieces: Sequence) -> _Interval:
-        """The part that holds the rank, by exact counts.  It always is a smaller one:
-        the cuts are parts of their own."""
-        rank = self.rank
-        for piece in pieces:
-            if rank < piece.n:
-                return _Interval(rank, piece.n, piece.lo, piece.hi)
-            rank -= piece.n
-        raise AssertionError("the input changed between two passes")
-
-
-def _pieces(value: Column, a: float, b: float) -> Column:
-    """Size and bounds of the five parts into which ``a`` and ``b`` cut the values."""
-    tests = [value < a, value == a, (value > a) & (value < b), (value == b) & F.lit(a < b), value > b]
-    return F.array(
-        *[F.struct(F.count_if(t).alias("n"),
-                   F.min(F.when(t, value)).alias("lo"),
-                   F.max(F.when(t, value)).alias("hi")) for t in tests]
-    )
-
-
 def exact_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    counts: Mapping[str, int] | None = None,
-    final_values: int = MEDIAN_FINAL_VALUES,
-    accuracy: int = MEDIAN_ACCURACY,
+    df: DataFrame, columns: Sequence[str], counts: Mapping[str, int] | None = None
 ) -> dict[str, float | None]:
     """Exact interpolated medians of several columns, null for a column without values.
 
-    ``median`` keeps every distinct value in one task.  Here a quantile sketch, which is
-    of bounded size, proposes an interval around the middle and exact counts settle
-    which part of it holds a middle rank; each pass leaves about 4/``accuracy`` of the
-    values.  Once at most ``final_values`` are left they are sorted in one task.  What
-    reaches the driver is one row per pass.  ``counts`` are the known values per column,
-    where the caller has them.
+    ``median`` keeps every distinct value in one task.  Here the distinct values of all columns are
+    counted in one scan, partial counts before the shuffle, and dealt out by ranges with running
+    totals; the rows that hold the middle ranks, at most two a column, reach the driver.  ``counts``
+    are the known values per column, where the caller has them.
     """
     if not columns:
         return {}
-    value = {c: _known(df, c).cast("double") for c in columns}
     counts = _counts(df, columns)[1] if counts is None else counts
-    middles = {c: sorted({(counts[c] - 1) // 2, counts[c] // 2}) for c in columns if counts[c]}
-    sought = {(c, r): _Interval(r, counts[c]) for c, ranks in middles.items() for r in ranks}
-
-    while wide := [k for k, i in sought.items() if not i.settled and i.size > final_values]:
-        inside = {k: sought[k].of(value[k[0]]) for k in wide}
-        cuts = df.agg(
-            *[F.percentile_approx(inside[k], sought[k].fractions(accuracy), accuracy) for k in wide]
-        ).first()
-        pieces = df.agg(*[_pieces(inside[k], *cut) for k, cut in zip(wide, cuts)]).first()
-        sought.update({k: sought[k].narrowed(found) for k, found in zip(wide, pieces)})
-
-    at_rank = {k: i.lo for k, i in sought.items() if i.settled}
-    if last := [k for k in sought if k not in at_rank]:
-        found = df.agg(
-            *[F.get(F.sort_array(F.collect_list(sought[k].of(value[k[0]]))), sought[k].rank)
-              for k in last]
-        ).first()
-        at_rank.update(zip(last, found))
-    return {
-        c: sum(at_rank[c, r] for r in middles[c]) / len(middles[c]) if c in middles else None
-        for c in columns
+    values = F.array(*[_known(df, c).cast("double") for c in columns])
+    frequencies = (
+        df.select(F.posexplode(values).alias("_column", "_value")).filter(F.col("_value").isNotNull())
+        .groupBy("_column", "_value").agg(F.count("*").alias("_n"))
+    )
+    wanted, start = {}, 0
+    for c in columns:
+        wanted[c] = [start + r for r in {(counts[c] - 1) // 2, counts[c] // 2}] if counts[c] else []
+        start += counts[c]
+    ranks = sorted({r for own in wanted.values() for r in own})
+    if not ranks:
+        return dict.fromkeys(columns)
+    before, after = F.col("_before"), F.col("_before") + F.col("_n")
+    held = F.filter(F.array(*map(F.lit, ranks)), lambda r: (r >= before) & (r < after))
+    totals = with_total_before(frequencies, ["_column", "_value"], F.col("_n"))
+    at_rank = {
+        row["rank"]: row["_value"] for row in totals.select("_value", F.explode(held).alias("rank")).collect()
     }
+    return {c: sum(at_rank[r] for r in own) / len(own) if own else None for c, own in wanted.items()}
 
 
 def _fill_mode(df: DataFrame) -> DataFrame:
     """Most frequent value of every column, the smallest on ties; '' where there is none.
 
-    One scan counts the values of the columns that have gaps (grouping sets), partial
-    counts before the shuffle, then one row is kept per column.  Columns without gaps,
+    One scan per ``MODE_COLUMNS`` counts the values of columns that have gaps (grouping sets),
+    partial counts before the shuffle, then one row is kept per column.  Columns without gaps,
     such as unique keys, are never shuffled.
     """
     columns = [c for c in df.columns if c not in ROW_ID]
@@ -179,8 +125,17 @@ def _fill_mode(df: DataFrame) -> DataFrame:
         return df
     total, known = _counts(df, columns)
     columns = [c for c in columns if known[c] < total]
-    if not columns:
-        return df
+    filled = {}
+    for start in range(0, len(columns), MODE_COLUMNS):
+        for c, mode in _modes(df, columns[start:start + MODE_COLUMNS]).items():
+            value = F.coalesce(_known(df, c), mode)
+            if isinstance(df.schema[c].dataType, T.StringType):
+                value = F.coalesce(value, F.lit(""))
+            filled[c] = value
+    return df.withColumns(filled) if filled else df
+
+
+def _modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     names = {c: f"v{i}" for i, c in enumerate(columns)}
     values = df.select(*[_known(df, c).alias(n) for c, n in names.items()])
     counts = values.groupingSets([(n,) for n in names.values()], *names.values()).agg(
@@ -191,16 +146,10 @@ def _fill_mode(df: DataFrame) -> DataFrame:
     every = (1 << len(columns)) - 1
 
     def top(i: int, name: str) -> Column:
-        mine = (F.col("g") == every - (1 << (last - i))) & F.col(name).isNotNull()
+        mine = (F.col("g") == F.lit(every - (1 << (last - i))).cast("bigint")) & F.col(name).isNotNull()
         return F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), F.col(name).alias("v"))))
 
     best = counts.agg(
         F.struct(*[top(i, n).alias(n) for i, n in enumerate(names.values())])
     ).scalar()
-    filled = {}
-    for c, name in names.items():
-        value = F.coalesce(_known(df, c), best.getField(name).getField("v"))
-        if isinstance(df.schema[c].dataType, T.StringType):
-            value = F.coalesce(value, F.lit(""))
-        filled[c] = value
-    return df.withColumns(filled)
+    return {c: best.getField(name).getField("v") for c, name in names.items()}

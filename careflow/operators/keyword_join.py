@@ -3,29 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from careflow.functions.naming import quoted
 from careflow.operators.filters import keyed_rows
-
-try:
-    import ahocorasick
-except ImportError:  # long vocabularies are then always shuffled
-    ahocorasick = None
+from careflow.operators.hashed import bit_filter, passes, unpacked, window_hashes
 
 # Testing every term against every text is for short lists only.
 MAX_NESTED_TERMS = 64
-# What is broadcast is measured first.
-MAX_BROADCAST_TERMS = 200_000
-MAX_BROADCAST_BYTES = 32 << 20
+MAX_NESTED_BYTES = 1 << 20
 
-# A longer vocabulary is looked up by the first characters of its terms: as many as the
-# largest of these that a term has.
-ANCHOR_LENGTHS = (1, 2, 4, 8, 16, 32)
-PART_CHARS = 256
+# A longer vocabulary is looked up by the first bytes of its terms: as many as the largest of
+# these that a term has.
+ANCHOR_BYTES = (1, 2, 4, 8, 16, 32)
+# Bytes of a text that are hashed at a time.
+BLOCK = 1 << 20
 
 
 def keyword_semijoin(
@@ -35,122 +34,106 @@ def keyword_semijoin(
     term: str,
     row_key: Sequence[str],
     max_nested_terms: int = MAX_NESTED_TERMS,
-    max_broadcast_terms: int = MAX_BROADCAST_TERMS,
 ) -> DataFrame:
-    """Left-semi join on ``contains(text, term)``; ``row_key`` identifies a row of ``df``.
+    """Left-semi join on ``contains(text, term)``; ``row_key`` identifies a row of ``df``, null
+    being a value like any other.
 
-    The vocabulary is measured.  A short one is tested term by term inside the scan's
-    stage.  A longer one goes to every task as one automaton, which reads each text once
-    whatever the number of terms.  Beyond a size it is shuffled.  All are exact.
+    The vocabulary is measured.  A short one is tested term by term inside the scan's stage.  Any
+    other is joined by hashed anchors.  Both give the same rows; the measure picks a plan.
     """
     terms = keyed_rows(vocabulary.select(F.col(quoted(term)).alias("_term")), "_term").distinct()
     size = terms.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("_term")), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(F.length("_term")), F.lit(0)).alias("longest"),
+        F.coalesce(F.max(F.octet_length("_term")), F.lit(0)).alias("longest"),
         F.count_if(F.col("_term") == "").alias("blank"),
     ).first()
     if size.blank:
         return df.filter(F.col(quoted(text)).isNotNull())
-    small = size.bytes <= MAX_BROADCAST_BYTES
-    if size.n == 0 or (small and size.n <= max_nested_terms):
+    if size.n == 0 or (size.n <= min(max_nested_terms, MAX_NESTED_TERMS) and size.bytes <= MAX_NESTED_BYTES):
         return df.join(
             F.broadcast(terms), F.contains(F.col(quoted(text)), F.col("_term")), "left_semi"
         )
-    if small and size.n <= max_broadcast_terms and ahocorasick is not None:
-        words = [r[0] for r in terms.collect()]
-        return df.filter(_holds_any(words)(F.col(quoted(text))))
     return _anchored_semijoin(df, text, terms, row_key, size.longest)
 
 
-def _holds_any(words: list[str]):
-    """Arrow-batched predicate; the automaton is built once per Python worker task."""
-
-    @F.pandas_udf("boolean")
-    def holds_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for word in words:
-            automaton.add_word(word)
-        automaton.make_automaton()
-        for texts in batches:
-            yield texts.map(
-                lambda t: t is not None and next(automaton.iter(t), None) is not None
-            ).astype(bool)
-
-    return holds_any
+def _anchored_terms(terms: DataFrame) -> DataFrame:
+    """(anchor, bytes, term): each term with the hash of its first bytes and how many they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            sizes = [max(n for n in ANCHOR_BYTES if n <= len(w)) for w in words]
+            anchors = [window_hashes(w[:n], (n,))[n][0] for w, n in zip(words, sizes, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(anchors, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), batch.column(0)],
+                ["_anchor", "_bytes", "_term"])
+
+    binary = terms.select(F.col("_term").cast("binary").alias("_term"))
+    return binary.mapInArrow(run, "_anchor long, _bytes int, _term binary")
+
+
+def _pieces(text: bytes, used: tuple[int, ...], longest: int, known: np.ndarray) -> set[tuple[int, bytes]]:
+    """Where a term could start: (anchor, text from there), each once, no longer than its terms are."""
+    found: set[tuple[int, bytes]] = set()
+    overlap = max(longest, max(used))
+    for start in range(0, len(text), BLOCK):
+        part = text[start:start + BLOCK + overlap]
+        for n, hashes in window_hashes(part, used).items():
+            hashes = hashes[:BLOCK]
+            at = np.flatnonzero(passes(hashes, known))
+            # A term whose anchor has n bytes has fewer than 2n, but for the last kind.
+            size = longest if n == ANCHOR_BYTES[-1] else min(longest, 2 * n - 1)
+            if size <= 8 and len(at):
+                padded = np.frombuffer(part + bytes(size), np.uint8)
+                window = np.lib.stride_tricks.sliding_window_view(padded, size)[at]
+                _, first = np.unique(window.dot(256 ** np.arange(size, dtype=np.uint64)), return_index=True)
+                at = at[first]
+            found.update((int(h), part[i:i + size]) for h, i in zip(
+                hashes[at].view(np.int64).tolist(), at.tolist(), strict=True))
+    return found
 
 
 def _anchored_semijoin(
     df: DataFrame, text: str, terms: DataFrame, row_key: Sequence[str], longest: int
 ) -> DataFrame:
-    """Find where a term could start, then look up the pieces of text that start there.
-
-    Substrings of the (at most six) anchor lengths are joined with the terms' anchors.
-    An anchor is there once, with the lengths its terms have, so terms that start alike
-    are never paired with each text.  The piece of each such length is then looked up in
-    the vocabulary.  All joins are equi-joins whose vocabulary side has one row per key;
-    AQE splits a substring that is common to many texts.
+    """Find where a term could start, then compare the text from there.
 
-    Characters are found by counting from the start of a string, so long texts are cut
-    into blocks first, and these into parts.  A block goes on into the next by the
-    longest term's length.
+    Texts stay where they are: windows of the (at most six) anchor lengths are hashed and tested
+    against a bit set of the terms' anchors, of fixed size.  Only pieces that pass, each once per
+    text, are joined with the terms, by anchor.  AQE splits an anchor that is common to many texts.
     """
-    key = list(row_key)
-    length = F.length("_term")
-    anchor = F.greatest(F.lit(1), *[F.when(length >= n, F.lit(n)) for n in ANCHOR_LENGTHS])
-    anchored = terms.select("_term", length.alias("_n"), anchor.alias("_a"))
-    used = sorted(anchored.agg(F.collect_set("_a")).first()[0])
-    anchors = anchored.groupBy(F.left("_term", F.col("_a")).alias("_anchor")).agg(
-        F.collect_set("_n").alias("_lengths")
-    )
-
-    size = F.greatest(F.lit(max(PART_CHARS, longest)), F.ceil(F.sqrt(F.length("_text"))))
-    texts = (
-        df.select(*key, F.col(quoted(text)).alias("_text"))
-        .filter(F.length("_text") > 0)
-        .withColumn("_size", size.cast("int"))
-    )
-    blocks = texts.select(
-        *key, "_size", _cut("_text", F.length("_text"), F.col("_size"), longest - 1, "_block")
+    anchored = _anchored_terms(terms)
+    used = tuple(sorted(r[0] for r in anchored.select("_bytes").distinct().collect()))  # at most six
+    bits = df.sparkSession.sparkContext.broadcast(bit_filter(anchored, "_anchor"))
+    keys = [f"_k{i}" for i in range(len(row_key))]
+    rows = df.select(
+        *[F.col(quoted(k)).alias(n) for k, n in zip(row_key, keys, strict=True)],
+        F.col(quoted(text)).cast("binary").alias("_text"),
+    ).filter(F.length("_text") > 0)
+    schema = T.StructType([
+        *rows.schema.fields[:-1], T.StructField("_anchor", T.LongType()), T.StructField("_piece", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked(bits.value)
+        for batch in batches:
+            owner, anchors, pieces = [], [], []
+            for i, value in enumerate(batch.column(batch.num_columns - 1)):
+                own = _pieces(value.as_py(), used, longest, known)
+                owner += [i] * len(own)
+                anchors += [a for a, _ in own]
+                pieces += [p for _, p in own]
+            if owner:
+                taken = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(taken) for c in batch.columns[:-1]), pa.array(anchors, pa.int64()),
+                     pa.array(pieces, pa.binary())], schema.names)
+
+    matched = (
+        rows.mapInArrow(run, schema).join(anchored.drop("_bytes"), "_anchor")
+        .filter(F.startswith("_piece", "_term")).select(*keys).distinct()
     )
-    # The characters at which a block's own pieces start; the rest is the next block's.
-    own = F.least(F.length("_block"), F.col("_size"))
-    parts = blocks.withColumn("_own", own).select(
-        *key, "_block_no", "_own",
-        _cut("_block", F.col("_own"), F.lit(PART_CHARS), max(ANCHOR_LENGTHS) - 1, "_part"),
-    )
-    starting = F.least(F.lit(PART_CHARS), F.col("_own") - F.col("_part_no") * PART_CHARS)
-    substrings = F.flatten(F.transform(
-        F.array(*map(F.lit, used)),
-        lambda a: F.transform(
-            F.sequence(F.lit(1), starting),
-            lambda p: F.struct(p.alias("p"), F.substr(F.col("_part"), p, a).alias("gram")),
-        ),
-    ))
-    grams = parts.select(*key, "_block_no", "_part_no", F.explode(substrings).alias("_s")).select(
-        *key, "_block_no",
-        (F.col("_part_no") * PART_CHARS + F.col("_s.p")).alias("_at"),
-        F.col("_s.gram").alias("_gram"),
-    )
-    starts = grams.join(anchors, F.col("_gram") == F.col("_anchor")).select(
-        *key, "_block_no", "_at", F.explode("_lengths").alias("_n")
-    )
-    pieces = starts.join(blocks, [*key, "_block_no"]).select(
-        *key, F.expr("substr(_block, _at, _n)").alias("_piece")
-    )
-    matched = pieces.join(terms, F.col("_piece") == F.col("_term"), "left_semi")
-    return df.join(matched.select(*key).distinct(), key, "left_semi")
+    return df.join(matched, reduce(and_, _same(row_key, keys)), "left_semi")
 
 
-def _cut(text: str, length: Column, size: Column, overlap: int, name: str) -> Column:
-    """One row per started ``size`` of ``length``: its number and the text from there.
-
-    The pieces come out of the generator itself; a plain column would be moved into the
-    expressions that use it and cut again for each of their values.
-    """
-    last = F.floor((length - 1) / size).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda n: F.substr(F.col(text), n * size + 1, size + overlap),
-    )
-    return F.posexplode(pieces).alias(f"{name}_no", name)
+def _same(row_key: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    return [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in zip(row_key, keys, strict=True)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from careflow.functions import status
 from careflow.functions.naming import quoted
+from careflow.operators.running import with_total_before
 
 
 def _lines(row: DataFrame, entries: Mapping[str, Column]) -> DataFrame:
@@ -114,12 +115,10 @@ def merge_summary(details: DataFrame, n_files: Column, output: str) -> DataFrame
 def input_files(files: DataFrame, path: str = "path") -> DataFrame:
     """Input files in name order with a running number from 1.
 
-    ``row_number`` over everything would be one task; ``zipWithIndex`` numbers the sorted
-    ranges from their sizes.
+    ``row_number`` over everything would be one task; ranges of names are numbered side by side.
     """
-    ordered = files.select(F.col(quoted(path)).alias("path")).distinct().sort("path")
-    numbered = files.sparkSession.createDataFrame(
-        ordered.rdd.zipWithIndex().map(lambda pair: (pair[1] + 1, pair[0][0])),
-        "`序号` bigint, `文件路径` string",
-    )
-    return numbered.select("序号", status.base_name(F.col("文件路径")).alias("文件名"), "文件路径")
+    paths = files.select(F.col(quoted(path)).alias("path")).distinct()
+    numbered = with_total_before(paths, ["path"], F.lit(1))
+    return numbered.select(
+        (F.col("_before") + 1).alias("序号"), status.base_name(F.col("path")).alias("文件名"),
+        F.col("path").alias("文件路径"))

@@ -2,12 +2,13 @@
 
 import statistics
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from careflow.operators import dedup, filters, impute, keyword_join, projection, union
+from careflow.operators import dedup, filters, hashed, impute, keyword_join, projection, running, union
 from careflow.schemas import HEADERS, LIS01, LIS06, target_schema
 
 few = settings(
@@ -91,12 +92,37 @@ def test_exact_medians(spark, values):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
     known = [float(v) for v in values if v is not None]
     want = statistics.median(known) if known else None
-    # A tiny final size makes it narrow over several passes.
-    for options in ({}, {"counts": {"x": len(known)}}, {"final_values": 2, "accuracy": 20}):
+    for options in ({}, {"counts": {"x": len(known)}}):
         got = impute.exact_medians(df, ["x"], **options)["x"]
         assert got == pytest.approx(want) if known else got is None
 
 
+def test_exact_medians_of_several_columns(spark):
+    rows = [(float(i % 5), None, float(-i), 1.0 if i == 3 else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    assert impute.exact_medians(df, list("abcd")) == {"a": 2.0, "b": None, "c": -9.5, "d": 1.0}
+
+
+@pytest.mark.parametrize("width", [31, 32, 33, 63, 64, 65, 100])
+def test_mode_of_any_number_of_columns(spark, width):
+    rows = [[None if (r + c) % 4 == 0 else (r * (c + 1)) % 3 for c in range(width)] for r in range(8)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{c} int" for c in range(width)))
+    got = impute.fill_missing(df, "mode").collect()
+    for c in range(width):
+        known = [r[c] for r in rows if r[c] is not None]
+        mode = min(known, key=lambda v: (-known.count(v), v))
+        assert [g[c] for g in got] == [mode if r[c] is None else r[c] for r in rows]
+
+
+def test_running_totals(spark):
+    df = spark.createDataFrame([(k, n) for k, n in zip("qwertyuiopasdfgh", range(16))], "k string, n int")
+    got = {r["k"]: r["_before"] for r in running.with_total_before(df.repartition(5), ["k"], F.col("n")).collect()}
+    total, rows = 0, sorted(zip("qwertyuiopasdfgh", range(16)))
+    for k, n in rows:
+        assert got[k] == total
+        total += n
+
+
 @pytest.fixture(scope="module")
 def gaps(spark):
     return spark.createDataFrame(
@@ -166,7 +192,8 @@ def test_keyword_rows(table):
     assert filters.keyed_rows(df, "t").count() == 2
 
 
-TIERS = [{}, {"max_nested_terms": 0}, {"max_nested_terms": 0, "max_broadcast_terms": 0}]
+# One plan for a few terms, another for more; the bound between them, from both sides.
+TIERS = [{}, {"max_nested_terms": 0}, {"max_nested_terms": 6}, {"max_nested_terms": 7}]
 
 
 @pytest.mark.parametrize("options", TIERS)
@@ -174,11 +201,14 @@ def test_keyword_semijoin_against_brute_force(spark, options):
     texts = ["abcdef", "xyz", "", None, "新冠核酸检测", "q" * 700 + "needle in the hay" + "q" * 90,
              "a" * 255 + "bc", "ab" * 400]
     terms = ["bc", "核酸", None, "bc", "needle in the ha", "nope", "q" * 33, "ba" * 20]
-    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    # A row whose key is null in part or in whole is a row like any other.
+    keys = [(i if i % 3 else None, "x" if i % 2 else None) for i in range(len(texts))]
+    rows = [(i, *k, t) for i, (k, t) in enumerate(zip(keys, texts))]
+    docs = spark.createDataFrame(rows, "id int, k int, l string, t string").filter("id <> 6")
     vocabulary = spark.createDataFrame([(w,) for w in terms], "w string")
-    found = keyword_join.keyword_semijoin(docs, "t", vocabulary, "w", ["id"], **options)
-    want = [i for i, t in enumerate(texts) if t is not None and any(w in t for w in terms if w)]
-    assert sorted(r.id for r in found.collect()) == want
+    found = keyword_join.keyword_semijoin(docs, "t", vocabulary, "w", ["k", "l"], **options)
+    want = [i for i, t in enumerate(texts) if i != 6 and t is not None and any(w in t for w in terms if w)]
+    assert sorted(r.id for r in found.collect()) == want and 0 in want
     none = keyword_join.keyword_semijoin(docs, "t", vocabulary.limit(0), "w", ["id"], **options)
     assert none.count() == 0
 
@@ -186,9 +216,26 @@ def test_keyword_semijoin_against_brute_force(spark, options):
 @few
 @given(st.lists(st.text("ab新", max_size=12), max_size=8),
        st.lists(st.text("ab新", min_size=1, max_size=5), min_size=1, max_size=5))
-def test_keyword_semijoin_shuffled_property(spark, texts, terms):
+def test_keyword_semijoin_by_anchors_property(spark, texts, terms):
     docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     vocabulary = spark.createDataFrame([(w,) for w in terms], "w string")
-    found = keyword_join.keyword_semijoin(docs, "t", vocabulary, "w", ["id"], 0, 0)
+    found = keyword_join.keyword_semijoin(docs, "t", vocabulary, "w", ["id"], 0)
     assert sorted(r.id for r in found.collect()) == [
         i for i, t in enumerate(texts) if any(w in t for w in terms)]
+
+
+def test_terms_across_blocks_and_longer_than_them(spark, monkeypatch):
+    text = "".join(chr(97 + i * i % 23) for i in range(5000))
+    known = np.ones(1 << hashed.FILTER_BITS, bool)
+    monkeypatch.setattr(keyword_join, "BLOCK", 64)
+    pieces = keyword_join._pieces(text.encode(), (1, 2, 32), 300, known)
+    assert {p for _, p in pieces if len(p) == 300} == {text[i:i + 300].encode() for i in range(len(text) - 299)}
+
+
+def test_anchors_send_few_rows(spark):
+    """Texts without terms send nothing; what is sent doesn't grow with repeats in a text."""
+    known = np.zeros(1 << hashed.FILTER_BITS, bool)
+    anchor = hashed.window_hashes(b"need", (4,))[4]
+    known[(anchor & np.uint64((1 << hashed.FILTER_BITS) - 1)).astype(np.int64)] = True
+    assert len(keyword_join._pieces(b"need " * 5000, (4,), 6, known)) <= 2
+    assert len(keyword_join._pieces(b"hay and straw " * 5000, (4,), 6, known)) == 0
