@@ -26,10 +26,10 @@ def store_upsert(spark, sf_dir):
     rows, folder = _by_status(spark, sf_dir), scratch.new_folder(spark)
     path = f"{folder}/orders"
     files = rows.select(SOURCE_FILE).distinct()
-    sinks.upsert_files(rows, files, path, "first", buckets=16)
+    sinks.upsert_files(rows, files, path, "first")
     again = files.filter(~F.col(SOURCE_FILE).endswith("O.xlsx"))
     fewer = rows.filter(F.col(SOURCE_FILE).endswith("F.xlsx") & (F.col("price") >= 100000))
-    sinks.upsert_files(fewer, again, path, "second", buckets=16)
+    sinks.upsert_files(fewer, again, path, "second")
     stored = sinks.read_store(spark, path, rows.schema)
     named = stored.select(
         F.element_at(F.split(SOURCE_FILE, "/"), -1).alias("file"), "order_key", "price")

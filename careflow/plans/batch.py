@@ -20,6 +20,12 @@ from careflow.sources.tables import holds_data, skip_reasons
 from careflow.sources.workbook import MARKER, scan_workbooks, sheet_table, widen
 
 LANDED = "_landed"
+# All processed files with what they lack, each as its last run found it.
+INPUTS = "_inputs"
+INPUT_SCHEMA = T.StructType([
+    T.StructField(SOURCE_FILE, T.StringType()), T.StructField(MISSING, T.ArrayType(T.StringType())),
+    T.StructField("error", T.StringType()),
+])
 
 
 def land_workbooks(
@@ -53,19 +59,26 @@ def workbook_files(landed: DataFrame) -> DataFrame:
     )
 
 
-def table_outcomes(files: DataFrame, numbers: Sequence[int] | None = None) -> DataFrame:
-    """(source_file, sheet, ok, error): which table could be built from which file."""
+def table_outcomes(
+    files: DataFrame, numbers: Sequence[int] | None = None, failed: Mapping[int, str] = {}
+) -> DataFrame:
+    """(source_file, sheet, ok, error, reason): which table was built from which file.
+
+    ``failed`` has the tables that could not be built, with the reason; ``error`` is the file's own.
+    """
     specs = [s for s in SPECS if numbers is None or s.number in numbers]
     outcomes = F.array(*[
         F.struct(
             F.lit(f"sheet{s.number}").alias("sheet"),
-            (F.col("error").isNull()
+            (F.col("error").isNull() & F.lit(s.number not in failed)
              & ~F.arrays_overlap(F.col(MISSING), F.array(*map(F.lit, s.required)))).alias("ok"),
+            F.lit(f"sheet{s.number}: {failed[s.number]}" if s.number in failed else None)
+            .cast("string").alias("reason"),
         ) for s in specs
     ])
     return files.select(
         F.col(SOURCE_FILE).alias("source_file"), F.col("error"), F.inline(outcomes)
-    ).select("source_file", "sheet", "ok", "error")
+    ).select("source_file", "sheet", "ok", "error", "reason")
 
 
 def bad_dates(landed: DataFrame) -> DataFrame:
@@ -130,47 +143,75 @@ def process_workbooks(
     ``numbers`` picks tables (1-7); ``run`` names the run and must be new.  Returns the report
     tables, which are written too.
     """
-    run = run or uuid.uuid4().hex
     landed = land_workbooks(spark, directory, output, pattern, compat)
-    sheets = input_sheets(landed, compat)
-    files = workbook_files(landed)
+    return process_sheets(
+        input_sheets(landed, compat), workbook_files(landed), output, numbers, compat, run,
+        {"日期异常": bad_dates(landed)},
+    )
+
+
+def process_sheets(
+    sheets: Mapping[str, DataFrame],
+    files: DataFrame,
+    output: str,
+    numbers: Sequence[int] | None = None,
+    compat: bool = False,
+    run: str | None = None,
+    reported: Mapping[str, DataFrame] = {},
+) -> dict[str, DataFrame]:
+    """Build the tables of the input ``sheets``, which name their file in ``_source_file``.
+
+    ``files`` has (file, what it lacks, error) of every processed file.  A table that cannot be built
+    leaves what is stored of it as it was, is reported, and does not stop the others.
+    """
+    spark, run = files.sparkSession, run or uuid.uuid4().hex
     built: dict[str, DataFrame] = {}
+    failed: dict[int, str] = {}
     for spec in SPECS:
         if numbers is not None and spec.number not in numbers:
             continue
-        path = f"{output}/{spec.name}"
-        header = output_header(spark, spec, output)
-        table = spec.build(spec.inputs(sheets), built, header, compat)
-        upsert_files(table, files.select(SOURCE_FILE), path, run)
+        try:
+            path = f"{output}/{spec.name}"
+            header = output_header(spark, spec, output)
+            table = spec.build(spec.inputs(sheets), built, header, compat)
+            upsert_files(table, files.select(SOURCE_FILE), path, run)
+        except Exception as problem:  # whatever it is, the other tables go on
+            failed[spec.number] = f"{type(problem).__name__}: {problem}".splitlines()[0]
+            continue
         # Later tables read what was written rather than build it again.
         built[spec.name] = read_store(spark, path, stored_schema(header), run)
-    results = reports.file_results(table_outcomes(files, numbers))
+    upsert_files(files.select(*INPUT_SCHEMA.names), files.select(SOURCE_FILE), f"{output}/{INPUTS}", run)
+    results = reports.file_results(table_outcomes(files, numbers, failed))
     only = numbers[0] if numbers is not None and len(numbers) == 1 else None
     report = {
         "总体统计": reports.batch_summary(results),
         "详细结果": reports.batch_details(results, output, only),
-        "日期异常": bad_dates(landed),
+        **reported,
     }
     for name, frame in report.items():
         write_table(frame, f"{output}/batch_process_report/{name}")
     return report
 
 
+def processed_files(spark: SparkSession, output: str) -> DataFrame:
+    """Every file that any run processed, as its last run found it."""
+    return read_store(spark, f"{output}/{INPUTS}", INPUT_SCHEMA)
+
+
 def stored_tables(spark: SparkSession, output: str) -> Mapping[str, DataFrame]:
     """The seven tables as they are stored; one without any row has its default header."""
-    return {
-        s.name: read_store(
-            spark, f"{output}/{s.name}", stored_schema(output_header(spark, s, output))
-        )
-        for s in SPECS
-    }
+    def stored(spec: TableSpec) -> DataFrame:
+        path, schema = f"{output}/{spec.name}", stored_schema(output_header(spark, spec, output))
+        return read_store(spark, path, schema) if holds_data(spark, path) else spark.createDataFrame([], schema)
+
+    return {spec.name: stored(spec) for spec in SPECS}
 
 
 def merge_processed(
     spark: SparkSession, processed: str, output: str, run_ts: str, compat: bool = False
 ) -> dict[str, DataFrame]:
     """Merge what ``process_workbooks`` left in ``processed``."""
-    files, tables = workbook_files(read_landed(spark, processed)), stored_tables(spark, processed)
+    files, tables = processed_files(spark, processed), stored_tables(spark, processed)
     report = merge.merge_results(
         spark, tables, files.select(F.col(SOURCE_FILE).alias("path")), output, run_ts, compat
     )

@@ -22,8 +22,10 @@ def _lines(row: DataFrame, entries: Mapping[str, Column]) -> DataFrame:
 def file_results(outcomes: DataFrame) -> DataFrame:
     """One row per file from (source_file, sheet, ok, error) with one row per file and table.
 
-    The lists are as long as the table list, which is fixed.
+    ``reason``, if there, says why a table could not be built.  The lists are as long as the table
+    list, which is fixed.
     """
+    reason = F.col("reason") if "reason" in outcomes.columns else F.lit(None).cast("string")
     def named(condition: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("sheet")))), ", ")
 
@@ -33,6 +35,7 @@ def file_results(outcomes: DataFrame) -> DataFrame:
         F.max("error").alias("_error"),
         named(F.col("ok")).alias("_names_ok"),
         named(~F.col("ok")).alias("_names_bad"),
+        F.array_join(F.array_sort(F.collect_set(reason)), "; ").alias("_reasons"),
     )
     return grouped.withColumn(
         "_status", status.file_status(F.col("_ok"), F.col("_bad"), F.col("_error"))
@@ -51,7 +54,7 @@ def batch_details(results: DataFrame, output: str, table_number: int | None = No
         F.col("_status").alias("状态"),
         F.when(error, F.lit("")).otherwise(F.col("_names_ok")).alias("成功处理的sheet"),
         F.when(error, F.lit("")).otherwise(F.col("_names_bad")).alias("失败处理的sheet"),
-        F.coalesce("_error", F.lit("")).alias("错误信息"),
+        F.coalesce("_error", "_reasons").alias("错误信息"),
     )
 
 

@@ -1,90 +1,98 @@
-"""Table store: one directory per table, partitioned by a hash bucket of the source file.
+"""Table store: runs are appended, and a log says which run is the current one of each file.
 
-A directory per file would mean millions of tiny partitions, so files share buckets.
-``rebalance`` lets AQE split the bucket of a file that holds a large part of all rows and
-join small ones before files are written.
+A table is one directory with a part per run, and beside them the log (``_files``: file, run,
+position of the run).  A rerun of some files adds their rows and their log lines; nothing that is
+there is read or written again, whatever the store holds.  Readers take of each file the rows of its
+last run.  ``compact_store`` rewrites a store without rows that are out of date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow.schemas import SOURCE_FILE
 from careflow.sources.tables import delete_path, holds_data
 
-BUCKETS = 256
-RUN = "_run"
-# Paths are a few hundred bytes at most: some megabytes in all.
+# A part's name: the mark keeps a run of digits from being read as a number.
+PART, MARK = "careflow_run", "run-"
+LOG = "_files"
+LOG_SCHEMA = f"{SOURCE_FILE} string, {PART} string, position bigint"
+# Paths are a few hundred bytes at most: some megabytes in all.  More of them are joined by shuffle.
 MAX_BROADCAST_FILES = 20_000
 
 
-def bucket_name(buckets: int) -> str:
-    """The count is part of the name: buckets of another count must not be mixed in."""
-    return f"_bucket{buckets}"
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_FILES) -> DataFrame:
+    """Broadcast a list of keys when a count shows that it is short; else leave it to AQE."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
 
+def file_log(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of all files; empty where the table was never written."""
+    place = f"{path}/{LOG}"
+    if not holds_data(spark, place):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(place)
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(SOURCE_FILE), F.lit(buckets)).cast("int")
+
+def current_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, part): the last run of each file."""
+    return file_log(spark, path).groupBy(SOURCE_FILE).agg(F.max_by(PART, "position").alias(PART))
 
 
 def read_store(
     spark: SparkSession, path: str, schema: T.StructType | None = None, run: str | None = None
 ) -> DataFrame:
-    """A stored table, or the rows that one run wrote.
+    """The current rows of a stored table, or the rows that one run wrote.
 
     With its schema a table that never had a row can be read too.
     """
     if schema is None:
-        df = spark.read.parquet(path)
+        # Runs may differ in columns: a later one can have a column more.
+        df = spark.read.option("mergeSchema", True).parquet(path)
     else:
-        df = spark.read.schema(T.StructType([*schema, T.StructField(RUN, T.StringType())])).parquet(path)
+        df = spark.read.schema(T.StructType([*schema, T.StructField(PART, T.StringType())])).parquet(path)
     if run is not None:
-        df = df.filter(F.col(RUN) == run)
-    return df.drop(RUN, *[c for c in df.columns if c.startswith("_bucket")])
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_FILES) -> DataFrame:
-    """Broadcast a list of keys when a count shows that it is short; else leave it to AQE."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+        return df.filter(F.col(PART) == MARK + run).drop(PART)
+    current = broadcast_if_small(current_files(spark, path))
+    return df.join(current, [SOURCE_FILE, PART], "left_semi").select(*[c for c in df.columns if c != PART])
 
 
-def upsert_files(
-    df: DataFrame, files: DataFrame, path: str, run: str, buckets: int = BUCKETS
-) -> None:
-    """Replace what the table at ``path`` holds of ``files`` by ``df``, marked with ``run``.
+def upsert_files(df: DataFrame, files: DataFrame, path: str, run: str) -> None:
+    """Replace what the table at ``path`` holds of ``files`` by ``df``, as run ``run``.
 
-    ``files`` lists every processed ``_source_file``, also those without rows now.  Only
-    the buckets of these files are rewritten (dynamic overwrite commits once, at the
-    end); a bucket left without rows is removed after that.
+    ``files`` lists every processed ``_source_file``, also those without rows now.  Rows are added
+    first and become current with the log, so a run that fails in between has changed nothing.  A
+    run's name must be new.
     """
-    spark, name = df.sparkSession, bucket_name(buckets)
-    new = df.withColumns({RUN: F.lit(run), name: _bucket(buckets)})
-    touched: set[int] = set()
-    if holds_data(spark, path):
-        old = spark.read.parquet(path)
-        if name not in old.columns:
-            raise ValueError(f"{path} was written with another number of buckets")
-        processed = files.select(SOURCE_FILE).distinct()
-        # At most ``buckets`` numbers.
-        touched = {r[0] for r in processed.select(_bucket(buckets)).distinct().collect()}
-        kept = old.filter(F.col(name).isin(*touched)).join(
-            broadcast_if_small(processed), SOURCE_FILE, "left_anti"
-        )
-        new = new.unionByName(kept, allowMissingColumns=True)
-    written = Observation()
+    spark = df.sparkSession
+    log = file_log(spark, path)
+    part = MARK + run
+    known = log.agg(
+        F.coalesce(F.max("position"), F.lit(0)).alias("last"), F.count_if(F.col(PART) == part).alias("same")
+    ).first()
+    if known["same"]:
+        raise ValueError(f"{path} already holds run {run}")
     (
-        new.hint("rebalance", name)
-        .observe(written, F.collect_set(name).alias("buckets"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(name)
-        .parquet(path)
+        df.withColumn(PART, F.lit(part)).hint("rebalance")
+        # A part that a run of this name left when it failed goes.
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     )
-    if touched:
-        for bucket in touched.difference(written.get["buckets"]):
-            delete_path(spark, f"{path}/{name}={bucket}")
+    (
+        files.select(SOURCE_FILE).distinct()
+        .select(SOURCE_FILE, F.lit(part).alias(PART), F.lit(known["last"] + 1).cast("bigint").alias("position"))
+        .write.mode("append").parquet(f"{path}/{LOG}")
+    )
+
+
+def compact_store(spark: SparkSession, path: str, run: str, schema: T.StructType | None = None) -> None:
+    """Rewrite the current rows as one run and remove the parts of earlier runs."""
+    current = current_files(spark, path).select(SOURCE_FILE)
+    earlier = [r[0] for r in file_log(spark, path).select(PART).distinct().collect()]  # one per run
+    upsert_files(read_store(spark, path, schema), current, path, run)
+    for part in earlier:
+        delete_path(spark, f"{path}/{PART}={part}")
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -43,10 +43,10 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def holds_data(spark: SparkSession, path: str) -> bool:
-    """Whether a directory holds anything but markers such as ``_SUCCESS``."""
+    """Whether a directory holds anything but markers and logs, such as ``_SUCCESS``."""
     fs, place = _hadoop_path(spark, path)
     return fs.exists(place) and any(
-        not s.getPath().getName().startswith(("_SUCCESS", ".")) for s in fs.listStatus(place)
+        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(place)
     )
 
 

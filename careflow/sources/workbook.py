@@ -213,9 +213,7 @@ class _Workbook:
         old_mac = properties is not None and properties.get("date1904") in ("1", "true")
         self.epoch = datetime(1904, 1, 1) if old_mac else datetime(1899, 12, 30)
         self.strings = [
-            "".join(t.text or "" for t in e.iter() if _tag(t) == "t")
-            for e in self._elements("xl/sharedStrings.xml")
-            if _tag(e) == "si"
+            _shown(e) for e in self._elements("xl/sharedStrings.xml") if _tag(e) == "si"
         ]
         self.date_styles = self._date_styles()
 
@@ -237,23 +235,28 @@ class _Workbook:
 
     def check(self, sheet: str) -> None:
         """Raise when a sheet's part is missing, damaged or not well-formed."""
-        expat.ParserCreate().Parse(self.zip.read(self.sheets[sheet]), True)
+        with self.zip.open(self.sheets[sheet]) as part:
+            expat.ParserCreate().ParseFile(part)
 
     def rows(self, sheet: str) -> Iterator[list[str | None]]:
         """The header, then data rows; blank rows count only between filled ones."""
         header: list[str | None] | None = None
         expected = 0
         with self.zip.open(self.sheets[sheet]) as part:
-            root = None
+            above: list[ElementTree.Element] = []
             for event, e in ElementTree.iterparse(part, events=("start", "end")):
-                root = e if root is None else root
-                if event == "start" or _tag(e) != "row":
+                if event == "start":
+                    above.append(e)
+                    continue
+                above.pop()
+                if _tag(e) != "row":
                     continue
                 number = _whole(e.get("r"), expected + 1)
                 if not expected < number <= MAX_ROWS:
                     number = expected + 1
                 cells = self._cells(e)
-                root.clear()
+                # What has been read is released: a row hangs on the element above it.
+                above[-1].clear()
                 if all(c is None for c in cells):
                     continue
                 if header is None:
@@ -280,7 +283,7 @@ class _Workbook:
     def _value(self, c: ElementTree.Element) -> str | None:
         kind = c.get("t", "n")
         if kind == "inlineStr":
-            text = "".join(t.text or "" for t in c.iter() if _tag(t) == "t")
+            text = "".join(_shown(part) for part in c if _tag(part) == "is")
         else:
             text = next((v.text for v in c if _tag(v) == "v"), None)
         if text is None or kind == "e":
@@ -315,6 +318,12 @@ def _tag(e: ElementTree.Element) -> str:
     return e.tag.rpartition("}")[2]
 
 
+def _shown(e: ElementTree.Element) -> str:
+    """Text of a string item: its own and that of its runs, without readings (phonetic runs)."""
+    parts = [t for part in e for t in (part if _tag(part) == "r" else (part,)) if _tag(t) == "t"]
+    return "".join(t.text or "" for t in parts)
+
+
 def _whole(text: str | None, default: int) -> int:
     """Attributes of a damaged file must not stop a job."""
     try:

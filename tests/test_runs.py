@@ -1,10 +1,13 @@
 """Workbook scan, table store, batch and merge."""
 
+import re
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
-from workbooks import Date, write_workbook
+from workbooks import Date, edit_part, write_workbook
 
-from careflow.plans import batch, merge, reports
+from careflow.plans import batch, merge, registry, reports
 from careflow.schemas import LIS01, LIS02, LIS04, LIS05, LIS06, TABLES
 from careflow.sources import sinks, tables, workbook
 
@@ -141,12 +144,97 @@ def test_rerun_replaces_only_the_processed_files(spark, folder, tmp_path):
     assert stored[LIS02].count() == stored[LIS01].count()
 
 
-def test_store_refuses_other_bucket_counts(spark, tmp_path):
-    df = spark.createDataFrame([("f", 1)], "_source_file string, x int")
-    sinks.upsert_files(df, df, str(tmp_path / "t"), "r1", buckets=4)
-    assert sinks.read_store(spark, str(tmp_path / "t")).collect() == [("f", 1)]
+def test_merge_after_a_partial_rerun_is_of_all_files(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    batch.process_workbooks(spark, str(folder), out)
+    batch.process_workbooks(spark, str(folder), out, pattern="b.xlsx")
+    final = batch.merge_processed(spark, out, str(tmp_path / "merged"), "t")
+    assert [r["文件名"] for r in final["输入文件列表"].orderBy("序号").collect()] == [
+        "b.xlsx", "bad.xlsx", "c.xlsx", "测试原始数据a.xlsx"]
+    lines = {r["指标"]: r["数值"] for r in final["总体统计"].collect()}
+    assert lines["输入文件数"] == "4"
+    assert len({r.file for r in final["跳过的文件"].collect()}) == 3
+
+
+def test_a_table_that_fails_leaves_the_others_and_what_was_stored(spark, folder, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    batch.process_workbooks(spark, str(folder), out, numbers=[4, 5])
+    before = batch.stored_tables(spark, out)[LIS04].count()
+
+    def broken(*args, **options):
+        raise RuntimeError("no such drug list\nand more")
+
+    monkeypatch.setattr(registry.orders, "antiviral_orders", broken)
+    report = batch.process_workbooks(spark, str(folder), out, numbers=[4, 5])
+    details = {r["文件名"]: r for r in report["详细结果"].collect()}
+    good = details["原始数据a"]
+    assert (good["状态"], good["成功处理的sheet"], good["失败处理的sheet"]) == ("partial", "sheet5", "sheet4")
+    assert good["错误信息"] == "sheet4: RuntimeError: no such drug list"
+    assert details["bad"]["状态"] == "error" and details["bad"]["错误信息"].startswith("BadZipFile")
+    assert batch.stored_tables(spark, out)[LIS04].count() == before > 0
+
+
+def test_readings_are_no_text(spark, tmp_path):
+    """Phonetic runs of shared and inline strings are left out, rich text is joined."""
+    write_workbook(tmp_path / "x.xlsx", {"甲": [["名"], ["东京"], ["大阪"]]})
+    shared = ('<si><t>名</t></si><si><t>东京</t><rPh sb="0" eb="2"><t>トウキョウ</t></rPh></si>'
+              '<si><r><t>大</t></r><r><t>阪</t></r><rPh sb="0" eb="2"><t>オオサカ</t></rPh></si>')
+    edit_part(tmp_path / "x.xlsx", "xl/sharedStrings.xml", lambda xml: re.sub("(?<=>)<si>.*</si>", shared, xml))
+    write_workbook(tmp_path / "y.xlsx", {"甲": [["名"], ["东京"]]}, shared=False)
+    edit_part(tmp_path / "y.xlsx", "xl/worksheets/sheet1.xml",
+              lambda xml: xml.replace("<t>东京</t>", "<r><t>东京</t></r><rPh><t>トウキョウ</t></rPh>"))
+    rows = workbook.any_sheet(workbook.scan_workbooks(spark, str(tmp_path)), "甲", ["名"]).collect()
+    assert sorted(r["名"] for r in rows) == ["东京", "东京", "大阪"]
+
+
+def peak_mb(rows):
+    """Memory that reading a sheet of so many rows takes beyond the file itself."""
+    from io import BytesIO
+
+    held = BytesIO()
+    write_workbook(held, {"甲": [["a"] * 20, *([[1] * 20] * rows)]}, shared=False)
+    book = workbook._Workbook(held.getvalue())
+    tracemalloc.start()
+    book.check("甲")
+    assert sum(1 for _ in book.rows("甲")) == rows + 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_memory_stays_flat_as_sheets_grow():
+    small, large = peak_mb(2_000), peak_mb(16_000)
+    assert large < small + 5
+
+
+def data_files(path):
+    return {str(f) for f in path.rglob("*.parquet") if "_files" not in f.parts}
+
+
+def test_a_rerun_leaves_all_other_files_in_place(spark, tmp_path):
+    path = tmp_path / "t"
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "_source_file string, x int")
+    sinks.upsert_files(df, df, str(path), "007")
+    before = {f: (path / f).stat().st_mtime_ns for f in data_files(path)}
     with pytest.raises(ValueError):
-        sinks.upsert_files(df, df, str(tmp_path / "t"), "r2", buckets=8)
+        sinks.upsert_files(df, df, str(path), "007")
+    sinks.upsert_files(df.filter("x = 2").withColumn("x", F.lit(5)), df.filter("x = 2"), str(path), "008")
+    assert before == {f: (path / f).stat().st_mtime_ns for f in data_files(path) if f in before}
+    assert sorted(map(tuple, sinks.read_store(spark, str(path)).collect())) == [("a", 1), ("b", 5), ("c", 3)]
+    assert sinks.read_store(spark, str(path), df.schema, "007").count() == 3
+    sinks.compact_store(spark, str(path), "009")
+    assert sorted(map(tuple, sinks.read_store(spark, str(path)).collect())) == [("a", 1), ("b", 5), ("c", 3)]
+    assert not data_files(path) & set(before)
+
+
+def test_rows_of_a_run_that_failed_are_not_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1)], "_source_file string, x int")
+    sinks.upsert_files(df, df, path, "1")
+    df.withColumn("x", F.lit(9)).withColumn(sinks.PART, F.lit("run-2")).write.mode("append").partitionBy(sinks.PART).parquet(path)
+    assert [r["x"] for r in sinks.read_store(spark, path).collect()] == [1]
+    sinks.upsert_files(df.withColumn("x", F.lit(3)), df, path, "2")
+    assert [r["x"] for r in sinks.read_store(spark, path).collect()] == [3]
 
 
 def test_store_upsert(spark, tmp_path):
@@ -155,7 +243,7 @@ def test_store_upsert(spark, tmp_path):
     def put(run, files, rows):
         df = spark.createDataFrame(rows, "_source_file string, x int")
         listed = spark.createDataFrame([(f,) for f in files], "_source_file string")
-        sinks.upsert_files(df, listed, path, run, buckets=2)
+        sinks.upsert_files(df, listed, path, run)
         stored = sinks.read_store(spark, path, df.schema)
         return sorted((r["_source_file"], r["x"]) for r in stored.collect())
 

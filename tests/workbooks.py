@@ -73,3 +73,13 @@ def write_workbook(path, sheets, shared=True, damage=None):
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for name, xml in parts.items():
             z.writestr(name, xml)
+
+
+def edit_part(path, name, change):
+    """Rewrite one part of a workbook."""
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n).decode() for n in z.namelist()}
+    parts[name] = change(parts[name])
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for n, xml in parts.items():
+            z.writestr(n, xml)
