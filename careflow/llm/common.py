@@ -6,8 +6,10 @@ import tempfile
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +34,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def text_rows(docs: DataFrame, held_out: Column, carry: bool) -> DataFrame:
-    """``doc_id, held_out, text`` for a task, with ``row`` (all columns of the input row) if carried."""
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    return docs.select("doc_id", held_out.alias("held_out"), "text", *whole)
+    """``doc_id, held_out, text`` for a task, or ``row`` (all columns of the input row) for the text."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select("doc_id", held_out.alias("held_out"), whole if carry else "text")
+
+
+def texts_of(batch: pa.RecordBatch, rows: T.StructType) -> pa.Array:
+    """The texts of a batch of ``text_rows``; those of whole rows are read where they are."""
+    last, kind = batch.column(2), rows.fields[2].dataType
+    return last.field(kind.names.index("text")) if isinstance(kind, T.StructType) else last
 
 
 def fold(doc_id: Column, parts: int) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import fold, text_rows
+from careflow.llm.common import fold, text_rows, texts_of
 
 #: Bounds of the labelled sample: documents and characters of each language, and languages.
 SAMPLE_DOCS = 64
@@ -190,15 +190,16 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = F
     shared = docs.sparkSession.sparkContext.broadcast(parser)
     out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
     rows = text_rows(docs, out, carry)
+    source = rows.schema
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()),
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-        *rows.schema.fields[3:]])
+        *(rows.schema.fields[2:] if carry else ())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(2)]
+            texts = [t.as_py() or "" for t in texts_of(batch, source)]
             known = [bool(parser.languages) and has_letter(t) for t in texts]
             cost = costs([plain(t) if k else b"" for t, k in zip(texts, known, strict=True)], parser)
             names, scores = [], []
@@ -213,6 +214,6 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = F
                 scores.append(float(rest.min() / (rest.min() + row[best])) if len(rest) else 1.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 *batch.columns[3:]], schema.names)
+                 *(batch.columns[2:] if carry else ())], schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -264,7 +264,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     grouped = cut(
         classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Settled first, so that both sides of the join are plain rows and a root with a large part of
+    # all fingerprints can be split.
+    smallest = cut(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = cut(grouped.select("fp", "root").join(smallest, "root"))
     return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 

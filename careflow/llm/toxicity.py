@@ -20,18 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class, text_rows
+from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class, text_rows, texts_of
 
 #: Bound of the labelled sample, documents of each label.
 SAMPLE_DOCS = 2500
 #: Bytes of a window; it ends with a word.
-WINDOW = 32
+WINDOW = 40
 #: Frequent words in both dictionaries; word beginnings of one class; their bytes, blank included.
-COMMON_WORDS = 1500
+COMMON_WORDS = 3000
 CLASS_SEGMENTS = 96
 SEGMENT_BYTES = (5, 11)
-#: A beginning must differ by so many standard errors between the classes.
+#: A beginning must differ by so many standard errors between the classes, and so many are looked at.
 LEAST_CONTRAST = 6.0
+CANDIDATES = 3000
+#: A toxic document speaks for so many beginnings: copies of one text can't fill the dictionary.
+VOICES = 3
 THRESHOLD = 0.3
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -73,67 +76,111 @@ def features(text: str, ordinary, toxic) -> list[float]:
     """What the calibration sees of a text: its windows' distances."""
     parts = windows(plain(text))
     d = np.array([len(ordinary(w)) - len(toxic(w)) for w in parts] or [0])
-    top = np.sort(d)[-3:]
     return [
-        min(float(d.max()), 12.0), float(top.mean()), float(d.mean()), float(np.log1p(len(d))),
-        float(np.log1p((d >= 3).sum())), float((d >= 3).mean()),
-        float(np.log1p((d >= 5).sum())), float((d >= 5).mean()),
+        min(float(d.max()), 12.0), float(np.sort(d)[-3:].mean()), float(d.mean()), float(np.log1p(len(d))),
+        *(float(np.log1p((d >= k).sum())) for k in (2, 3, 4, 5)),
+        *(float((d >= k).mean()) for k in (1, 2, 3, 5)),
     ]
 
 
+def beginnings(text: str) -> set[bytes]:
+    least, most = SEGMENT_BYTES
+    words = [b" " + word + b" " for word in set(plain(text).split())]
+    return {word[:n] for word in words for n in range(least, min(len(word), most) + 1)}
+
+
 def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each label that have a word or a word's beginning."""
-    least, most = SEGMENT_BYTES
     for batch in batches:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            segments = set()
-            for word in set(plain(text).split()):
-                word = b" " + word + b" "
-                segments.update(word[:n] for n in range(least, min(len(word), most) + 1))
-            counts[label].update(segments)
+            counts[label].update(beginnings(text))
         every = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([
             pa.array(every, pa.binary()), pa.array([counts[0][s] for s in every], pa.int64()),
             pa.array([counts[1][s] for s in every], pa.int64())], ["segment", "n0", "n1"])
 
 
-def _contrast(n: dict[int, int]) -> Column:
-    p0, p1 = F.col("n0") / max(1, n[0]), F.col("n1") / max(1, n[1])
-    mean = (F.col("n0") + F.col("n1")) / max(1, n[0] + n[1])
-    return (p1 - p0) / F.sqrt(mean * (1 - mean) * (1 / max(1, n[0]) + 1 / max(1, n[1])) + 1e-12)
+def contrast(n0, n1, size: dict[int, int], root=np.sqrt):
+    """By how many standard errors the shares of two classes differ; for columns or numbers."""
+    p0, p1 = n0 / max(1, size[0]), n1 / max(1, size[1])
+    mean = (n0 + n1) / max(1, size[0] + size[1])
+    return (p1 - p0) / root(mean * (1 - mean) * (1 / max(1, size[0]) + 1 / max(1, size[1])) + 1e-12)
+
 
+def nested(segment: bytes, chosen: list[bytes]) -> bool:
+    return any(segment.startswith(c) or c.startswith(segment) for c in chosen)
 
-def _chosen(ranked: list[bytes], most: int) -> list[bytes]:
+
+def choose(ranked: list[bytes], most: int) -> list[bytes]:
     """The first segments of which none begins another."""
     chosen: list[bytes] = []
     for segment in ranked:
         if len(chosen) == most:
             break
-        if not any(segment.startswith(c) or c.startswith(segment) for c in chosen):
+        if not nested(segment, chosen):
             chosen.append(segment)
     return chosen
 
 
+def choose_by_voices(
+    ranked: list[tuple[bytes, int]], holders: dict[int, list[int]], size: dict[int, int]
+) -> list[bytes]:
+    """The first segments, each with contrast enough among documents that spoke for few so far.
+
+    ``ranked`` has (segment, ordinary documents with it); ``holders`` the toxic ones by its place.
+    """
+    spoken: Counter = Counter()
+    chosen: list[bytes] = []
+    for place, (segment, n0) in enumerate(ranked):
+        if len(chosen) == CLASS_SEGMENTS:
+            break
+        voices = sum(spoken[doc] < VOICES for doc in holders.get(place, ()))
+        if contrast(n0, voices, size) < LEAST_CONTRAST or nested(segment, chosen):
+            continue
+        chosen.append(segment)
+        spoken.update(holders[place])
+    return chosen
+
+
+def _holders(toxic: DataFrame, segments: list[bytes]) -> dict[int, list[int]]:
+    """For each segment, by place, the toxic documents of the sample that have it."""
+    places = {segment: i for i, segment in enumerate(segments)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(places[s] for s in beginnings(t) & places.keys()) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["places"])
+
+    holders: dict[int, list[int]] = {}
+    # At most as many rows as the sample has toxic documents.
+    for doc, row in enumerate(toxic.select("text").mapInArrow(run, "places array<int>").collect()):
+        for place in row["places"]:
+            holders.setdefault(place, []).append(doc)
+    return holders
+
+
 def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
-    n = {y: sample.where(F.col("label") == y).count() for y in (0, 1)}
+    size = {y: sample.where(F.col("label") == y).count() for y in (0, 1)}
     counts = cut(
         sample.select("label", "text").mapInArrow(_beginnings, "segment binary, n0 long, n1 long")
         .groupBy("segment").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .withColumn("contrast", _contrast(n))
+        .withColumn("contrast", F.round(contrast(F.col("n0"), F.col("n1"), size, F.sqrt), 6))
     )
 
-    def ranked(rows: DataFrame, by: Column, most: int) -> list[bytes]:
+    def ranked(rows: DataFrame, by: Column, most: int) -> list[tuple[bytes, int]]:
         # Of equal ones the longer: it leaves less to chance matches within words.
-        order = [F.round(by, 6).desc(), F.length("segment").desc(), "segment"]
-        return [bytes(r["segment"]) for r in rows.orderBy(*order).limit(most).collect()]
-
-    contrast = F.col("contrast")
-    toxic = _chosen(ranked(counts.where(contrast >= LEAST_CONTRAST), contrast, 20 * CLASS_SEGMENTS), CLASS_SEGMENTS)
-    ordinary = _chosen(ranked(counts.where(contrast < 0), -contrast, 20 * CLASS_SEGMENTS), len(toxic))
+        order = [by.desc(), F.length("segment").desc(), "segment"]
+        return [(bytes(r["segment"]), r["n0"]) for r in rows.orderBy(*order).limit(most).collect()]
+
+    differs = F.col("contrast")
+    candidates = ranked(counts.where(differs >= LEAST_CONTRAST), differs, CANDIDATES)
+    toxic = choose_by_voices(
+        candidates, _holders(sample.where(F.col("label") == 1), [c for c, _ in candidates]), size)
+    ordinary = choose([s for s, _ in ranked(counts.where(differs < 0), -differs, CANDIDATES)], len(toxic))
     whole = F.substring("segment", -1, 1) == F.lit(b" ")
     words = [
-        w for w in ranked(counts.where(whole), F.col("n0"), 2 * COMMON_WORDS)
+        w for w, _ in ranked(counts.where(whole), F.col("n0"), 2 * COMMON_WORDS)
         if not any(w.startswith(t) for t in toxic)][:COMMON_WORDS]
     # What stands last is nearest and cheapest to point at.
     shared = b"".join(w[:-1] for w in reversed(words)) + b" "
@@ -189,20 +236,21 @@ def score_toxicity(
     model = learn(docs, labels, held_out, parts)
     out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
     rows = text_rows(docs, out, carry)
+    source = rows.schema
     flagged = (F.col("score") >= THRESHOLD).cast("int")
     if not isinstance(model, Model):
         return rows.drop("text").withColumn("score", F.lit(float(model))).withColumn("predicted", flagged)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()),
-        *rows.schema.fields[3:]])
+        *(rows.schema.fields[2:] if carry else ())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         a, b = compressor(model.ordinary), compressor(model.toxic)
         for batch in batches:
-            scores = model.probability(np.array([features(t.as_py() or "", a, b) for t in batch.column(2)]))
+            scores = model.probability(np.array([features(t.as_py() or "", a, b) for t in texts_of(batch, source)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), *batch.columns[3:]], schema.names)
+                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), *(batch.columns[2:] if carry else ())], schema.names)
 
     return rows.mapInArrow(run, schema).withColumn("predicted", flagged)

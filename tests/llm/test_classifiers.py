@@ -54,6 +54,14 @@ def test_windows_hold_the_whole_text():
         assert (parts[0][:1] + b"".join(p[1:] for p in parts) if parts else words[:1]) == (words if parts else b" ")
 
 
+def test_copies_speak_once():
+    """Segments of many copies of one toxic text don't crowd out what other toxic texts share."""
+    ranked = [(b" copy%d" % i, 0) for i in range(50)] + [(b" word", 3), (b" words", 3), (b" rare", 0)]
+    holders = {i: list(range(60)) for i in range(50)} | {50: list(range(60, 160)), 51: list(range(60, 160)), 52: [1]}
+    chosen = toxicity.choose_by_voices(ranked, holders, {0: 500, 1: 200})
+    assert chosen == [b" copy%d" % i for i in range(toxicity.VOICES)] + [b" word"]
+
+
 def test_toxic_words_at_the_end_of_a_long_text_count(spark):
     good, bad = "these are some plain words for the test ", "pathetic worthless scum you disgusting moron "
     rows = [(i, good * (3 + i % 7) + (bad if i % 2 else "")) for i in range(60)] + [(100, good * 3000 + bad * 3), (101, good * 3000)]
