@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from careflow.functions.naming import quoted
 from careflow.operators.filters import keyed_rows
 from careflow.operators.hashed import bit_filter, passes, unpacked, window_hashes
+from careflow.shipping import ship
 
 # Testing every term against every text is for short lists only.
 MAX_NESTED_TERMS = 64
@@ -102,6 +103,7 @@ def _anchored_semijoin(
     against a bit set of the terms' anchors, of fixed size.  Only pieces that pass, each once per
     text, are joined with the terms, by anchor.  AQE splits an anchor that is common to many texts.
     """
+    ship(df.sparkSession)
     anchored = _anchored_terms(terms)
     used = tuple(sorted(r[0] for r in anchored.select("_bytes").distinct().collect()))  # at most six
     bits = df.sparkSession.sparkContext.broadcast(bit_filter(anchored, "_anchor"))

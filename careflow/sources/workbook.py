@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from careflow.functions.naming import clean_name, clean_names, locate, quoted
 from careflow.operators.projection import FIELD_PREFIX, MISSING
 from careflow.schemas import ROW_IDX, SOURCE_FILE
+from careflow.shipping import ship
 
 # One marker row per sheet (and per unreadable file) has this number instead of a row's.
 MARKER = -1
@@ -87,6 +88,7 @@ def scan_workbooks(
     marker row.  ``_missing`` lists the sheets and required fields that the row's file
     lacks.  A bad file or sheet never fails the job: it is reported in ``error``.
     """
+    ship(spark)
     wanted = None if layouts is None else dict(layouts)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
