@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careflow import vocab
 from careflow.catalog import inputs as i
 from careflow.catalog.registry import query, read
 from careflow.functions.naming import quoted
@@ -75,8 +74,23 @@ def visits_removed(spark, sf_dir):
     return visits.removed_visits(visits.all_visits(*_sheets(spark, sf_dir)))
 
 
-_ANY_RS = " OR ".join(f"contains(code, '{c}')" for c in vocab.RS_CODES)
-_EXACT_RS = "code IN (" + ", ".join(f"'{c}'" for c in vocab.RS_CODES) + ")"
+# The lists as the SQL knows them, apart from the library's, so that a wrong entry shows.
+SQL_COVID_DIAGNOSIS = ("新冠", "冠状病毒", "COVID", "SARS-CoV-2", "新型冠状")
+SQL_COVID_TEST = ("新冠", "冠状病毒", "COVID", "SARS-CoV-2", "核酸", "PCR", "抗原")
+SQL_ANTIVIRAL = (
+    "利巴韦林", "阿比多尔", "奥司他韦", "扎那米韦", "帕拉米韦", "法匹拉韦",
+    "瑞德西韦", "洛匹那韦", "利托那韦", "达芦那韦", "克立芝", "克力芝",
+    "抗病毒", "抗病毒药", "抗病毒药物", "抗病毒治疗",
+    "Ribavirin", "Arbidol", "Oseltamivir", "Zanamivir", "Peramivir", "Favipiravir",
+    "Remdesivir", "Lopinavir", "Ritonavir", "Darunavir", "Kaletra",
+)
+SQL_RS_CODES = (
+    "R50", "J00", "J01", "J02", "J03", "J04", "J06", "J07", "J08", "J09", "J10", "J11",
+    "J12", "J13", "J14", "J15", "J16", "J17", "J18", "J20", "J21", "J98.414", "J98.802",
+)
+
+_ANY_RS = " OR ".join(f"contains(code, '{c}')" for c in SQL_RS_CODES)
+_EXACT_RS = "code IN (" + ", ".join(f"'{c}'" for c in SQL_RS_CODES) + ")"
 
 
 def _flags_sql(covid: str, rs: str) -> str:
@@ -141,14 +155,14 @@ SELECT patient AS "患者ID", source AS "就诊类型",
   CASE WHEN src_rank = 0 THEN {i.shown("ts")} ELSE '' END AS "就诊日期", words AS "诊断",
   '确诊' AS "感染状态", CAST(NULL AS VARCHAR) AS "检测结果", CAST(NULL AS VARCHAR) AS "检测日期",
   source AS "数据来源", row_key
-FROM visits WHERE {i.is_covid_sql("words", vocab.COVID_DIAGNOSIS)}
+FROM visits WHERE {i.is_covid_sql("words", SQL_COVID_DIAGNOSIS)}
 UNION ALL
 SELECT patient, '检查', {i.shown("ts")}, NULL,
   CASE WHEN regexp_matches(coalesce(result, ''), '阴性|未检出|negative', 'i') THEN '排除'
        WHEN regexp_matches(coalesce(result, ''), '阳性|检出|positive', 'i') THEN '确诊'
        ELSE '未知' END,
   coalesce(result, ''), strftime(ts, '%Y-%m-%d %H:%M:%S'), '检查', row_key
-FROM tests WHERE {i.is_covid_sql("name", vocab.COVID_TEST)}""")
+FROM tests WHERE {i.is_covid_sql("name", SQL_COVID_TEST)}""")
 def infection_cases(spark, sf_dir):
     cases = infections.infection_cases(*_sheets(spark, sf_dir), i.examinations(spark, sf_dir))
     return _pick(cases, *_CASES)
@@ -158,14 +172,14 @@ def infection_cases(spark, sf_dir):
 SELECT patient AS "患者ID", patient AS "就诊类型", '' AS "就诊日期", words AS "诊断",
   '确诊' AS "感染状态", CAST(NULL AS VARCHAR) AS "检测结果", CAST(NULL AS VARCHAR) AS "检测日期",
   source AS "数据来源", row_key
-FROM visits WHERE {i.is_covid_sql("words", vocab.COVID_DIAGNOSIS)}
+FROM visits WHERE {i.is_covid_sql("words", SQL_COVID_DIAGNOSIS)}
 UNION ALL
 SELECT patient, patient, {i.shown("TRY_CAST(NULL AS TIMESTAMP)")}, NULL,
   CASE WHEN regexp_matches(coalesce(result, ''), '阳性|检出|positive', 'i') THEN '确诊'
        WHEN regexp_matches(coalesce(result, ''), '阴性|未检出|negative', 'i') THEN '排除'
        ELSE '未知' END,
   coalesce(result, ''), NULL, '检查', row_key
-FROM tests WHERE {i.is_covid_sql("name", vocab.COVID_TEST)}""")
+FROM tests WHERE {i.is_covid_sql("name", SQL_COVID_TEST)}""")
 def infection_cases_compat(spark, sf_dir):
     # As written only ID headers count, and the first diagnosis column is the one used.
     sheets = [
@@ -189,7 +203,7 @@ _DRUG_SQL = "CASE split_part(p_name, ' ', 2) " + " ".join(
 SELECT patient AS "患者ID", drug AS "药物名称", '抗病毒药物' AS "药物类型",
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS "用药日期", CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "剂量",
   l_returnflag AS "频次", l_linestatus AS "用药途径", l_orderkey AS row_key
-FROM o WHERE {i.is_covid_sql("drug", vocab.ANTIVIRAL)}""")
+FROM o WHERE {i.is_covid_sql("drug", SQL_ANTIVIRAL)}""")
 def antiviral_orders(spark, sf_dir):
     lines, part = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part")
     named = part.select("p_partkey", F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word"))
@@ -211,7 +225,7 @@ SELECT patient AS "患者ID", name AS "检查名称",
     WHEN regexp_matches(name, '抗体|IgM|IgG', 'i') THEN '抗体检测' ELSE '' END) AS "检查方法",
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS "检查日期", coalesce(result, '') AS "检查结果",
   {kind} AS "结果类型", dept AS "检查部门", row_key
-FROM tests WHERE {i.is_covid_sql("name", vocab.COVID_TEST)}"""
+FROM tests WHERE {i.is_covid_sql("name", SQL_COVID_TEST)}"""
 
 
 _LABS = ("患者ID", "检查名称", "检查方法", "检查日期", "检查结果", "结果类型", "检查部门")
