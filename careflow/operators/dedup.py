@@ -69,9 +69,10 @@ def removed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_group_size(
-    df: DataFrame, keys: Sequence[str], row_key: Sequence[str] = (), hot_share: int = HOT_SHARE
+    df: DataFrame, keys: Sequence[str], row_key: Sequence[str] = (), hot_share: int = HOT_SHARE, least: int = 1
 ) -> DataFrame:
-    """Every row with the size of its key's group, nulls being equal to each other.
+    """Every row with the size of its key's group, nulls being equal to each other; only rows of
+    groups of ``least`` rows or more.
 
     ``count(*) OVER (PARTITION BY keys)`` would bring a whole group into one task.
     Sizes are aggregated first, then joined back; rows of hot keys are spread over as
@@ -84,7 +85,7 @@ def with_group_size(
     hot = sizes.filter(F.col("group_size") * hot_share > total).select(
         *[F.col(n).alias(f"h{n}") for n in names], splits.alias("_splits")
     )
-    salted_sizes = sizes.select(
+    salted_sizes = sizes.filter(F.col("group_size") >= least).select(
         *names,
         "group_size",
         F.explode(
@@ -107,7 +108,7 @@ def duplicate_members(
 ) -> DataFrame:
     """Audit of duplicates: every row whose (known) key is held by several rows."""
     rows = keyed_rows(df, *keys)
-    return with_group_size(rows, keys, row_key).filter("group_size > 1")
+    return with_group_size(rows, keys, row_key, least=2)
 
 
 def latest_sorted(df: DataFrame, date: str, row_key: Sequence[str], n: int | None = None) -> DataFrame:
