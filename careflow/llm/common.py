@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from typing import NamedTuple
 
 import numpy as np
@@ -11,26 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from careflow.sources.scratch import checkpointed
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the checkpoint folder that all machines share.
-
-    The folder is the session's (``spark.checkpoint.dir``).  Only a local session that names
-    none gets a folder of its own.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-            folder = tempfile.mkdtemp(prefix="careflow-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """The same rows, written once to the checkpoint folder that all machines share."""
+    return checkpointed(df)
 
 
 def text_rows(docs: DataFrame, held_out: Column, carry: bool) -> DataFrame:

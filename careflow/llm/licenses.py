@@ -1,7 +1,7 @@
 """License scan: ordered signature rules, gated by keywords, overlaps resolved by priority.
 
-A rule stands on a keyword: a pattern for the words that end right before it (may be none) and one
-for the words from it on.  Both are anchored at the keyword, so each keyword place and rule give at
+A rule stands on a keyword: a pattern for the words that end right before it, each with its blank (may
+be none), and one for the words from it on.  Both are anchored at the keyword, so each keyword place and rule give at
 most one detection, whose interval of words is known.
 """
 
@@ -30,7 +30,7 @@ class Rule(NamedTuple):
 
 #: Phrases that always count, wherever they stand.
 BASE_RULES = (
-    Rule("license", "under the mit", "license", "mit", BASE),
+    Rule("license", "under the mit ", "license", "mit", BASE),
     Rule("apache", "", "apache license version 2", "apache-2", BASE),
     Rule("cc", "", "cc by nc", "cc-by-nc", BASE),
 )
@@ -40,21 +40,21 @@ FAMILIES = (
     ("apache-2", "apache", "", "apache (?:software )?(?:license )?(?:version |v)?2(?: 0)?", "apache 2 0"),
     ("apache-1.1", "apache", "", "apache (?:software )?(?:license )?(?:version |v)?1 1", "apache 1 1"),
     ("apache-1.0", "apache", "", "apache (?:software )?(?:license )?(?:version |v)?1 0", "apache 1 0"),
-    ("gpl-3", "general", "gnu", "general public licen[cs]e (?:version |v)?3(?: 0)?", "gpl 3 0"),
-    ("gpl-2", "general", "gnu", "general public licen[cs]e (?:version |v)?2(?: 0)?", "gpl 2 0"),
-    ("gpl-1", "general", "gnu", "general public licen[cs]e (?:version |v)?1(?: 0)?", "gpl 1 0"),
-    ("gpl-3", "gplv3", "(?:gnu)?", "gplv3", "gpl 3 0 only"),
-    ("gpl-2", "gplv2", "(?:gnu)?", "gplv2", "gpl 2 0 only"),
-    ("gpl-3", "gpl", "(?:gnu)?", "gpl (?:version |v)?3", "gpl 3 0 or later"),
-    ("gpl-2", "gpl", "(?:gnu)?", "gpl (?:version |v)?2", "gpl 2 0 or later"),
-    ("lgpl-3", "lesser", "(?:gnu)?", "lesser general public licen[cs]e (?:version |v)?3(?: 0)?", "lgpl 3 0"),
-    ("lgpl-2.1", "lesser", "(?:gnu)?", "lesser general public licen[cs]e (?:version |v)?2 1", "lgpl 2 1"),
-    ("lgpl-2", "library", "gnu", "library general public licen[cs]e(?: version 2)?", "lgpl 2 0"),
+    ("gpl-3", "general", "gnu ", "general public licen[cs]e (?:version |v)?3(?: 0)?", "gpl 3 0"),
+    ("gpl-2", "general", "gnu ", "general public licen[cs]e (?:version |v)?2(?: 0)?", "gpl 2 0"),
+    ("gpl-1", "general", "gnu ", "general public licen[cs]e (?:version |v)?1(?: 0)?", "gpl 1 0"),
+    ("gpl-3", "gplv3", "(?:gnu )?", "gplv3", "gpl 3 0 only"),
+    ("gpl-2", "gplv2", "(?:gnu )?", "gplv2", "gpl 2 0 only"),
+    ("gpl-3", "gpl", "(?:gnu )?", "gpl (?:version |v)?3", "gpl 3 0 or later"),
+    ("gpl-2", "gpl", "(?:gnu )?", "gpl (?:version |v)?2", "gpl 2 0 or later"),
+    ("lgpl-3", "lesser", "(?:gnu )?", "lesser general public licen[cs]e (?:version |v)?3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2.1", "lesser", "(?:gnu )?", "lesser general public licen[cs]e (?:version |v)?2 1", "lgpl 2 1"),
+    ("lgpl-2", "library", "gnu ", "library general public licen[cs]e(?: version 2)?", "lgpl 2 0"),
     ("lgpl-3", "lgplv3", "", "lgplv3", "lgpl 3 0 only"),
     ("lgpl-2.1", "lgpl", "", "lgpl (?:version |v)?2 1", "lgpl 2 1 only"),
-    ("agpl-3", "affero", "(?:gnu)?", "affero general public licen[cs]e(?: (?:version |v)?3(?: 0)?)?", "agpl 3 0"),
+    ("agpl-3", "affero", "(?:gnu )?", "affero general public licen[cs]e(?: (?:version |v)?3(?: 0)?)?", "agpl 3 0"),
     ("agpl-3", "agplv3", "", "agplv3", "agpl 3 0 only"),
-    ("gfdl-1.3", "documentation", "gnu free", "documentation licen[cs]e(?: (?:version |v)?1 3)?", "gfdl 1 3"),
+    ("gfdl-1.3", "documentation", "gnu free ", "documentation licen[cs]e(?: (?:version |v)?1 3)?", "gfdl 1 3"),
     ("mpl-2", "mozilla", "", "mozilla public licen[cs]e (?:version |v)?2(?: 0)?", "mpl 2 0"),
     ("mpl-1.1", "mozilla", "", "mozilla public licen[cs]e (?:version |v)?1 1", "mpl 1 1"),
     ("epl-2", "eclipse", "", "eclipse public licen[cs]e (?:version |v)?2(?: 0)?", "epl 2 0"),
@@ -62,16 +62,16 @@ FAMILIES = (
     ("eupl-1.2", "eupl", "", "eupl(?: (?:version |v)?1 2)?", "eupl 1 2"),
     ("cddl-1", "cddl", "", "cddl(?: (?:version |v)?1 0)?", "cddl 1 0"),
     ("cpl-1", "common", "", "common public licen[cs]e(?: (?:version |v)?1 0)?", "cpl 1 0"),
-    ("bsd-2", "bsd", "(?:simplified|2 clause|two clause)", "bsd", "bsd 2 clause"),
-    ("bsd-3", "bsd", "(?:modified|revised|new|3 clause|three clause)", "bsd", "bsd 3 clause"),
-    ("bsd-4", "bsd", "(?:original|4 clause|four clause)", "bsd", "bsd 4 clause"),
+    ("bsd-2", "bsd", "(?:simplified|2 clause|two clause) ", "bsd", "bsd 2 clause"),
+    ("bsd-3", "bsd", "(?:modified|revised|new|3 clause|three clause) ", "bsd", "bsd 3 clause"),
+    ("bsd-4", "bsd", "(?:original|4 clause|four clause) ", "bsd", "bsd 4 clause"),
     ("bsd-2", "bsd", "", "bsd (?:2|two) clause", "bsd 2 clause patent"),
     ("bsd-3", "bsd", "", "bsd (?:3|three) clause", "bsd 3 clause clear"),
     ("0bsd", "0bsd", "", "0bsd", "0bsd"),
     ("isc", "isc", "", "isc licen[cs]e", "isc"),
     ("zlib", "zlib", "", "zlib(?: libpng)?(?: licen[cs]e)?", "zlib"),
     ("boost-1", "boost", "", "boost software licen[cs]e(?: (?:version |v)?1 0)?", "bsl 1 0"),
-    ("unlicense", "unlicense", "(?:the)?", "unlicense", "unlicense"),
+    ("unlicense", "unlicense", "(?:the )?", "unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "", "wtfpl(?: version 2)?", "wtfpl"),
     ("artistic-2", "artistic", "", "artistic licen[cs]e (?:version )?2(?: 0)?", "artistic 2 0"),
     ("artistic-1", "artistic", "", "artistic licen[cs]e(?: (?:version )?1(?: 0)?)?", "artistic 1 0"),
@@ -84,10 +84,10 @@ FAMILIES = (
     ("ms-rl", "microsoft", "", "microsoft reciprocal licen[cs]e", "ms rl"),
     ("postgresql", "postgresql", "", "postgresql licen[cs]e", "postgresql"),
     ("odbl-1", "odbl", "", "odbl(?: (?:version |v)?1 0)?", "odbl 1 0"),
-    ("mit", "license", "(?:the )?(?:mit|expat|x11)", "licen[cs]e", "mit"),
-    ("mit", "licence", "(?:the )?(?:mit|expat|x11)", "licence", "mit 0"),
-    ("proprietary", "reserved", "all rights", "reserved", "licenseref proprietary"),
-    ("public-domain", "domain", "(?:in|into|to) the public", "domain", "licenseref public domain"),
+    ("mit", "license", "(?:the )?(?:mit|expat|x11) ", "licen[cs]e", "mit"),
+    ("mit", "licence", "(?:the )?(?:mit|expat|x11) ", "licence", "mit 0"),
+    ("proprietary", "reserved", "all rights ", "reserved", "licenseref proprietary"),
+    ("public-domain", "domain", "(?:in|into|to) the public ", "domain", "licenseref public domain"),
 )
 #: Creative Commons licenses: their elements, in words.
 CREATIVE = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")
@@ -109,7 +109,7 @@ FRAMES = (
 
 def _framed(label: str, keyword: str, before: str, onward: str) -> list[Rule]:
     return [
-        Rule(keyword, f"{lead}{before}".strip(), f"{onward}{tail}", label, priority)
+        Rule(keyword, f"{lead}{before}", f"{onward}{tail}", label, priority)
         for lead, tail, priority in FRAMES
     ]
 
@@ -142,7 +142,7 @@ def _literal(rules: tuple[Rule, ...]) -> Column:
     entries = []
     for keyword, own in by_keyword.items():
         own_rules = F.array(*[F.struct(
-            text(f"(?:^| )({r.before} )$" if r.before else "").alias("before"),
+            text(f"(?:^| )({r.before})$" if r.before else "").alias("before"),
             text(f"^({r.onward})(?= |$)").alias("onward"),
             text(r.label).alias("label"), F.lit(r.priority).alias("priority"),
         ) for r in own])
@@ -187,8 +187,8 @@ def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] | None = None) -> Dat
         def apply(rule: Column, at: Column) -> Column:
             left = F.call_function("regexp_extract", at["left"], rule["before"], F.lit(1))
             right = F.call_function("regexp_extract", at["right"], rule["onward"], F.lit(1))
-            fits = (right != "") & ((rule["before"] == "") | (left != ""))
-            lead = F.when(rule["before"] == "", F.lit(0)).otherwise(F.size(F.split(F.trim(left), " ")))
+            fits = (right != "") & ((rule["before"] == "") | F.call_function("rlike", at["left"], rule["before"]))
+            lead = F.when((rule["before"] == "") | (left == ""), F.lit(0)).otherwise(F.size(F.split(F.trim(left), " ")))
             return F.when(fits, F.struct(
                 (place - 1 - lead).alias("start"), (place - 1 + F.size(F.split(right, " "))).alias("end"),
                 rule["priority"].alias("priority"), rule["label"].alias("label")))

@@ -82,7 +82,7 @@ TEXTS = [
     "Under the MIT license. under the mit license, UNDER THE MIT LICENSE",
     "Licensed under the Apache License, Version 2.0 (the License)", "apache license version 2", "Apache License Version 20",
     "CC BY-NC 4.0", "cc by nc sa 4.0", "SPDX-License-Identifier: GPL-3.0", "see the GNU General Public License version 2 for",
-    "the mit license", "under the mit", "Lizenz mit der", "", None, "2 clause bsd license", "All rights reserved.",
+    "This is GPLv3 code", "released under a GNU GPLv2", "the mit license", "under the mit", "Lizenz mit der", "", None, "2 clause bsd license", "All rights reserved.",
     "dedicated to the public domain", "x " * 30_000 + "under the mit license " + "y " * 30_000, "underthe mit license",
     "é under\u00a0the mit license", "under the mit\u2014license",
 ]
@@ -119,6 +119,9 @@ def test_labels(spark):
     assert kept["the mit license"] == ["mit"] and kept["under the mit"] == [] and kept["Lizenz mit der"] == []
     # cc by nc sa contains the base phrase, which stays; cc by alone is contained.
     assert "cc-by-nc-sa" in kept["cc by nc sa 4.0"] and "cc-by" not in kept["cc by nc sa 4.0"]
+    granted = {d["priority"] for d in found[TEXTS.index("Licensed under the Apache License, Version 2.0 (the License)")]["detections"]}
+    assert licenses.GRANTED in granted and licenses.BASE in granted
+    assert kept["This is GPLv3 code"] == ["gpl-3"] and kept["released under a GNU GPLv2"] == ["gpl-2"]
     assert kept["2 clause bsd license"] == ["bsd-2"] and kept["All rights reserved."] == ["proprietary"]
 
 
@@ -138,9 +141,9 @@ def test_rules_by_hand(spark):
                     continue
                 left = " ".join(words[max(0, at - licenses.REACH):at]) + " "
                 right = " ".join(words[at:at + licenses.REACH])
-                before = re.search(f"(?:^| )({rule.before} )$" if rule.before else "()$", left)
+                before = re.search(f"(?:^| )({rule.before})$" if rule.before else "()$", left)
                 onward = re.match(f"({rule.onward})(?= |$)", right)
-                if before and onward and (before[1] or not rule.before):
+                if before and onward:
                     want.add((at - len(before[1].split()), at + len(onward[1].split()), rule.priority, rule.label))
         got = {(d["start"], d["end"], d["priority"], d["label"]) for d in found[i]["detections"]}
         assert got == want
