@@ -1,8 +1,8 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 Vectors are cut into segments; the partial products of a query with one segment of all vectors are a
-score list, and a total is the sum over lists.  Phase 1 takes the k best of each list; the k-th best
-total among them is a safe cutoff.  A total of at least the cutoff needs a part of at least the
+score list, and a total is the sum over lists.  Phase 1 takes the best of each list (some times k, for
+a better cutoff); the k-th best total among them is a safe cutoff.  A total of at least the cutoff needs a part of at least the
 cutoff over the number of lists, so phase 2 takes all entries of the lists from there on.  Phase 3
 adds what is missing of those and keeps the k best.
 """
@@ -21,6 +21,8 @@ from careflow.llm.common import cut
 #: Queries that are broadcast at a time, and the segments (lists) of a vector.
 QUERY_BLOCK = 2048
 SEGMENTS = 2
+#: Entries that phase 1 takes of each list, in multiples of k.
+DEPTH = 3
 #: Vectors that a task multiplies with the queries at a time.
 VECTOR_BLOCK = 1024
 SCALE = 1024
@@ -44,18 +46,23 @@ def _dot(a: str, b: str) -> Column:
 def _lists(queries: list[tuple[int, list[int]]], spark: SparkSession, k: int, cutoffs: dict[int, int] | None):
     """Task side of phases 1 and 2: entries (query, vector, list, part) of the score lists.
 
-    Without cutoffs the k best of each list among the task's vectors, else all that reach the uniform
-    threshold.  Products are summed in floats only while every sum is below 2**53, else in integers.
+    Without cutoffs the ``DEPTH * k`` best of each list among the task's vectors, else all that reach
+    the uniform threshold.  Products are summed in floats only while every sum is below 2**53, else in
+    integers.
     """
     dims = sorted({len(v) for _, v in queries})
     by_dim = {d: [(q, v) for q, v in queries if len(v) == d] for d in dims}
     shared = spark.sparkContext.broadcast((by_dim, cutoffs))
+    depth, nothing = DEPTH * k, np.int64(-(2 ** 62))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dim, cutoffs = shared.value
         blocks = {
             d: (np.array([q for q, _ in rows], np.int64), np.array([v for _, v in rows], np.int64).reshape(len(rows), d))
             for d, rows in by_dim.items()}
+        # The best so far: scores and vectors, a row for each query.
+        best = {(d, j): (np.empty((len(ids), 0), np.int64), np.empty((len(ids), 0), np.int64))
+                for d, (ids, _) in blocks.items() for j in range(SEGMENTS)}
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             sizes = np.diff(batch.column(1).offsets.to_numpy())
@@ -66,28 +73,39 @@ def _lists(queries: list[tuple[int, list[int]]], spark: SparkSession, k: int, cu
                 for at in range(0, len(own), VECTOR_BLOCK):
                     part = own[at:at + VECTOR_BLOCK]
                     rows = flat[starts[part][:, None] + np.arange(d)].reshape(len(part), d)
-                    yield from entries(ids[part], rows, query_ids, query_rows, cutoffs)
-
-    def entries(ids, rows, query_ids, query_rows, cutoffs):
-        for j, piece in enumerate(np.array_split(np.arange(rows.shape[1]), SEGMENTS)):
-            a, b = rows[:, piece], query_rows[:, piece]
+                    for j, scores in enumerate(products(rows, query_rows)):
+                        scores[query_ids[:, None] == ids[part]] = nothing
+                        if cutoffs is None:
+                            best[d, j] = kept(*best[d, j], scores, ids[part])
+                        else:
+                            least = np.array([cutoffs.get(int(q), int(nothing) + 1) for q in query_ids])
+                            reached = (scores * SEGMENTS >= least[:, None]) & (scores > nothing)
+                            query, vector = np.nonzero(reached)
+                            yield entries(query_ids[query], ids[part][vector], j, scores[query, vector])
+        if cutoffs is None:
+            for (d, j), (scores, vectors) in best.items():
+                query, place = np.nonzero(scores > nothing)
+                yield entries(blocks[d][0][query], vectors[query, place], j, scores[query, place])
+
+    def products(rows: np.ndarray, queries: np.ndarray) -> Iterator[np.ndarray]:
+        for piece in np.array_split(np.arange(rows.shape[1]), SEGMENTS):
+            a, b = rows[:, piece], queries[:, piece]
             top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, len(piece))
             kind = np.float64 if top < 2 ** 53 else np.int64
-            scores = (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
-            if cutoffs is None:
-                # k + 1: the query's own vector may be among them.
-                take = min(k + 1, len(ids))
-                vector = np.argpartition(-scores, take - 1, axis=0)[:take].T.ravel()
-                query = np.repeat(np.arange(len(query_ids)), take)
-            else:
-                least = np.array([cutoffs.get(int(q), -(2 ** 62)) for q in query_ids], np.int64)
-                vector, query = np.nonzero(scores * SEGMENTS >= least)
-            other = ids[vector] != query_ids[query]
-            vector, query = vector[other], query[other]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(query_ids[query]), pa.array(ids[vector]),
-                pa.array(np.full(len(query), j, np.int32)), pa.array(scores[vector, query])],
-                ["query_id", "vec_id", "list", "part"])
+            yield (b.astype(kind) @ a.astype(kind).T).astype(np.int64)
+
+    def kept(scores, vectors, new_scores, new_vectors):
+        scores = np.concatenate([scores, new_scores], axis=1)
+        vectors = np.concatenate([vectors, np.broadcast_to(new_vectors, new_scores.shape)], axis=1)
+        if scores.shape[1] > depth:
+            take = np.argpartition(-scores, depth - 1, axis=1)[:, :depth]
+            scores, vectors = np.take_along_axis(scores, take, 1), np.take_along_axis(vectors, take, 1)
+        return scores, vectors
+
+    def entries(query, vector, j, part):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(query), pa.array(vector), pa.array(np.full(len(query), j, np.int32)), pa.array(part)],
+            ["query_id", "vec_id", "list", "part"])
 
     return run
 
@@ -135,10 +153,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         rows = [(r["vec_id"], list(r["v"])) for r in taken]
         schema = "query_id long, vec_id long, list int, part long"
         narrow = candidates.select("vec_id", "v")
-        # Phase 1: the k best of each list, and the k-th best total among them.
+        # Phase 1: the best of each list, and the k-th best total among them.
         first = narrow.mapInArrow(_lists(rows, spark, k, None), schema)
         by_list = Window.partitionBy("query_id", "list").orderBy(F.col("part").desc(), F.col("vec_id"))
-        seen = first.withColumn("place", F.row_number().over(by_list)).where(F.col("place") <= k)
+        seen = first.withColumn("place", F.row_number().over(by_list)).where(F.col("place") <= DEPTH * k)
         totals = _best(_totals(seen.select("query_id", "vec_id").distinct(), own, candidates), k)
         cutoffs = {
             r["query_id"]: r["cutoff"] for r in
