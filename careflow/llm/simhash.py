@@ -218,7 +218,7 @@ def _over_middles(points: DataFrame, distance: int) -> DataFrame:
     point of each.  Few points can share a middle, so no group is large.
     """
     radius = (distance + 1) // 2
-    masks = [0] + [sum(1 << bit for bit in bits) for r in range(1, radius + 1) for bits in combinations(range(64), r)]
+    masks = [sum(1 << bit for bit in bits) for r in range(radius + 1) for bits in combinations(range(64), r)]
     flips = F.array(*[F.lit(_signed(m)) for m in masks])
     around = points.select(F.col("a").alias("point"), F.explode(F.transform(
         flips, lambda m: F.col("a").bitwiseXOR(m))).alias("middle"))
@@ -251,9 +251,10 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     """``doc_id, text_hash, fp, root, component_id`` for every row of ``docs`` (``doc_id, text``).
 
     ``component_id`` is the smallest ``doc_id`` reachable over fingerprints that differ in at most
-    ``distance`` bits, itself included; ``root`` is a fingerprint that names the component.  Equal texts, repeated rows and texts without words share a
-    fingerprint and with it a component; so do rows with a null id, which name no component unless all
-    of it are null.  Other columns are ignored; an empty table gives no row.
+    ``distance`` bits, itself included; ``root`` is a fingerprint that names the component.  Equal
+    texts, repeated rows and texts without words share a fingerprint and with it a component; so do
+    rows with a null id, which name no component unless all of it are null.  Other columns are
+    ignored; an empty table gives no row.
 
     Rows with one fingerprint are one point of the grid, whatever their number; within a cell only
     as many links are made as join its members.
