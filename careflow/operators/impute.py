@@ -1,7 +1,7 @@
 """Missing-value imputation: default, mean, median and mode.
 
-Statistics enter the plan as scalar subqueries of one row, except the median, which is picked
-beforehand by its rank.
+Statistics enter the plan as scalar subqueries of one row, or as literals where they are picked
+beforehand: one median or mode per column.
 """
 
 from __future__ import annotations
@@ -16,9 +16,6 @@ from careflow.functions.naming import quoted
 from careflow.operators.running import with_total_before
 from careflow.schemas import ROW_ID
 
-# Columns whose values are counted in one scan; an id of grouping sets has 64 bits.
-MODE_COLUMNS = 32
-
 
 def fill_missing(df: DataFrame, strategy: str = "default") -> DataFrame:
     """Fill nulls.  Text is filled with '' unless the strategy is ``mode``."""
@@ -116,18 +113,21 @@ def exact_medians(
 def _fill_mode(df: DataFrame) -> DataFrame:
     """Most frequent value of every column, the smallest on ties; '' where there is none.
 
-    One scan per ``MODE_COLUMNS`` counts the values of columns that have gaps (grouping sets),
-    partial counts before the shuffle, then one row is kept per column.  Columns without gaps,
-    such as unique keys, are never shuffled.
+    One scan per type counts the values of all columns of that type that have gaps, partial counts
+    before the shuffle, then one row is kept per column.  Columns without gaps, such as unique keys,
+    are never shuffled.
     """
     columns = [c for c in df.columns if c not in ROW_ID]
     if not columns:
         return df
     total, known = _counts(df, columns)
-    columns = [c for c in columns if known[c] < total]
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        if known[c] < total:
+            by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
     filled = {}
-    for start in range(0, len(columns), MODE_COLUMNS):
-        for c, mode in _modes(df, columns[start:start + MODE_COLUMNS]).items():
+    for own in by_type.values():
+        for c, mode in _modes(df, own).items():
             value = F.coalesce(_known(df, c), mode)
             if isinstance(df.schema[c].dataType, T.StringType):
                 value = F.coalesce(value, F.lit(""))
@@ -136,20 +136,17 @@ def _fill_mode(df: DataFrame) -> DataFrame:
 
 
 def _modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    names = {c: f"v{i}" for i, c in enumerate(columns)}
-    values = df.select(*[_known(df, c).alias(n) for c, n in names.items()])
-    counts = values.groupingSets([(n,) for n in names.values()], *names.values()).agg(
-        F.count("*").alias("n"), F.grouping_id().alias("g")
+    """The most frequent value of each column, all of one type: one row per column."""
+    values = F.array(*[_known(df, c) for c in columns])
+    best = (
+        df.select(F.posexplode(values).alias("place", "value")).filter(F.col("value").isNotNull())
+        .groupBy("place", "value").agg(F.count("*").alias("n"))
+        .groupBy("place").agg(F.min(F.struct((-F.col("n")).alias("n"), "value"))["value"].alias("value"))
     )
-    # In the set that groups by column i only bit i, from the left, of the id is 0.
-    last = len(columns) - 1
-    every = (1 << len(columns)) - 1
-
-    def top(i: int, name: str) -> Column:
-        mine = (F.col("g") == F.lit(every - (1 << (last - i))).cast("bigint")) & F.col(name).isNotNull()
-        return F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), F.col(name).alias("v"))))
-
-    best = counts.agg(
-        F.struct(*[top(i, n).alias(n) for i, n in enumerate(names.values())])
-    ).scalar()
-    return {c: best.getField(name).getField("v") for c, name in names.items()}
+    dtype = df.schema[columns[0]].dataType
+    if isinstance(dtype, (T.NumericType, T.StringType, T.BooleanType)):
+        # A literal each: a wide table would repeat the whole count in the plan of every column.
+        found = {r["place"]: r["value"] for r in best.collect()}
+        return {c: F.lit(found.get(i)).cast(dtype) for i, c in enumerate(columns)}
+    modes = best.agg(F.map_from_entries(F.collect_list(F.struct("place", "value")))).scalar()
+    return {c: F.try_element_at(modes, F.lit(i)) for i, c in enumerate(columns)}
