@@ -81,13 +81,13 @@ _PASSAGES_SQL = """SELECT doc_id, lang FROM documents d
 WHERE EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, b.text))"""
 
 
-def _passages(spark: SparkSession, sf_dir: str, vocabulary: DataFrame | None = None, **options) -> DataFrame:
+def _passages(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Documents that hold a passage; every seventh has no key."""
     documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     key = F.when(F.col("doc_id") % 7 > 0, F.col("doc_id"))
     found = keyword_semijoin(
         documents.select("doc_id", "lang", "text", key.alias("known_id"), F.when(key.isNull(), F.col("doc_id")).alias("other_id")),
-        "text", (benchmark if vocabulary is None else vocabulary).select(F.col("text").alias("passage")), "passage",
+        "text", benchmark.select(F.col("text").alias("passage")), "passage",
         ["known_id", "other_id"], **options)
     return found.select("doc_id", "lang")
 
@@ -97,20 +97,16 @@ def passages(spark, sf_dir):
     return _passages(spark, sf_dir)
 
 
-@query("keyword_semijoin_nested", """SELECT doc_id, lang FROM documents d
-WHERE EXISTS (SELECT 1 FROM (SELECT max(text) AS text FROM benchmark GROUP BY left(text, 1)) b WHERE contains(d.text, b.text))""")
+@query("keyword_semijoin_nested", _PASSAGES_SQL)
 def passages_nested(spark, sf_dir):
-    """A short vocabulary: the last passage of each initial."""
-    last = read(spark, sf_dir, "benchmark").groupBy(F.left("text", F.lit(1)).alias("initial")).agg(F.max("text").alias("text"))
-    return _passages(spark, sf_dir, last)
+    """Term by term as far as the measure of the vocabulary allows."""
+    return _passages(spark, sf_dir, max_nested_terms=100_000)
 
 
-@query("keyword_semijoin_broadcast", """SELECT doc_id, lang FROM documents d
-WHERE EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, left(b.text, 12)))""")
+@query("keyword_semijoin_broadcast", _PASSAGES_SQL)
 def passages_broadcast(spark, sf_dir):
-    """Short terms by anchors: the beginnings of all passages."""
-    starts = read(spark, sf_dir, "benchmark").select(F.left("text", F.lit(12)).alias("text"))
-    return _passages(spark, sf_dir, starts, max_nested_terms=0)
+    """By anchors, whatever the size of the vocabulary."""
+    return _passages(spark, sf_dir, max_nested_terms=0)
 
 
 @query("keyword_semijoin_shuffled", _PASSAGES_SQL)

@@ -34,3 +34,14 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
     assert check_oracles.compare(spark, con, SF, name) is None
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(catalog.QUERIES) if n.startswith("keyword_semijoin")])
+def test_every_passage_is_searched_as_a_whole(spark, tmp_path, name):
+    passages = ["shared beginning of one", "shared beginning of two", "another passage"]
+    texts = [f"so {p} it is" for p in passages] + ["shared beginning of none", "another pass", None]
+    for table, rows, schema in (
+            ("documents", [(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"),
+            ("benchmark", list(enumerate(passages)), "item_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert sorted(r.doc_id for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()) == [0, 1, 2]
