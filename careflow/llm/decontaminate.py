@@ -230,15 +230,15 @@ def _filter_of(seeds: DataFrame) -> bytes:
 
 
 def _tiled(pairs: DataFrame, least: int) -> DataFrame:
-    """``doc_id, item_id, n_words, n_covered, n_tiles`` of pairs with both texts."""
+    """``doc_id, doc_key, item_id, n_words, n_covered, n_tiles`` of pairs with both texts."""
     schema = T.StructType([
-        pairs.schema["doc_id"], pairs.schema["item_id"], T.StructField("n_words", T.IntegerType()),
+        pairs.schema["doc_id"], pairs.schema["doc_key"], pairs.schema["item_id"], T.StructField("n_words", T.IntegerType()),
         T.StructField("n_covered", T.IntegerType()), T.StructField("n_tiles", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for text, item_text in zip(batch.column(2), batch.column(3), strict=True):
+            for text, item_text in zip(batch.column(3), batch.column(4), strict=True):
                 item_words = WORD.findall(lowered(item_text.as_py()))
                 ids: dict[bytes, int] = {}
                 item = np.array([ids.setdefault(w, len(ids)) for w in item_words], np.int64)
@@ -246,9 +246,9 @@ def _tiled(pairs: DataFrame, least: int) -> DataFrame:
                 made = tiles(item, doc, max(1, min(least, len(item))))
                 found.append((len(item), sum(n for _, _, n in made), len(made)))
             numbers = [pa.array(c, pa.int32()) for c in zip(*found, strict=True)] or [pa.array([], pa.int32())] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *numbers], schema.names)
 
-    return pairs.select("doc_id", "item_id", "text", "item_text").mapInArrow(run, schema)
+    return pairs.select("doc_id", "doc_key", "item_id", "text", "item_text").mapInArrow(run, schema)
 
 
 def contaminated(
@@ -267,8 +267,28 @@ def contaminated(
     the benchmark's seeds, of fixed size, go on.  Tiles of ``least`` words or more that cover the share
     hold at least that share over ``least`` of the item's runs as seeds, so other pairs need no tiling.
     """
+    best = F.max(F.struct(
+        (F.col("n_covered") / F.col("n_words")).alias("share"), "n_words", "n_covered",
+        (-F.col("n_tiles")).alias("fewer")))
+    return (
+        _covered(docs.where(F.col("doc_id").isNotNull()), items, coverage, least)
+        .groupBy("doc_id", "item_id").agg(best.alias("best"))
+        .select("doc_id", "item_id", "best.n_words", "best.n_covered", (-F.col("best.fewer")).alias("n_tiles"))
+    )
+
+
+def contaminated_texts(
+    docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least: int = LEAST
+) -> DataFrame:
+    """``doc_id, doc_key`` (xxhash64 of the text), once each, of all rows that are part of such a pair,
+    null ids included."""
+    return _covered(docs, items, coverage, least).select("doc_id", "doc_key").distinct()
+
+
+def _covered(docs: DataFrame, items: DataFrame, coverage: float, least: int) -> DataFrame:
+    """``doc_id, doc_key, item_id, n_words, n_covered, n_tiles`` of pairs of texts, any id."""
     key = F.xxhash64("text")
-    docs = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id", key.alias("doc_key"), "text")
+    docs = docs.where(F.length("text") > 0).select("doc_id", key.alias("doc_key"), "text")
     items = (
         items.where(F.col("item_id").isNotNull() & (F.length("text") > 0))
         .select("item_id", key.alias("item_key"), "text").distinct()
@@ -278,19 +298,14 @@ def contaminated(
     shape = seeds.agg(F.collect_set("width").alias("widths"), F.min("fewest").alias("fewest")).first()
     widths, fewest = sorted(shape["widths"]), max(1, shape["fewest"] or 1)
     suspects = cut(_suspects(docs, widths or [least], fewest, _filter_of(seeds)).distinct())
+    texts = suspects.select(F.col("doc_id").alias("text_id"), F.col("doc_key").alias("text_key"), "text")
     pairs = (
         suspects.select("doc_id", "doc_key", F.explode("seeds").alias("seed"))
         .join(seeds, "seed").groupBy("doc_id", "doc_key", "item_id", "item_key")
         .agg(F.sum("n").alias("hits"), F.first("fewest").alias("fewest"))
         .where(F.col("hits") >= F.col("fewest"))
-        .join(suspects.select("doc_id", "doc_key", "text"), ["doc_id", "doc_key"])
+        .join(texts, F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("doc_key") == F.col("text_key")))
         .join(items.withColumnRenamed("text", "item_text"), ["item_id", "item_key"])
     )
-    best = F.max(F.struct(
-        (F.col("n_covered") / F.col("n_words")).alias("share"), "n_words", "n_covered",
-        (-F.col("n_tiles")).alias("fewer")))
-    return (
-        _tiled(pairs, least).where(F.col("n_covered") >= F.ceil(F.col("n_words") * F.lit(float(coverage)) - 1e-9))
-        .groupBy("doc_id", "item_id").agg(best.alias("best"))
-        .select("doc_id", "item_id", "best.n_words", "best.n_covered", (-F.col("best.fewer")).alias("n_tiles"))
-    )
+    return _tiled(pairs, least).where(
+        F.col("n_covered") >= F.ceil(F.col("n_words") * F.lit(float(coverage)) - 1e-9))

@@ -49,9 +49,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no passage of the benchmark, each by its own text, with or without an id."""
+    found = decontaminate.contaminated_texts(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("leaked_id"), F.col("doc_key").alias("leaked_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("leaked_id")) & (F.xxhash64("text") == F.col("leaked_key"))
+    return docs.join(found, same, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,3 +98,14 @@ def test_stages_on_an_empty_table(spark, place):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     name, stage = corpus_pipeline.STAGES[place]
     assert stage(spark, docs, SF).count() == 0
+
+
+def test_leaks_go_by_id_and_text(spark):
+    """A leaked text goes without an id too; a clean text stays though its id has a leaked one."""
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(None, f"so {passage} it is", "en", "a", 1), (None, "a clean text without a name", "en", "a", 1),
+            (1, f"well {passage}", "en", "a", 1), (1, "a clean text of the same id", "en", "a", 1), (2, None, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert kept.columns == COLUMNS
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[1], rows[3], rows[4]], key=repr)
