@@ -8,6 +8,7 @@ in any order, so a reordered passage counts like one in order.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
 
@@ -153,15 +154,16 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int = LEAST) -> list[tuple[i
     return made
 
 
-def _item_seeds(items: DataFrame, least: int) -> DataFrame:
-    """``item_id, item_key, size, width, seed, n``: hashed runs of words and how often each occurs.
+def _item_seeds(items: DataFrame, coverage: float, least: int) -> DataFrame:
+    """``item_id, item_key, width, seed, n, fewest, distinct``: hashed runs of words and how often each occurs.
 
-    A run has ``least`` words; a shorter item is one run as a whole.
+    A run has ``least`` words; a shorter item is one run as a whole.  Tiles that cover the share hold
+    at least ``fewest`` of the item's runs, which are at least ``distinct`` different ones.
     """
     schema = T.StructType([
-        items.schema["item_id"], T.StructField("item_key", T.LongType()), T.StructField("size", T.IntegerType()),
-        T.StructField("width", T.IntegerType()), T.StructField("seed", T.LongType()),
-        T.StructField("n", T.IntegerType())])
+        items.schema["item_id"], T.StructField("item_key", T.LongType()), T.StructField("width", T.IntegerType()),
+        T.StructField("seed", T.LongType()), T.StructField("n", T.IntegerType()),
+        T.StructField("fewest", T.IntegerType()), T.StructField("distinct", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -171,17 +173,19 @@ def _item_seeds(items: DataFrame, least: int) -> DataFrame:
                 words = hasher(lowered(text.as_py()))
                 width = max(1, min(least, len(words)))
                 seeds, n = np.unique(rolled(words, width), return_counts=True)
+                fewest = -(-math.ceil(len(words) * coverage - 1e-9) // width)
+                distinct = 1 + int(np.searchsorted(np.cumsum(np.sort(n)[::-1]), fewest))
                 owner += [at] * len(seeds)
                 numbers.append(np.column_stack([
-                    np.full(len(seeds), len(words)), np.full(len(seeds), width), seeds.view(np.int64), n]))
+                    seeds.view(np.int64), n, *(np.full(len(seeds), k) for k in (width, fewest, distinct))]))
             if not owner:
                 continue
-            size, width, seed, n = np.concatenate(numbers).astype(np.int64).T
+            seed, n, width, fewest, distinct = np.concatenate(numbers).astype(np.int64).T
             taken = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(taken), batch.column(1).take(taken), pa.array(size.astype(np.int32)),
-                pa.array(width.astype(np.int32)), pa.array(np.ascontiguousarray(seed)),
-                pa.array(n.astype(np.int32))], schema.names)
+                batch.column(0).take(taken), batch.column(1).take(taken), pa.array(width.astype(np.int32)),
+                pa.array(np.ascontiguousarray(seed)),
+                *(pa.array(k.astype(np.int32)) for k in (n, fewest, distinct))], schema.names)
 
     return items.mapInArrow(run, schema)
 
@@ -266,6 +270,7 @@ def contaminated(
     Documents are hashed where they are, in one pass; only those with enough seeds that pass a filter of
     the benchmark's seeds, of fixed size, go on.  Tiles of ``least`` words or more that cover the share
     hold at least that share over ``least`` of the item's runs as seeds, so other pairs need no tiling.
+    Runs that an item repeats are one seed, so documents are held to the fewest different ones of any item.
     """
     best = F.max(F.struct(
         (F.col("n_covered") / F.col("n_words")).alias("share"), "n_words", "n_covered",
@@ -293,11 +298,10 @@ def _covered(docs: DataFrame, items: DataFrame, coverage: float, least: int) ->
         items.where(F.col("item_id").isNotNull() & (F.length("text") > 0))
         .select("item_id", key.alias("item_key"), "text").distinct()
     )
-    need = F.ceil(F.col("size") * F.lit(float(coverage)) - 1e-9)
-    seeds = cut(_item_seeds(items, least).withColumn("fewest", F.ceil(need / F.col("width"))))
-    shape = seeds.agg(F.collect_set("width").alias("widths"), F.min("fewest").alias("fewest")).first()
-    widths, fewest = sorted(shape["widths"]), max(1, shape["fewest"] or 1)
-    suspects = cut(_suspects(docs, widths or [least], fewest, _filter_of(seeds)).distinct())
+    seeds = cut(_item_seeds(items, float(coverage), least))
+    shape = seeds.agg(F.collect_set("width").alias("widths"), F.min("distinct").alias("distinct")).first()
+    widths, distinct = sorted(shape["widths"]), max(1, shape["distinct"] or 1)
+    suspects = cut(_suspects(docs, widths or [least], distinct, _filter_of(seeds)).distinct())
     texts = suspects.select(F.col("doc_id").alias("text_id"), F.col("doc_key").alias("text_key"), "text")
     pairs = (
         suspects.select("doc_id", "doc_key", F.explode("seeds").alias("seed"))

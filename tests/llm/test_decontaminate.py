@@ -91,6 +91,23 @@ def test_pairs_by_hand(spark):
     assert (reordered, 5) in {(r[0], r[1]) for r in found}
 
 
+def test_items_that_repeat_themselves(spark):
+    """An item of few different runs is found, also if no other item is short."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    period, long = [word() for _ in range(10)], [word() for _ in range(80)]
+    items = [(0, " ".join(period * 7)), (1, " ".join(["again"] * 70)), (2, " ".join(long)),
+             (3, " ".join(long[:40] + period * 4))]
+    texts = [t for _, t in items] + [f"{word()} {t} {word()}" for _, t in items]
+    texts += [" ".join(period * 5), " ".join(period * 6), " ".join(period), " ".join(long[:50]), " ".join(["again"] * 60)]
+    docs = list(enumerate(texts))
+    for bench in (items, items[:1], items[1:2], items[2:]):
+        found = sorted(map(tuple, d.contaminated(
+            spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame(bench, "item_id int, text string")).collect()))
+        assert found == by_hand(docs, bench) and {r[1] for r in found} == {i for i, _ in bench}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
