@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,7 @@ WINDOW = 40
 COMMON_WORDS = 3000
 CLASS_SEGMENTS = 96
 SEGMENT_BYTES = (5, 11)
-#: A beginning must differ by so many standard errors between the classes, and so many are looked at.
+#: A beginning must differ by so many standard errors between the classes; so many are looked at at a time.
 LEAST_CONTRAST = 6.0
 CANDIDATES = 3000
 #: A toxic document speaks for so many beginnings: copies of one text can't fill the dictionary.
@@ -112,7 +114,7 @@ def nested(segment: bytes, chosen: list[bytes]) -> bool:
     return any(segment.startswith(c) or c.startswith(segment) for c in chosen)
 
 
-def choose(ranked: list[bytes], most: int) -> list[bytes]:
+def choose(ranked: Iterable[bytes], most: int) -> list[bytes]:
     """The first segments of which none begins another."""
     chosen: list[bytes] = []
     for segment in ranked:
@@ -124,14 +126,16 @@ def choose(ranked: list[bytes], most: int) -> list[bytes]:
 
 
 def choose_by_voices(
-    ranked: list[tuple[bytes, int]], holders: dict[int, list[int]], size: dict[int, int]
+    ranked: list[tuple[bytes, int]], holders: dict[int, list], size: dict[int, int],
+    chosen: list[bytes] | None = None, spoken: Counter | None = None,
 ) -> list[bytes]:
     """The first segments, each with contrast enough among documents that spoke for few so far.
 
     ``ranked`` has (segment, ordinary documents with it); ``holders`` the toxic ones by its place.
+    ``chosen`` and ``spoken`` go on from segments that rank before.
     """
-    spoken: Counter = Counter()
-    chosen: list[bytes] = []
+    spoken = Counter() if spoken is None else spoken
+    chosen = [] if chosen is None else chosen
     for place, (segment, n0) in enumerate(ranked):
         if len(chosen) == CLASS_SEGMENTS:
             break
@@ -143,23 +147,74 @@ def choose_by_voices(
     return chosen
 
 
-def _holders(toxic: DataFrame, segments: list[bytes]) -> dict[int, list[int]]:
-    """For each segment, by place, the toxic documents of the sample that have it."""
+def _holders(toxic: DataFrame, segments: list[bytes]) -> dict[int, list]:
+    """For each segment, by place, the ids of the toxic documents of the sample that have it."""
     places = {segment: i for i, segment in enumerate(segments)}
+    schema = T.StructType([toxic.schema["doc_id"], T.StructField("places", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(places[s] for s in beginnings(t) & places.keys()) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["places"])
+            found = [sorted(places[s] for s in beginnings(t) & places.keys()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], schema.names)
 
-    holders: dict[int, list[int]] = {}
+    holders: dict[int, list] = {}
     # At most as many rows as the sample has toxic documents.
-    for doc, row in enumerate(toxic.select("text").mapInArrow(run, "places array<int>").collect()):
+    for row in toxic.select("doc_id", "text").mapInArrow(run, schema).collect():
         for place in row["places"]:
-            holders.setdefault(place, []).append(doc)
+            holders.setdefault(place, []).append(row["doc_id"])
     return holders
 
 
+def _ranked(rows: DataFrame, by: Column, most: int, last: Row | None = None) -> list[Row]:
+    """The first segments (``segment, n0, by``), or the first after ``last``."""
+    size = F.length("segment")
+    if last is not None:
+        ties = (size < len(last["segment"])) | (
+            (size == len(last["segment"])) & (F.col("segment") > F.lit(bytes(last["segment"]))))
+        rows = rows.where((by < last["by"]) | ((by == last["by"]) & ties))
+    # Of equal ones the longer: it leaves less to chance matches within words.
+    return rows.orderBy(by.desc(), size.desc(), "segment").select("segment", "n0", by.alias("by")).limit(most).collect()
+
+
+def _in_blocks(rows: DataFrame, by: Column) -> Iterator[bytes]:
+    """All segments in order, ``CANDIDATES`` at a time."""
+    block = _ranked(rows, by, CANDIDATES)
+    while block:
+        yield from (bytes(r["segment"]) for r in block)
+        block = _ranked(rows, by, CANDIDATES, block[-1]) if len(block) == CANDIDATES else []
+
+
+def _toxic_segments(counts: DataFrame, toxic: DataFrame, size: dict[int, int]) -> list[bytes]:
+    """Segments of the toxic dictionary, chosen from all that have contrast enough.
+
+    ``CANDIDATES`` are looked at at a time.  Before the next, those are left out that would be refused:
+    without contrast among the documents that may still speak, or nested with one that is chosen.
+    So each further block adds a segment, and many copies of a text fill one block at most.
+    """
+    differs = F.col("contrast")
+    rows = counts.where(differs >= LEAST_CONTRAST)
+    chosen: list[bytes] = []
+    spoken: Counter = Counter()
+    block = _ranked(rows, differs, CANDIDATES)
+    while block:
+        ranked = [(bytes(r["segment"]), r["n0"]) for r in block]
+        choose_by_voices(ranked, _holders(toxic, [s for s, _ in ranked]), size, chosen, spoken)
+        if len(block) < CANDIDATES or len(chosen) == CLASS_SEGMENTS:
+            break
+        silent = [doc for doc, n in spoken.items() if n >= VOICES]
+        voices = (
+            toxic.where(~F.col("doc_id").isin(silent)).select("label", "text")
+            .mapInArrow(_beginnings, "segment binary, n0 long, n1 long")
+            .groupBy("segment").agg(F.sum("n1").alias("voices")))
+        begun = reduce(or_, [
+            F.startswith("segment", F.lit(c)) | F.startswith(F.lit(c), "segment") for c in chosen], F.lit(False))
+        left = rows.join(voices, "segment").where(
+            # What rounding leaves in doubt is settled when it is looked at.
+            (contrast(F.col("n0"), F.col("voices"), size, F.sqrt) >= LEAST_CONTRAST - 1e-6) & ~begun)
+        block = _ranked(left, differs, CANDIDATES, block[-1])
+    return chosen
+
+
 def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     size = {y: sample.where(F.col("label") == y).count() for y in (0, 1)}
     counts = cut(
@@ -167,20 +222,12 @@ def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
         .groupBy("segment").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .withColumn("contrast", F.round(contrast(F.col("n0"), F.col("n1"), size, F.sqrt), 6))
     )
-
-    def ranked(rows: DataFrame, by: Column, most: int) -> list[tuple[bytes, int]]:
-        # Of equal ones the longer: it leaves less to chance matches within words.
-        order = [by.desc(), F.length("segment").desc(), "segment"]
-        return [(bytes(r["segment"]), r["n0"]) for r in rows.orderBy(*order).limit(most).collect()]
-
     differs = F.col("contrast")
-    candidates = ranked(counts.where(differs >= LEAST_CONTRAST), differs, CANDIDATES)
-    toxic = choose_by_voices(
-        candidates, _holders(sample.where(F.col("label") == 1), [c for c, _ in candidates]), size)
-    ordinary = choose([s for s, _ in ranked(counts.where(differs < 0), -differs, CANDIDATES)], len(toxic))
+    toxic = _toxic_segments(counts, sample.where(F.col("label") == 1), size)
+    ordinary = choose(_in_blocks(counts.where(differs < 0), -differs), len(toxic))
     whole = F.substring("segment", -1, 1) == F.lit(b" ")
     words = [
-        w for w, _ in ranked(counts.where(whole), F.col("n0"), 2 * COMMON_WORDS)
+        w for w in (bytes(r["segment"]) for r in _ranked(counts.where(whole), F.col("n0"), 2 * COMMON_WORDS))
         if not any(w.startswith(t) for t in toxic)][:COMMON_WORDS]
     # What stands last is nearest and cheapest to point at.
     shared = b"".join(w[:-1] for w in reversed(words)) + b" "

@@ -62,6 +62,20 @@ def test_copies_speak_once():
     assert chosen == [b" copy%d" % i for i in range(toxicity.VOICES)] + [b" word"]
 
 
+def test_words_beyond_the_first_block_are_candidates(spark):
+    """Many copies of one long text rank before what other toxic documents share, yet both get in."""
+    copied = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}copied{i:04d}" for i in range(650))
+    rows = [(i, 0, f"ordinary talk of day{i:05d}") for i in range(180)]
+    rows += [(200 + i, 1, copied) for i in range(60)]
+    rows += [(300 + i, 1, f"this is {('wicked', 'hateful', 'rotten')[i % 3]} stuff{i:05d}") for i in range(120)]
+    assert len(toxicity.beginnings(copied)) > toxicity.CANDIDATES
+    ordinary, toxic = toxicity._dictionaries(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    for word in (b" wicked", b" hateful", b" rotten"):
+        assert word in toxic and word not in ordinary
+    # Shared words leave out what begins with a toxic segment: three of the copied text's.
+    assert sum(w not in ordinary.split() for w in copied.encode().split()) >= toxicity.VOICES
+
+
 def test_toxic_words_at_the_end_of_a_long_text_count(spark):
     good, bad = "these are some plain words for the test ", "pathetic worthless scum you disgusting moron "
     rows = [(i, good * (3 + i % 7) + (bad if i % 2 else "")) for i in range(60)] + [(100, good * 3000 + bad * 3), (101, good * 3000)]
