@@ -20,10 +20,9 @@ from pyspark.sql import types as T
 
 from careflow.llm.common import fold, text_rows, texts_of
 
-#: Bounds of the labelled sample: documents and characters of each language, and languages.
+#: Bounds of the labelled sample: documents and characters of each language.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 16384
-MAX_LANGUAGES = 64
 #: A text is parsed in pieces of so many bytes, side by side; a phrase ends with its piece.
 PIECE = 256
 LANES = 1 << 14
@@ -34,16 +33,24 @@ LETTER = re.compile(r"[^\W\d_]")
 class Parser(NamedTuple):
     """Languages with their automata over one alphabet of byte classes.
 
-    ``steps[l][state + class]`` is the next state, each a multiple of the alphabet's size; 0 is the
-    start, and as a next state says that the phrase can't go on.
+    ``steps[l]`` has the number of states, the places ``state + class`` that go on, and their next
+    states, each a multiple of the alphabet's size; 0 is the start.  A language takes less than 0.5 MB
+    so; its whole table is made when it is used.
     """
 
     languages: list[str]
     bits: np.ndarray
     classes: bytes
-    steps: list[np.ndarray]
+    steps: list[tuple[int, np.ndarray, np.ndarray]]
     width: int
 
+    def table(self, language: int) -> np.ndarray:
+        """Next state of each ``state + class``; 0 says that the phrase can't go on."""
+        states, places, following = self.steps[language]
+        table = np.zeros(states * self.width, np.int32)
+        table[places] = following
+        return table
+
 
 def plain(text: str) -> bytes:
     """Lower case, anything in ASCII but letters blank."""
@@ -53,8 +60,8 @@ def plain(text: str) -> bytes:
 _BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
-def suffix_automaton(symbols: bytes, width: int) -> np.ndarray:
-    """Table of next states over ``width`` symbols: a path from the start spells each substring."""
+def suffix_automaton(symbols: bytes, width: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """States and steps over ``width`` symbols: a path from the start spells each substring."""
     step: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -81,11 +88,9 @@ def suffix_automaton(symbols: bytes, width: int) -> np.ndarray:
                     step[at][symbol] = twin
                     at = link[at]
         last = new
-    table = np.zeros((len(step), width), np.int32)
-    for state, ways in enumerate(step):
-        for symbol, to in ways.items():
-            table[state, symbol] = to * width
-    return table.ravel()
+    places = [state * width + symbol for state, ways in enumerate(step) for symbol in ways]
+    following = [to * width for ways in step for to in ways.values()]
+    return len(step), np.array(places, np.int32), np.array(following, np.int32)
 
 
 def learn(samples: dict[str, str], chars: int = SAMPLE_CHARS) -> Parser:
@@ -121,8 +126,8 @@ def count_phrases(lanes: np.ndarray, sizes: np.ndarray, steps: np.ndarray, width
     return phrases + (state != 0)
 
 
-def costs(texts: list[bytes], parser: Parser) -> np.ndarray:
-    """Bits for each byte of each text (rows) in each language."""
+def _costs(texts: list[bytes], parser: Parser) -> Iterator[np.ndarray]:
+    """Bits for each byte of each text, language after language."""
     sizes = np.array([len(t) for t in texts], np.int64)
     pieces = -(-sizes // PIECE)
     buffer = np.zeros(int(pieces.sum()) * PIECE, np.uint8)
@@ -132,30 +137,42 @@ def costs(texts: list[bytes], parser: Parser) -> np.ndarray:
     lanes = buffer.reshape(-1, PIECE)
     owner = np.repeat(np.arange(len(texts)), pieces)
     lane_size = np.minimum(PIECE, sizes[owner] - (np.arange(len(lanes)) - at[owner]) * PIECE)
-    total = np.zeros((len(texts), len(parser.languages)))
-    for start in range(0, len(lanes), LANES):
-        order = start + np.argsort(-lane_size[start:start + LANES], kind="stable")
-        for j, steps in enumerate(parser.steps):
+    orders = [start + np.argsort(-lane_size[start:start + LANES], kind="stable") for start in range(0, len(lanes), LANES)]
+    for language, bits in enumerate(parser.bits):
+        steps, total = parser.table(language), np.zeros(len(texts))
+        for order in orders:
             phrases = count_phrases(lanes[order], lane_size[order], steps, parser.width)
-            total[:, j] += np.bincount(owner[order], phrases, minlength=len(texts))
-    return total * parser.bits / np.maximum(sizes, 1)[:, None]
+            total += np.bincount(owner[order], phrases, minlength=len(texts))
+        yield total * bits / np.maximum(sizes, 1)
+
+
+def costs(texts: list[bytes], parser: Parser) -> np.ndarray:
+    """Bits for each byte of each text (rows) in each language."""
+    return np.column_stack([*_costs(texts, parser)] or [np.empty((len(texts), 0))])
+
+
+def two_lowest(texts: list[bytes], parser: Parser) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The language of the lowest cost of each text, the first of equal ones, that cost, and the next."""
+    best = np.zeros(len(texts), np.int64)
+    lowest, second = np.full(len(texts), np.inf), np.full(len(texts), np.inf)
+    for language, cost in enumerate(_costs(texts, parser)):
+        lower = cost < lowest
+        second = np.where(lower, lowest, np.minimum(second, cost))
+        best[lower], lowest = language, np.where(lower, cost, lowest)
+    return best, lowest, second
 
 
 def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, str]:
     """Pieces of labelled text by language, from documents outside the held-out fold.
 
-    Bounded: the ``MAX_LANGUAGES`` most frequent languages, ``SAMPLE_DOCS`` documents of each (those
-    of the smallest id hashes), from each a piece at a hashed place.
+    All languages; bounded: ``SAMPLE_DOCS`` documents of each (those of the smallest id hashes), from
+    each a piece at a hashed place.
     """
     rows = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), parts) != held_out))
-    common = (
-        rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).select("lang")
-    )
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     chosen = (
         rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
-        .join(F.broadcast(common), "lang")
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
         .select("lang", "doc_id").distinct()
     )
@@ -201,17 +218,11 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = F
         for batch in batches:
             texts = [t.as_py() or "" for t in texts_of(batch, source)]
             known = [bool(parser.languages) and has_letter(t) for t in texts]
-            cost = costs([plain(t) if k else b"" for t, k in zip(texts, known, strict=True)], parser)
+            found = two_lowest([plain(t) if k else b"" for t, k in zip(texts, known, strict=True)], parser)
             names, scores = [], []
-            for row, k in zip(cost, known, strict=True):
-                if not k:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                best = int(row.argmin())
-                rest = np.delete(row, best)
-                names.append(parser.languages[best])
-                scores.append(float(rest.min() / (rest.min() + row[best])) if len(rest) else 1.0)
+            for best, lowest, second, k in zip(*(f.tolist() for f in found), known, strict=True):
+                names.append(parser.languages[best] if k else UNKNOWN)
+                scores.append(0.0 if not k else second / (second + lowest) if second < math.inf else 1.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                  *(batch.columns[2:] if carry else ())], schema.names)

@@ -76,3 +76,25 @@ def test_one_language(spark):
 @pytest.mark.parametrize("sample", [{}, {"en": ""}, {"en": "12"}])
 def test_nothing_to_learn_from(sample):
     assert g.learn(sample).languages == []
+
+
+def test_every_language_is_learned(spark):
+    """Also rare ones among many; the two lowest costs are those of the whole table."""
+    rng = np.random.default_rng(5)
+    spoken = {f"l{n:03d}": ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(12)] for n in range(70)}
+    rows, texts = [], []
+    for n, (name, words) in enumerate(spoken.items()):
+        for _ in range(4 if n % 10 else 8):
+            rows.append((len(rows), " ".join(rng.choice(words, 40)), name, "s", "x"))
+        texts.append(" ".join(rng.choice(words, 40)))
+    frame = spark.createDataFrame(rows + [(None, t, None, name, "") for name, t in zip(spoken, texts, strict=True)], DOCS)
+    samples = g.labelled_samples(frame, 1, 3)
+    assert len(samples) > 64 and set(samples) <= set(spoken)
+    found = g.identify(frame, carry=True).where("doc_id is null").collect()
+    assert {r["row"]["source"]: r["lang_pred"] for r in found if r["row"]["source"] in samples} == {n: n for n in samples}
+    parser = g.learn(samples)
+    plain = [g.plain(t) for t in [*texts, ""]]
+    best, lowest, second = g.two_lowest(plain, parser)
+    whole = g.costs(plain, parser)
+    assert best.tolist() == whole.argmin(axis=1).tolist()
+    assert np.array_equal(np.column_stack([lowest, second]), np.sort(whole, axis=1)[:, :2])
