@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from careflow.llm.common import fold, text_rows, texts_of
 
-#: Bounds of the labelled sample: documents and characters of each language.
+#: Bounds of the labelled sample: documents and bytes of each language.
 SAMPLE_DOCS = 64
-SAMPLE_CHARS = 16384
+SAMPLE_BYTES = 16384
 #: A text is parsed in pieces of so many bytes, side by side; a phrase ends with its piece.
 PIECE = 256
 LANES = 1 << 14
@@ -93,8 +93,13 @@ def suffix_automaton(symbols: bytes, width: int) -> tuple[int, np.ndarray, np.nd
     return len(step), np.array(places, np.int32), np.array(following, np.int32)
 
 
-def learn(samples: dict[str, str], chars: int = SAMPLE_CHARS) -> Parser:
-    texts = {name: plain(text)[:chars] for name, text in sorted(samples.items())}
+def beginning(text: bytes, size: int) -> bytes:
+    """Whole characters of at most ``size`` bytes."""
+    return text[:size].decode("utf-8", "ignore").encode()
+
+
+def learn(samples: dict[str, str], size: int = SAMPLE_BYTES) -> Parser:
+    texts = {name: beginning(plain(text), size) for name, text in sorted(samples.items())}
     texts = {name: text for name, text in texts.items() if text.strip()}
     seen = sorted(set(b"".join(texts.values())))
     classes = bytearray(256)  # class 0: bytes that no sample has
@@ -166,7 +171,7 @@ def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, st
     """Pieces of labelled text by language, from documents outside the held-out fold.
 
     All languages; bounded: ``SAMPLE_DOCS`` documents of each (those of the smallest id hashes), from
-    each a piece at a hashed place.
+    each a piece at a hashed place.  All share ``SAMPLE_BYTES`` alike.
     """
     rows = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), parts) != held_out))
@@ -175,17 +180,19 @@ def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, st
         rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
         .select("lang", "doc_id").distinct()
+        # A blank parts the pieces.
+        .withColumn("share", F.expr(f"{SAMPLE_BYTES} div count(*) OVER (PARTITION BY lang)") - 1)
     )
-    piece = 2 * SAMPLE_CHARS // SAMPLE_DOCS
+    piece = F.col("share").cast("int")
     start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - piece)) + 1
     found = (
         rows.join(F.broadcast(chosen), ["lang", "doc_id"])
-        .select("lang", "doc_id", F.col("text").substr(start.cast("int"), F.lit(piece)).alias("piece"))
-        .groupBy("lang", "doc_id").agg(F.min("piece").alias("piece")).collect()
+        .select("lang", "doc_id", "share", F.col("text").substr(start.cast("int"), piece).alias("piece"))
+        .groupBy("lang", "doc_id", "share").agg(F.min("piece").alias("piece")).collect()
     )
     samples: dict[str, list[str]] = {}
     for row in sorted(found, key=lambda r: (r["lang"], r["doc_id"])):
-        samples.setdefault(row["lang"], []).append(row["piece"])
+        samples.setdefault(row["lang"], []).append(beginning(plain(row["piece"]), row["share"]).decode())
     return {name: " ".join(pieces) for name, pieces in samples.items()}
 
 

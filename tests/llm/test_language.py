@@ -98,3 +98,12 @@ def test_every_language_is_learned(spark):
     whole = g.costs(plain, parser)
     assert best.tolist() == whole.argmin(axis=1).tolist()
     assert np.array_equal(np.column_stack([lowest, second]), np.sort(whole, axis=1)[:, :2])
+
+
+def test_all_chosen_documents_are_learned_from(spark):
+    """Every chosen document has its share of the bytes, in whole characters, whatever its script."""
+    rows = [(i, chr(0x4E00 + i) * 3000, "zh", "s", "x") for i in range(150)] + [(200 + i, "ж" * 9000, "ru", "s", "x") for i in range(3)]
+    samples = g.labelled_samples(spark.createDataFrame(rows, DOCS), 1, 3)
+    assert len(set(samples["zh"]) - {" "}) == g.SAMPLE_DOCS
+    assert all(g.SAMPLE_BYTES * 0.97 < len(t.encode()) <= g.SAMPLE_BYTES for t in samples.values())
+    assert g.beginning("aж".encode(), 2) == b"a"
