@@ -61,13 +61,15 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     document's virtual finish time is its source's words up to and with it divided by the target;
     all are ordered by that time and taken while the total stays within the total of all sizes.
     ``taken`` counts words, repeats included.  Ties are settled by place of the source, repeat,
-    hash of id and hash of text; fully equal rows share a turn.  Null text has size 0, a null
+    hash of id and hash of text; fully equal rows queue one after another.  Null text has size 0, a null
     source is a source of its own; other columns are ignored; an empty table gives no row.
 
     No source is collected: words are summed per hash bucket first, about as many buckets of a
     source as documents in a bucket, then within buckets; the order by time is cut the same way.
+    Rows without an id have one place in the queue and are dealt out by hash of text there.
     """
-    draw = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    unnamed = F.md5(F.lit("null"))
+    draw = F.coalesce(F.md5(F.col("doc_id").cast("string")), unnamed)
     items = cut(docs.select(
         "source", "doc_id", n_words(F.col("text")).alias("size"), draw.alias("draw"),
         F.xxhash64("text").alias("text_hash")))
@@ -81,20 +83,27 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     if shape["bytes"] <= BROADCAST_BYTES:
         sources = F.broadcast(sources)
     u = F.conv(F.substring("draw", 1, 13), 16, 10).cast("double") / float(16 ** 13)
+    v = F.col("text_hash").cast("double") / 2.0 ** 64 + 0.5
+    parts = F.ceil(F.sqrt("n_docs"))
+    # Before, at and after the place of rows without an id; monotone in (draw, text_hash).
+    side = F.when(F.col("draw") < unnamed, 0).when(F.col("draw") == unnamed, 1).otherwise(2)
+    buckets = ["bucket", "side", "part"]
     placed = (
         items.join(sources, F.col("source").eqNullSafe(F.col("src"))).drop("src")
-        .withColumn("bucket", F.floor(u * F.ceil(F.sqrt("n_docs"))))
+        .withColumn("bucket", F.floor(u * parts)).withColumn("side", side)
+        .withColumn("part", F.when(F.col("side") == 1, F.floor(v * parts)).otherwise(0))
     )
     offsets = (
-        placed.groupBy("place", "bucket").agg(F.sum("size").alias("words"))
-        .select("place", "bucket", F.coalesce(F.sum("words").over(
-            Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        placed.groupBy("place", *buckets).agg(F.sum("size").alias("words"))
+        .select("place", *buckets, F.coalesce(F.sum("words").over(
+            Window.partitionBy("place").orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
         ), F.lit(0)).alias("before"))
     )
-    within = Window.partitionBy("place", "bucket").orderBy("draw", "text_hash")
+    to_here = (Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("place", *buckets).orderBy("draw", "text_hash").rowsBetween(*to_here)
     queue = cut(
         placed.withColumn("upto", F.sum("size").over(within))
-        .join(offsets, ["place", "bucket"])
+        .join(offsets, ["place", *buckets])
         .withColumn("upto", F.col("upto") + F.col("before"))
         .select("doc_id", "text_hash", "source", "size", "source_size", "target", "place", "draw", "upto")
     )
@@ -115,7 +124,8 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     if full is None:
         fits = F.size(turns)
     else:
-        so_far = F.sum("size").over(Window.partitionBy("slot").orderBy(*order)) + F.lit(full["total"] - full["words"])
+        in_slot = Window.partitionBy("slot").orderBy(*order).rowsBetween(*to_here)
+        so_far = F.sum("size").over(in_slot) + F.lit(full["total"] - full["words"])
         last = (
             timed.where(F.col("slot") == full["slot"]).withColumn("so_far", so_far)
             .where(F.col("so_far") <= shape["budget"])

@@ -69,6 +69,20 @@ def test_taken_words_come_near_targets(spark):
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 400
 
 
+def test_equal_rows_take_turns(spark):
+    """A source that is mostly one row, many times, with an id or without, still meets its target."""
+    rows = [(i, "w " * 10, "en", "b", 1) for i in range(100)] + [(500 + i, f"x{i} y", "en", "c", 1) for i in range(40)]
+    rows += [(None, "w " * 5, "en", "a", 1)] * 200 + [(None, f"some {i} words", "en", "c", 1) for i in range(60)]
+    rows += [(777, "w w", "en", "c", 1)] * 300
+    by_source = {}
+    for r in mixing.mix_sources(spark.createDataFrame(rows, DOCS)).collect():
+        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        by_source.setdefault(r["source"], []).append(r)
+    assert sum(len(own) for own in by_source.values()) == len(rows)
+    for own in by_source.values():
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 10
+
+
 def test_mix_odd_input(spark):
     frame = spark.createDataFrame(
         [(None, "a b", "s", 1, "x"), (7, "a b c", "s", 2, "y"), (7, "a b c", "s", 2, "y")],
