@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.llm.common import cut
+from careflow.operators.running import with_total_before
 
 #: A document is taken so often at most, and a source so many times its size.
 REPEATS = 3
@@ -26,31 +27,30 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     Sources by code point, null last, weigh 1, 2, 3, repeating, and share the total of all sizes;
     a target stops at ``REPEATS`` times its source's size and the excess is shared by weight until
     none is above.  The level at which this ends comes from running sums over sources in order of
-    cap per weight: the sources below the level are those that are capped.  Rows are one per
-    source, already aggregated, so these windows are small.
+    cap per weight: the sources below the level are those that are capped.  Sources are numbered
+    and summed by ranges; only one sum per range meets in one place.
     """
-    everything = Window.partitionBy(F.lit(0))
-    by_name = Window.partitionBy(F.lit(0)).orderBy(F.col("src").asc_nulls_last())
-    by_cap = Window.partitionBy(F.lit(0)).orderBy(F.col("ratio"), F.col("place"))
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    capped = F.col("cap") < F.col("level") * F.col("weight")
-    return (
-        sizes.withColumn("place", F.row_number().over(by_name))
+    named = with_total_before(sizes.withColumn("unnamed", F.col("src").isNull()), ["unnamed", "src"], F.lit(1))
+    weighed = (
+        named.withColumn("place", F.col("_before") + 1).drop("_before", "unnamed")
         .withColumn("weight", (F.col("place") - 1) % 3 + 1)
         .withColumn("cap", F.col("source_size") * REPEATS)
         .withColumn("ratio", F.col("cap") / F.col("weight"))
-        # The level if this source and those with larger ratios were not capped.
-        .withColumn("level_here", (
-            F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0))
-        ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))))
-        .withColumn("level", F.min(F.when(
-            F.col("cap") >= F.col("level_here") * F.col("weight"), F.struct("ratio", "place", "level_here")
-        )).over(everything)["level_here"])
-        .withColumn("target", F.when(capped, F.col("cap").cast("double"))
-                    .otherwise(F.col("level") * F.col("weight")))
-        .withColumn("target", F.coalesce("target", F.col("cap").cast("double")))
-        .select("src", "n_docs", "source_size", "place", "target")
     )
+    for name in ("cap", "weight"):
+        weighed = with_total_before(weighed, ["ratio", "place"], F.col(name)).withColumnRenamed("_before", f"{name}_before")
+    weighed = cut(weighed)
+    whole = weighed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    # The level if this source and those with larger ratios were not capped.
+    here = (F.lit(whole["size"]) - F.col("cap_before")) / (F.lit(whole["weight"]) - F.col("weight_before"))
+    found = (
+        weighed.withColumn("level", here).where(F.col("cap") >= F.col("level") * F.col("weight"))
+        .agg(F.min(F.struct("ratio", "place", "level"))["level"].alias("level")).first()
+    )
+    level = F.lit(found["level"]).cast("double")
+    return weighed.withColumn("target", F.coalesce(
+        F.when(F.col("cap") >= level * F.col("weight"), level * F.col("weight")), F.col("cap").cast("double"))
+    ).select("src", "n_docs", "source_size", "place", "target")
 
 
 def mix_sources(docs: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     items = cut(docs.select(
         "source", "doc_id", n_words(F.col("text")).alias("size"), draw.alias("draw"),
         F.xxhash64("text").alias("text_hash")))
-    sources = cut(source_targets(items.groupBy(F.col("source").alias("src")).agg(
+    sources = source_targets(cut(items.groupBy(F.col("source").alias("src")).agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))))
     shape = sources.agg(
         F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"),

@@ -83,6 +83,31 @@ def test_equal_rows_take_turns(spark):
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 10
 
 
+def test_targets_of_many_sources_by_ranges(spark):
+    rng = random.Random(8)
+    sizes = {f"s{i}": rng.choice([0, 1, 5, 300, 20_000]) for i in range(2000)} | {None: 40, "ü": 7}
+    rows = [(s, n, 1) for s, n in sizes.items()]
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        frame = mixing.source_targets(spark.createDataFrame(rows, "src string, source_size long, n_docs long"))
+        found = {r["src"]: r for r in frame.select("*", mixing.F.spark_partition_id().alias("task")).collect()}
+    finally:
+        spark.conf.unset(conf)
+    assert len({r["task"] for r in found.values()}) > 1
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    capped, above = set(), True
+    while above:
+        rest = sum(sizes.values()) - sum(3 * sizes[s] for s in capped)
+        share = sum(i % 3 + 1 for i, s in enumerate(names) if s not in capped)
+        above = {s for i, s in enumerate(names) if s not in capped and rest / share * (i % 3 + 1) > 3 * sizes[s]}
+        capped |= above
+    assert capped
+    for i, s in enumerate(names):
+        assert found[s]["place"] == i + 1
+        assert abs(found[s]["target"] - (3 * sizes[s] if s in capped else rest / share * (i % 3 + 1))) < 1e-6
+
+
 def test_mix_odd_input(spark):
     frame = spark.createDataFrame(
         [(None, "a b", "s", 1, "x"), (7, "a b c", "s", 2, "y"), (7, "a b c", "s", 2, "y")],
