@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -10,8 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from careflow.shipping import ship
 from careflow.sources.scratch import checkpointed
 
+#: A table that is broadcast is shown to be at most so large.
+BROADCAST_BYTES = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,6 +27,24 @@ def cut(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+def in_tasks(
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``mapInArrow``, with the library sent to the workers first."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Marked for broadcast if a sum over its rows (text bytes and 64 a row) shows that it is small."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    size = F.lit(64).cast("long")
+    for text in texts:
+        size = size + text
+    measured = df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if measured <= limit else df
+
+
 def text_rows(docs: DataFrame, held_out: Column, carry: bool) -> DataFrame:
     """``doc_id, held_out, text`` for a task, or ``row`` (all columns of the input row) for the text."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

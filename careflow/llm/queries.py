@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careflow.llm import (
-    chat, decontaminate, language, licenses, mixing, quality, simhash, topk, toxicity, url_filter,
+    audit, chat, decontaminate, language, licenses, mixing, quality, sharding, simhash, spelling, topk, toxicity,
+    url_filter,
 )
 from careflow.llm.common import table
 
@@ -198,3 +199,135 @@ def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(host).alias("host"), F.lit(path).alias("path"), F.lit(verdict).alias("verdict"))
         for host, path, verdict in URL_RULES])).alias("rule")).select("rule.*")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+#: crc32 of a text, as DuckDB has none: ``codes`` holds the remainders of all bytes.
+_CODES = """codes AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS t FROM range(256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    data = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+SHARDS = 8
+_ROUNDS = ", ".join(f"({r}, {a}, {b}, {c})" for r, (a, b, c) in enumerate(sharding.round_keys(sharding.SEED)))
+
+
+@query("op11_feistel_shards", f"""
+WITH RECURSIVE {_CODES},
+rounds AS (SELECT * FROM (VALUES {_ROUNDS}) v(r, factor, addend, second)),
+rows AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc32("coalesce(text, '')")} AS text_crc32,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS number
+  FROM documents, codes),
+total AS (SELECT count(*) AS n FROM documents),
+sides AS (
+  SELECT n, a, (n + a - 1) // a AS b
+  FROM (SELECT n, (SELECT min(i) FROM range(1, 100000) s(i) WHERE i * i >= n) AS a FROM total)),
+walk AS (
+  SELECT number, number // b AS x, number % b AS y, 0 AS r FROM rows, sides
+  UNION ALL
+  SELECT number, CASE WHEN r % 2 = 0 THEN (x + mixed) % a ELSE x END, CASE WHEN r % 2 = 0 THEN y ELSE (y + mixed) % b END, r + 1
+  FROM (
+    SELECT *, (u * second + z) % 2147483647 AS mixed FROM (
+      SELECT *, (v * v + addend) % 2147483647 AS u FROM (
+        SELECT *, (z * factor + addend) % 2147483647 AS v FROM (
+          SELECT w.number, w.x, w.y, k.r, k.factor, k.addend, k.second, s.a, s.b, CASE WHEN k.r % 2 = 0 THEN w.y ELSE w.x END AS z
+          FROM walk w, sides s, rounds k
+          WHERE k.r = w.r % {sharding.ROUNDS} AND (w.r < {sharding.ROUNDS} OR w.x * s.b + w.y >= s.n)))))),
+placed AS (SELECT number, x * b + y AS place FROM walk, sides WHERE r = {sharding.ROUNDS} AND x * b + y < n)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+  CAST(place % {SHARDS} AS INTEGER) AS shard, CAST(place // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM rows JOIN placed USING (number)
+""")
+def feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op12_source_audit", r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+tokens AS (SELECT doc, lang, source, unnest(terms) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS in_lang FROM tokens GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+counts AS (
+  SELECT t.lang, t.source, t.term, count(*) AS c FROM tokens t JOIN kept k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(in_lang) AS n_lang FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(s.n, 0) AS n, coalesce(l.v, 0) AS v, coalesce(l.n_lang, 0) AS n_lang
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) s ON g.lang = s.lang AND g.source = s.source
+  LEFT JOIN langs l ON g.lang = l.lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1) // (g.n + g.v) AS BIGINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (k.in_lang + 1) // (g.n_lang + g.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+  FROM shares WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_sources(table(spark, sf_dir, "documents"), least=3, top=200)
+
+
+#: One occurrence in so many has a letter deleted.
+SLIP = 97
+
+
+@query("op13_spelling_variants", rf"""
+WITH RECURSIVE {_CODES},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+  FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, c, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM counted, codes),
+slipped AS (
+  SELECT CASE WHEN h % {SLIP} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+shapes AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM shapes a JOIN shapes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shapes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shapes a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+paths AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT p.word, f.form FROM paths p JOIN formed f ON p.at = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT p.word, p.at AS root FROM paths p JOIN formed f ON p.at = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM formed f JOIN ends e ON f.word = e.word
+""")
+def spelling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), length=5, times=3, slip=SLIP)
+    return spelling.spelling_variants(words)
