@@ -11,12 +11,13 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +26,10 @@ from careflow.llm.common import broadcast_if_small, cut, in_tasks
 
 #: Shares are counted in parts of this.
 UNIT = 1_000_000_000
-#: Entries of a block in memory (term and source, and term and language) before it is spilled.
-BLOCK = 400_000
-#: Terms of a page of a run, and bytes of a text that are split at once.
-PAGE, PIECE = 512, 1 << 20
+#: Entries (document and term; a new term or text counts as ``TERM`` more) in memory before a block is spilled.
+BLOCK, TERM = 6_000_000, 10
+#: Terms of a page of a run, merged terms before they are handed on, and bytes of a text that are split at once.
+PAGE, FLUSH, PIECE = 512, 1 << 15, 1 << 20
 #: Postings that one task corrects pairs by, cells of a table of pairs, and cells in work at once.
 POSTINGS, CELLS, CHUNK = 200_000, 1 << 21, 1 << 18
 
@@ -61,128 +62,194 @@ def terms_of(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings in memory: occurrences by language, source and term, documents by language and term."""
+    """Postings of one language in memory: which term of which document occurred how often."""
 
     def __init__(self) -> None:
-        self.counts: dict[tuple[str, str], Counter[bytes]] = {}
-        self.docs: dict[str, Counter[bytes]] = {}
-        self.entries = 0
-
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        counts = self.counts.setdefault((lang, source), Counter())
-        docs = self.docs.setdefault(lang, Counter())
-        before = len(counts) + len(docs)
-        seen: set[bytes] = set()
+        # A term's number is the number of terms before it.
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.sources: dict[str, int] = {}
+        self.entries, self.held = 0, 0
+        self.parts: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def add(self, source: str, text: bytes) -> None:
+        counts: Counter[bytes] = Counter()
         for terms in terms_of(text):
             counts.update(terms)
-            seen.update(terms)
-        docs.update(seen)
-        self.entries += len(counts) + len(docs) - before
-
-    def pages(self, shards: int) -> Iterator[dict[str, list]]:
-        """The run of this block: by language and hash shard, terms in order."""
-        postings: dict[str, dict[bytes, list[tuple[str, int]]]] = {}
-        for (lang, source), counts in sorted(self.counts.items()):
-            of = postings.setdefault(lang, {})
-            for term, count in counts.items():
-                of.setdefault(term, []).append((source, count))
-        for lang, of in postings.items():
-            dealt: dict[int, list[bytes]] = {}
-            salt = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
-            for term in sorted(of):
-                dealt.setdefault(zlib.crc32(term, salt) % shards, []).append(term)
-            for shard, terms in dealt.items():
-                for at in range(0, len(terms), PAGE):
-                    page = terms[at:at + PAGE]
-                    entries = [of[t] for t in page]
-                    yield {
-                        "shard": shard, "lang": lang, "first": page[0], "terms": page,
-                        "docs": [self.docs[lang][t] for t in page], "sizes": [len(e) for e in entries],
-                        "sources": [s for e in entries for s, _ in e], "counts": [c for e in entries for _, c in e]}
-
-
-def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {_STRING: pa.string(), _BINARY: pa.binary(), _LONG: pa.int64()}
-    return pa.schema([
-        (f.name, pa.list_(kinds[f.dataType.elementType]) if isinstance(f.dataType, T.ArrayType) else kinds[f.dataType])
-        for f in schema])
-
-
-def _batches(rows: Iterator[dict], schema: T.StructType, size: int) -> Iterator[pa.RecordBatch]:
-    """Rows in batches; ``size`` of them at most."""
-    kept, arrow = [], _arrow(schema)
-    for row in rows:
-        kept.append(row)
-        if len(kept) == size:
-            yield pa.RecordBatch.from_pylist(kept, arrow)
-            kept = []
-    if kept:
-        yield pa.RecordBatch.from_pylist(kept, arrow)
-
-
-def spill_runs(batches: Iterator[pa.RecordBatch], shards: int, limit: int) -> Iterator[dict]:
-    """Pages of one task: its texts (lang, source, text), block after block of at most ``limit`` entries
-    and one text."""
-    block = Block()
+        place, size = self.sources.setdefault(source, len(self.sources)), len(counts)
+        self.parts.append((
+            place, np.fromiter(map(self.numbers.__getitem__, counts), np.int64, size),
+            np.fromiter(counts.values(), np.int64, size)))
+        self.entries += size
+        self.held = self.entries + TERM * (len(self.numbers) + len(self.parts))
+
+    def pages(self, lang: str, shards: int, size: int = PAGE) -> Iterator[pa.RecordBatch]:
+        """The run of this block: pages by hash shard, in each the terms in order."""
+        terms = list(self.numbers)
+        if not terms:
+            return
+        sizes = [len(ids) for _, ids, _ in self.parts]
+        number = np.concatenate([ids for _, ids, _ in self.parts])
+        source = np.repeat(np.array([place for place, _, _ in self.parts], np.int64), sizes)
+        count = np.concatenate([counts for _, _, counts in self.parts])
+        docs = np.bincount(number, minlength=len(terms))
+        # Occurrences of one term in one source become one posting.
+        key, count = summed(number * len(self.sources) + source, count)
+        number, source = np.divmod(key, len(self.sources))
+        width = np.bincount(number, minlength=len(terms))
+        salt = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
+        shard = np.array([zlib.crc32(t, salt) for t in terms], np.int64) % shards
+        rank = np.empty(len(terms), np.int64)
+        rank[sorted(range(len(terms)), key=terms.__getitem__)] = np.arange(len(terms))
+        run = np.lexsort((rank, shard))
+        # Where the postings of each term of the run lie, and the pages it is cut into.
+        first = np.cumsum(width) - width
+        width = width[run]
+        ends = np.cumsum(width)
+        postings = np.arange(ends[-1]) - np.repeat(ends - width, width) + np.repeat(first[run], width)
+        breaks = [*np.flatnonzero(np.diff(shard[run], prepend=-1)).tolist(), len(run)]
+        cuts = np.array([at for lo, hi in zip(breaks, breaks[1:]) for at in range(lo, hi, size)] + [len(run)])
+        by_term, by_posting = pa.array(cuts, pa.int32()), pa.array(np.append(0, ends)[cuts], pa.int32())
+        texts = pa.array(terms, pa.binary()).take(pa.array(run))
+        names = pa.array(list(self.sources), pa.string())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(shard[run][cuts[:-1]]), pa.array([lang] * (len(cuts) - 1), pa.string()),
+            texts.take(pa.array(cuts[:-1])), pa.ListArray.from_arrays(by_term, texts),
+            pa.ListArray.from_arrays(by_term, pa.array(docs[run])), pa.ListArray.from_arrays(by_term, pa.array(width)),
+            pa.ListArray.from_arrays(by_posting, names.take(pa.array(source[postings]))),
+            pa.ListArray.from_arrays(by_posting, pa.array(count[postings]))], PAGES.names)
+
+
+def summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the counts of each."""
+    order = np.argsort(key, kind="stable")
+    key, starts = np.unique(key[order], return_index=True)
+    return key, np.add.reduceat(count[order], starts) if len(key) else count[:0]
+
+
+def spill_runs(batches: Iterator[pa.RecordBatch], shards: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Runs of one task, from its texts (lang, source, text): the fullest block is spilled when all
+    together hold ``limit`` entries, which one text may pass."""
+    blocks: dict[str, Block] = {}
+    held = 0
     for batch in batches:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         texts = batch.column(2)
         for i, (lang, source) in enumerate(zip(langs, sources, strict=True)):
-            block.add(lang, source, texts[i].as_py())
-            if block.entries >= limit:
-                yield from block.pages(shards)
-                block = Block()
-    yield from block.pages(shards)
-
-
-class _Cursor:
-    """A place in a page that is being merged."""
-
-    def __init__(self, lang: str, page: dict, serial: int) -> None:
-        self.lang, self.page, self.serial, self.at, self.offset = lang, page, serial, 0, 0
-
-    @property
-    def key(self) -> tuple[str, bytes]:
-        return self.lang, self.page["terms"][self.at]
-
-    def entry(self) -> tuple[int, list[str], list[int]]:
-        end = self.offset + self.page["sizes"][self.at]
-        return self.page["docs"][self.at], self.page["sources"][self.offset:end], self.page["counts"][self.offset:end]
-
-    def advance(self) -> bool:
-        self.offset += self.page["sizes"][self.at]
-        self.at += 1
-        return self.at < len(self.page["terms"])
-
-
-def merge_runs(pages: Iterator[dict]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
-    """Language, term, documents and occurrences by source, from pages in order of their first term.
-
-    A page is opened when the merge gets to its first term and let go after its last: memory holds
-    one page or two of each run.
+            block = blocks.setdefault(lang, Block())
+            held -= block.held
+            block.add(source, texts[i].as_py())
+            held += block.held
+            while held >= limit:
+                fullest = max(blocks, key=lambda name: blocks[name].held)
+                held -= blocks[fullest].held
+                yield from blocks.pop(fullest).pages(fullest, shards)
+    for lang, block in blocks.items():
+        yield from block.pages(lang, shards)
+
+
+class Page:
+    """A page that is being merged: its terms are taken in order and told their number."""
+
+    def __init__(self, terms: list[bytes], docs: np.ndarray, sizes: np.ndarray, sources: np.ndarray, counts: np.ndarray) -> None:
+        self.terms, self.docs, self.sizes, self.sources, self.counts = terms, docs, sizes, sources, counts
+        self.given: list[int] = []
+        self.done, self.offset = 0, 0
+
+    def taken(self) -> tuple[np.ndarray, ...]:
+        """Numbers and documents of the terms taken since the last time, and their postings."""
+        end = self.done + len(self.given)
+        number, docs, sizes = np.array(self.given, np.int64), self.docs[self.done:end], self.sizes[self.done:end]
+        last = self.offset + int(sizes.sum())
+        part = slice(self.offset, last)
+        self.done, self.offset, self.given = end, last, []
+        return number, docs, np.repeat(number, sizes), self.sources[part], self.counts[part]
+
+
+class Merge:
+    """Merges the runs of one language with a heap, page by page.
+
+    A page is opened when the merge gets to its first term and let go after its last: memory holds one
+    page or two of each run, and ``FLUSH`` merged terms.
     """
-    heap: list[tuple[tuple[str, bytes], int, _Cursor]] = []
 
-    def below(limit: tuple[str, bytes] | None) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
+    def __init__(self, lang: str, least: int) -> None:
+        self.lang, self.least = lang, least
+        self.heap: list[tuple[bytes, int]] = []
+        self.pages: dict[int, Page] = {}
+        self.names: dict[str, int] = {}
+        self.terms: list[bytes] = []
+        self.serial = 0
+
+    def open(self, row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
+        """Takes a page, after all terms before its first one; pages come in order of that."""
+        found = row["sources"].values.dictionary_encode()
+        codes = np.array([self.names.setdefault(n, len(self.names)) for n in found.dictionary.to_pylist()], np.int64)
+        page = Page(
+            row["terms"].values.to_pylist(), row["docs"].values.to_numpy(), row["sizes"].values.to_numpy(),
+            codes[found.indices.to_numpy()], row["counts"].values.to_numpy())
+        yield from self.below(page.terms[0])
+        self.pages[self.serial] = page
+        heapq.heappush(self.heap, (page.terms[0], self.serial))
+        self.serial += 1
+
+    def below(self, limit: bytes | None) -> Iterator[pa.RecordBatch]:
+        heap = self.heap
         while heap and (limit is None or heap[0][0] < limit):
-            key, docs, counts = heap[0][0], 0, {}
-            while heap and heap[0][0] == key:
-                cursor = heap[0][2]
-                more, sources, occurrences = cursor.entry()
-                docs += more
-                for source, count in zip(sources, occurrences, strict=True):
-                    counts[source] = counts.get(source, 0) + count
-                if cursor.advance():
-                    heapq.heapreplace(heap, (cursor.key, cursor.serial, cursor))
-                else:
-                    heapq.heappop(heap)
-            yield *key, docs, counts
-
-    for serial, page in enumerate(pages):
-        cursor = _Cursor(page["lang"], page, serial)
-        yield from below(cursor.key)
-        heapq.heappush(heap, (cursor.key, serial, cursor))
-    yield from below(None)
+            term, serial = heap[0]
+            if not self.terms or term != self.terms[-1]:
+                if len(self.terms) >= FLUSH:
+                    yield self.flush()
+                self.terms.append(term)
+            page = self.pages[serial]
+            page.given.append(len(self.terms) - 1)
+            at = page.done + len(page.given)
+            if at < len(page.terms):
+                heapq.heapreplace(heap, (page.terms[at], serial))
+            else:
+                heapq.heappop(heap)
+
+    def flush(self) -> pa.RecordBatch:
+        """The merged terms that enough documents hold, with their occurrences by source."""
+        parts = [page.taken() for page in self.pages.values()]
+        self.pages = {serial: page for serial, page in self.pages.items() if page.done < len(page.terms)}
+        number, docs, owner, source, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        total = np.zeros(len(self.terms), np.int64)
+        np.add.at(total, number, docs)
+        enough = total >= self.least
+        live = enough[owner]
+        key, count = summed(owner[live] * len(self.names) + source[live], count[live])
+        owner, source = np.divmod(key, len(self.names))
+        kept = np.flatnonzero(enough)
+        ends = pa.array(np.searchsorted(owner, np.append(kept, len(self.terms))), pa.int32())
+        names = pa.array(list(self.names), pa.string())
+        result = pa.RecordBatch.from_arrays([
+            pa.array([self.lang] * len(kept), pa.string()), pa.array([self.terms[i] for i in kept.tolist()], pa.binary()),
+            pa.ListArray.from_arrays(ends, names.take(pa.array(source))),
+            pa.ListArray.from_arrays(ends, pa.array(count))], KEPT.names)
+        self.terms = []
+        return result
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        yield from self.below(None)
+        if self.terms:
+            yield self.flush()
+
+
+def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Merged terms of all languages, from pages in order of language and first term."""
+    merge: Merge | None = None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
+            lang = row["lang"].as_py()
+            if merge is None or merge.lang != lang:
+                if merge is not None:
+                    yield from merge.end()
+                merge = Merge(lang, least)
+            yield from merge.open(row)
+    if merge is not None:
+        yield from merge.end()
 
 
 def term_frequencies(docs: DataFrame, least: int, block: int = BLOCK) -> DataFrame:
@@ -191,23 +258,17 @@ def term_frequencies(docs: DataFrame, least: int, block: int = BLOCK) -> DataFra
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
 
-    def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batches(spill_runs(batches, shards, block), PAGES, 64)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pages = (row for batch in batches for row in batch.to_pylist())
-        return _batches((
-            {"lang": lang, "term": term, "sources": list(counts), "counts": list(counts.values())}
-            for lang, term, n, counts in merge_runs(pages) if n >= least), KEPT, 4096)
-
-    runs = in_tasks(texts, spill, PAGES).repartition(shards, "shard").sortWithinPartitions("lang", "first")
-    return in_tasks(runs, merge, KEPT)
+    runs = in_tasks(texts, lambda batches: spill_runs(batches, shards, block), PAGES)
+    runs = runs.repartition(shards, "shard").sortWithinPartitions("lang", "first")
+    return in_tasks(runs, lambda batches: merge_runs(batches, least), KEPT)
 
 
 def share(count: Column, total: Column) -> Column:
     """1 + floor(UNIT * (count + 1) / total), exactly."""
-    parts = F.lit(UNIT).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return F.call_function("div", parts, total.cast("decimal(20,0)")) + 1
+    large = F.lit(UNIT).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
+    return F.when(
+        count < (1 << 63) // UNIT - 1, F.call_function("div", F.lit(UNIT).cast("long") * (count + 1), total)
+    ).otherwise(F.call_function("div", large, total.cast("decimal(20,0)"))) + 1
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -282,11 +343,9 @@ def _pair_rows(key: tuple, groups: pa.Table, kept: pa.Table) -> pa.Table:
     height = max(1, CELLS // len(names))
     low, high = band * height, min(len(names), (band + 1) * height)
     totals = np.array([n for _, n in order], np.int64) + terms
-    numbers = {name: i for i, name in enumerate(names)}
-    lists = [[numbers[s] for s in row] for row in kept["sources"].to_pylist()]
-    sizes = np.array([len(row) for row in lists], np.int64)
-    source = np.array([s for row in lists for s in row], np.int64)
-    count = np.array([c for row in kept["counts"].to_pylist() for c in row], np.int64)
+    sizes = pc.list_value_length(kept["sources"]).to_numpy().astype(np.int64)
+    source = pc.index_in(pc.list_flatten(kept["sources"]), value_set=pa.array(names, pa.string())).to_numpy().astype(np.int64)
+    count = pc.list_flatten(kept["counts"]).to_numpy()
     end = np.repeat(np.cumsum(sizes), sizes)
     found = Postings(source, count, end - np.repeat(sizes, sizes), end)
     if terms:
