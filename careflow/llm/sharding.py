@@ -19,8 +19,8 @@ SEED = 20_240_201
 ROUNDS = 6
 #: Prime modulus of the round function: products of two residues fit 64 bits.
 PRIME = (1 << 31) - 1
-#: Repeated rows are dealt out in chunks of so many.
-CHUNK = 4096
+#: Repeated rows are dealt out in chunks of so many, over at most so many partitions.
+CHUNK, SPREAD = 4096, 10_000
 
 
 def round_keys(seed: int, rounds: int = ROUNDS) -> list[tuple[int, int, int]]:
@@ -100,11 +100,14 @@ def number_rows(docs: DataFrame) -> tuple[DataFrame, int]:
     order = ["doc_id", "size", "text_crc32", "row_hash"]
     counted = narrow.groupBy(*order).agg(F.count(F.lit(1)).alias("copies"))
     placed = cut(with_total_before(counted, order, F.col("copies")))
-    shape = placed.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), F.max("copies").alias("most")).first()
+    shape = placed.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), F.max("copies").alias("most"), F.count(F.lit(1)).alias("distinct")).first()
     if (shape["most"] or 1) == 1:
         return placed.select(*order, F.col("_before").cast("long").alias("number")), shape["n"]
     chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK).cast("long"))
-    many = placed.where(F.col("copies") > 1).withColumn("chunk", F.explode(chunks)).repartition("row_hash", "chunk")
+    many = placed.where(F.col("copies") > 1).withColumn("chunk", F.explode(chunks))
+    # A number of its own, as Spark would merge such small partitions again.
+    many = many.repartition(min(SPREAD, (shape["n"] - shape["distinct"]) // (16 * CHUNK) + 1), "row_hash", "chunk")
     within = F.sequence(
         F.col("chunk") * CHUNK, F.least(F.col("copies"), (F.col("chunk") + 1) * CHUNK) - F.lit(1).cast("long"))
     many = many.withColumn("copy", F.explode(within))
