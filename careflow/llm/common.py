@@ -28,7 +28,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def in_tasks(
-    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
 ) -> DataFrame:
     """``mapInArrow``, with the library sent to the workers first."""
     ship(rows.sparkSession)

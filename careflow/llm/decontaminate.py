@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import cut
+from careflow.llm.common import cut, in_tasks
 
 #: Words of the shortest tile, and the share of an item's words that tiles must cover.
 LEAST = 5
@@ -187,7 +187,7 @@ def _item_seeds(items: DataFrame, coverage: float, least: int) -> DataFrame:
                 pa.array(np.ascontiguousarray(seed)),
                 *(pa.array(k.astype(np.int32)) for k in (n, fewest, distinct))], schema.names)
 
-    return items.mapInArrow(run, schema)
+    return in_tasks(items, run, schema)
 
 
 def _suspects(docs: DataFrame, widths: list[int], fewest: int, keep: bytes) -> DataFrame:
@@ -216,7 +216,7 @@ def _suspects(docs: DataFrame, widths: list[int], fewest: int, keep: bytes) -> D
                 yield pa.RecordBatch.from_arrays(
                     [*(c.take(pa.array(owner)) for c in batch.columns), lists], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return in_tasks(docs, run, schema)
 
 
 def _filter_of(seeds: DataFrame) -> bytes:
@@ -252,7 +252,7 @@ def _tiled(pairs: DataFrame, least: int) -> DataFrame:
             numbers = [pa.array(c, pa.int32()) for c in zip(*found, strict=True)] or [pa.array([], pa.int32())] * 3
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *numbers], schema.names)
 
-    return pairs.select("doc_id", "doc_key", "item_id", "text", "item_text").mapInArrow(run, schema)
+    return in_tasks(pairs.select("doc_id", "doc_key", "item_id", "text", "item_text"), run, schema)
 
 
 def contaminated(

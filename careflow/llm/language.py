@@ -14,11 +14,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import fold, text_rows, texts_of
+from careflow.llm.common import broadcast_if_small, cut, fold, in_tasks, text_rows, texts_of
 
 #: Bounds of the labelled sample: documents and bytes of each language.
 SAMPLE_DOCS = 64
@@ -26,6 +27,8 @@ SAMPLE_BYTES = 16384
 #: A text is parsed in pieces of so many bytes, side by side; a phrase ends with its piece.
 PIECE = 256
 LANES = 1 << 14
+#: Languages whose automata a worker holds at once.
+AT_ONCE = 64
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -167,33 +170,40 @@ def two_lowest(texts: list[bytes], parser: Parser) -> tuple[np.ndarray, np.ndarr
     return best, lowest, second
 
 
-def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, str]:
-    """Pieces of labelled text by language, from documents outside the held-out fold.
+def labelled_pieces(docs: DataFrame, held_out: int, parts: int) -> DataFrame:
+    """``lang, doc_id, share, piece``: pieces of labelled text, from documents outside the held-out fold.
 
-    All languages; bounded: ``SAMPLE_DOCS`` documents of each (those of the smallest id hashes), from
-    each a piece at a hashed place.  All share ``SAMPLE_BYTES`` alike.
+    All languages; bounded: ``SAMPLE_DOCS`` documents of each (those of the smallest id hashes; rows that
+    repeat an id are one document), from each a piece at a hashed place.  All share ``SAMPLE_BYTES`` alike.
     """
     rows = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), parts) != held_out))
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
+        rows.select("lang", "doc_id").distinct()
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
-        .select("lang", "doc_id").distinct()
         # A blank parts the pieces.
-        .withColumn("share", F.expr(f"{SAMPLE_BYTES} div count(*) OVER (PARTITION BY lang)") - 1)
+        .select("lang", "doc_id", (F.expr(f"{SAMPLE_BYTES} div count(*) OVER (PARTITION BY lang)") - 1).alias("share"))
     )
     piece = F.col("share").cast("int")
     start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - piece)) + 1
-    found = (
-        rows.join(F.broadcast(chosen), ["lang", "doc_id"])
+    return (
+        rows.join(broadcast_if_small(cut(chosen)), ["lang", "doc_id"])
         .select("lang", "doc_id", "share", F.col("text").substr(start.cast("int"), piece).alias("piece"))
-        .groupBy("lang", "doc_id", "share").agg(F.min("piece").alias("piece")).collect()
+        .groupBy("lang", "doc_id", "share").agg(F.min("piece").alias("piece"))
     )
+
+
+def joined(pieces: DataFrame) -> dict[str, str]:
+    """The labelled text of each language: at most ``SAMPLE_BYTES`` of it."""
     samples: dict[str, list[str]] = {}
-    for row in sorted(found, key=lambda r: (r["lang"], r["doc_id"])):
+    for row in sorted(pieces.collect(), key=lambda r: (r["lang"], r["doc_id"])):
         samples.setdefault(row["lang"], []).append(beginning(plain(row["piece"]), row["share"]).decode())
-    return {name: " ".join(pieces) for name, pieces in samples.items()}
+    return {name: " ".join(texts) for name, texts in samples.items()}
+
+
+def labelled_samples(docs: DataFrame, held_out: int, parts: int) -> dict[str, str]:
+    return joined(labelled_pieces(docs, held_out, parts))
 
 
 def has_letter(text: str) -> bool:
@@ -201,37 +211,66 @@ def has_letter(text: str) -> bool:
 
 
 def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = False) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``docs`` (``doc_id, text, lang``), and with
+    """``doc_id, held_out, lang_pred, score, phrase`` for every row of ``docs`` (``doc_id, text, lang``), and with
     ``carry`` the whole input row as ``row``.
 
     Learns from labelled rows whose fold (crc32 of the id modulo ``parts``) is not ``held_out``; rows
-    with a null id are not learned from and count as not held out.  ``lang_pred`` is ``und`` with score
-    0 if the text is null or has no letter, or if nothing could be learned.  Else ``score`` is the
-    runner-up's share of the two lowest costs (0.5: a tie, settled by code point; 1: only one
-    language).  Repeated rows stay; other columns are ignored; an empty table gives no row.
+    with a null id are not learned from and count as not held out, rows that repeat an id are learned from
+    as one.  ``lang_pred`` is ``und`` with score 0 if the text is null, empty or has no letter, or if nothing
+    could be learned.  Else ``score`` is the runner-up's share of the two lowest costs (0.5: a tie, settled by
+    code point; 1: only one language), and ``phrase`` the bytes of an average phrase in the language: about
+    1 if the text is nothing like it.  Long texts are parsed in pieces of ``PIECE`` bytes, where phrases end.
+    Repeated rows stay; other columns, whatever their names, are ignored; an empty table gives no row.
+
+    Every text is parsed in each language, so time goes with their number.  ``AT_ONCE`` languages (0.5 MB
+    each at most) are sent to the workers at once; more come in rounds, between which texts are written.
     """
-    parser = learn(labelled_samples(docs, held_out, parts))
-    shared = docs.sparkSession.sparkContext.broadcast(parser)
+    spark = docs.sparkSession
+    pieces = cut(labelled_pieces(docs, held_out, parts))
+    names = sorted(r[0] for r in pieces.select("lang").distinct().collect())
     out = F.coalesce(fold(F.col("doc_id"), parts) == held_out, F.lit(False))
     rows = text_rows(docs, out, carry)
-    source = rows.schema
-    schema = T.StructType([
-        docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()),
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-        *(rows.schema.fields[2:] if carry else ())])
-
+    source, state = rows.schema, T.StructType([*rows.schema.fields, *_STATE])
+    told = rows.select(*rows.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in _STATE])
+    for at in range(0, max(1, len(names)), AT_ONCE):
+        block = names[at:at + AT_ONCE]
+        samples = joined(pieces.where(F.col("lang").isin(block))) if len(names) > AT_ONCE else joined(pieces)
+        told = in_tasks(cut(told) if at else told, _told(spark.sparkContext.broadcast(learn(samples)), source, state), state)
+    known = F.col("_name").isNotNull()
+    second = F.col("_second")
+    return told.select(
+        "doc_id", "held_out", F.coalesce("_name", F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(~known, 0.0).when(second.isNull(), 1.0).otherwise(second / (second + F.col("_lowest"))).alias("score"),
+        (F.col("_bits") / F.col("_lowest")).alias("phrase"), *(["row"] if carry else []))
+
+
+#: What rounds hand on: the language of the lowest cost, that of its phrases, the cost, and the next one.
+_STATE = [
+    T.StructField("_name", T.StringType()), T.StructField("_bits", T.DoubleType()),
+    T.StructField("_lowest", T.DoubleType()), T.StructField("_second", T.DoubleType())]
+
+
+def _told(shared: Broadcast, source: T.StructType, state: T.StructType):
+    """One round: parses texts that have a letter, and keeps the lower of the costs so far and its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
+            if not parser.languages:
+                yield batch
+                continue
             texts = [t.as_py() or "" for t in texts_of(batch, source)]
-            known = [bool(parser.languages) and has_letter(t) for t in texts]
+            known = np.array([has_letter(t) for t in texts], bool)
             found = two_lowest([plain(t) if k else b"" for t, k in zip(texts, known, strict=True)], parser)
-            names, scores = [], []
-            for best, lowest, second, k in zip(*(f.tolist() for f in found), known, strict=True):
-                names.append(parser.languages[best] if k else UNKNOWN)
-                scores.append(0.0 if not k else second / (second + lowest) if second < math.inf else 1.0)
+            best, lowest, second = found
+            names, bits, before, next_ = (batch.column(i) for i in range(3, 7))
+            earlier, runner_up = (np.nan_to_num(c.to_numpy(zero_copy_only=False), nan=np.inf) for c in (before, next_))
+            own = known & (lowest < earlier)
+            second = np.where(own, np.minimum(second, earlier), np.minimum(runner_up, lowest))
+            kept = [parser.languages[b] if o else n for b, o, n in zip(best, own, names.to_pylist(), strict=True)]
+            old = np.nan_to_num(bits.to_numpy(zero_copy_only=False))
+            columns = (np.where(own, parser.bits[best], old), np.where(own, lowest, earlier), second)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 *(batch.columns[2:] if carry else ())], schema.names)
+                [*batch.columns[:3], pa.array(kept, pa.string()),
+                 *(pa.array(c, pa.float64(), mask=~known | ~np.isfinite(c)) for c in columns)], state.names)
 
-    return rows.mapInArrow(run, schema)
+    return run

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class
+from careflow.llm.common import Calibration, calibrate, cut, fold, in_tasks, label_of, sample_by_class
 
 #: Bounds of the labelled sample: documents of each label, and chunks of each that train filters.
 SAMPLE_DOCS = 1500
@@ -152,7 +152,7 @@ def _featured(rows: DataFrame, network: Network) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], schema.names)
 
-    return rows.select("doc_id", "label", "text").mapInArrow(run, schema)
+    return in_tasks(rows.select("doc_id", "label", "text"), run, schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts: int = 5) -> Model | float:
@@ -172,7 +172,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts: int = 5)
     schema = T.StructType([
         sample.schema["doc_id"], sample.schema["label"], T.StructField("chunk", T.BinaryType())])
     parts_of = sorted(
-        sample.select("doc_id", "label", "text").mapInArrow(_some_chunks, schema).collect(),
+        in_tasks(sample.select("doc_id", "label", "text"), _some_chunks, schema).collect(),
         key=lambda r: (r["doc_id"], bytes(r["chunk"])))
     chunks = np.frombuffer(b"".join(bytes(r["chunk"]) for r in parts_of), np.uint8).reshape(len(parts_of), -1)
     network = train(chunks, np.array([r["label"] for r in parts_of]))
@@ -207,5 +207,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: int = 0, parts:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], schema.names)
 
-    scored = docs.select("doc_id", out, "text").mapInArrow(run, schema)
+    scored = in_tasks(docs.select("doc_id", out, "text"), run, schema)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import cut
+from careflow.llm.common import cut, in_tasks
 from careflow.llm.components import components
 
 SEED = 42
@@ -75,9 +75,8 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             fps = pa.array([fingerprint(t.as_py(), width) for t in batch.column(2)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], schema.names)
 
-    return docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")
-    ).mapInArrow(run, schema)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    return in_tasks(texts, run, schema)
 
 
 def unary_counts(fp: Column) -> Column:
@@ -234,10 +233,8 @@ def close_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     embedded = fps.select("fp", unary_counts(F.col("fp")).alias("counts"))
     cells = embedded.select("fp", F.posexplode(F.transform(
         F.array(*[F.lit(m) for m in masks]), lambda m: F.col("counts").bitwiseAND(m))).alias("grid", "cell"))
-    found = cut(
-        cells.select("grid", "cell", "fp").repartition("grid", "cell").sortWithinPartitions("grid", "cell")
-        .mapInArrow(_compare(distance), "a long, b long")
-    )
+    placed = cells.select("grid", "cell", "fp").repartition("grid", "cell").sortWithinPartitions("grid", "cell")
+    found = cut(in_tasks(placed, _compare(distance), "a long, b long"))
     links = found.where(F.col("b").isNotNull())
     crowded = found.where(F.col("b").isNull()).select("a").distinct()
     if not crowded.isEmpty():

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from careflow.llm.common import cut
+from careflow.llm.common import cut, in_tasks
 
 #: Queries that are broadcast at a time, and the segments (lists) of a vector.
 QUERY_BLOCK = 2048
@@ -154,7 +154,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         schema = "query_id long, vec_id long, list int, part long"
         narrow = candidates.select("vec_id", "v")
         # Phase 1: the best of each list, and the k-th best total among them.
-        first = narrow.mapInArrow(_lists(rows, spark, k, None), schema)
+        first = in_tasks(narrow, _lists(rows, spark, k, None), schema)
         by_list = Window.partitionBy("query_id", "list").orderBy(F.col("part").desc(), F.col("vec_id"))
         seen = first.withColumn("place", F.row_number().over(by_list)).where(F.col("place") <= DEPTH * k)
         totals = _best(_totals(seen.select("query_id", "vec_id").distinct(), own, candidates), k)
@@ -163,7 +163,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
             totals.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= k).collect()}
         # Phase 2: all entries that reach the threshold.  Phase 3: what is missing of them, then the best.
-        reached = narrow.mapInArrow(_lists(rows, spark, k, cutoffs), schema)
+        reached = in_tasks(narrow, _lists(rows, spark, k, cutoffs), schema)
         sums = reached.groupBy("query_id", "vec_id").agg(F.sum("part").alias("known"), F.count(F.lit(1)).alias("lists"))
         whole = sums.where(F.col("lists") == SEGMENTS).select("query_id", "vec_id", F.col("known").alias("score"))
         missing = _totals(sums.where(F.col("lists") < SEGMENTS).select("query_id", "vec_id"), own, candidates)

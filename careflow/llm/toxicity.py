@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.llm.common import Calibration, calibrate, cut, fold, label_of, sample_by_class, text_rows, texts_of
+from careflow.llm.common import (
+    Calibration, calibrate, cut, fold, in_tasks, label_of, sample_by_class, text_rows, texts_of,
+)
 
 #: Bound of the labelled sample, documents of each label.
 SAMPLE_DOCS = 2500
@@ -34,6 +36,7 @@ CLASS_SEGMENTS = 96
 SEGMENT_BYTES = (5, 11)
 #: A beginning must differ by so many standard errors between the classes; so many are looked at at a time.
 LEAST_CONTRAST = 6.0
+SEGMENTS = "segment binary, n0 long, n1 long"
 CANDIDATES = 3000
 #: A toxic document speaks for so many beginnings: copies of one text can't fill the dictionary.
 VOICES = 3
@@ -159,7 +162,7 @@ def _holders(toxic: DataFrame, segments: list[bytes]) -> dict[int, list]:
 
     holders: dict[int, list] = {}
     # At most as many rows as the sample has toxic documents.
-    for row in toxic.select("doc_id", "text").mapInArrow(run, schema).collect():
+    for row in in_tasks(toxic.select("doc_id", "text"), run, schema).collect():
         for place in row["places"]:
             holders.setdefault(place, []).append(row["doc_id"])
     return holders
@@ -203,8 +206,7 @@ def _toxic_segments(counts: DataFrame, toxic: DataFrame, size: dict[int, int]) -
             break
         silent = [doc for doc, n in spoken.items() if n >= VOICES]
         voices = (
-            toxic.where(~F.col("doc_id").isin(silent)).select("label", "text")
-            .mapInArrow(_beginnings, "segment binary, n0 long, n1 long")
+            in_tasks(toxic.where(~F.col("doc_id").isin(silent)).select("label", "text"), _beginnings, SEGMENTS)
             .groupBy("segment").agg(F.sum("n1").alias("voices")))
         begun = reduce(or_, [
             F.startswith("segment", F.lit(c)) | F.startswith(F.lit(c), "segment") for c in chosen], F.lit(False))
@@ -218,7 +220,7 @@ def _toxic_segments(counts: DataFrame, toxic: DataFrame, size: dict[int, int]) -
 def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes]:
     size = {y: sample.where(F.col("label") == y).count() for y in (0, 1)}
     counts = cut(
-        sample.select("label", "text").mapInArrow(_beginnings, "segment binary, n0 long, n1 long")
+        in_tasks(sample.select("label", "text"), _beginnings, SEGMENTS)
         .groupBy("segment").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .withColumn("contrast", F.round(contrast(F.col("n0"), F.col("n1"), size, F.sqrt), 6))
     )
@@ -243,7 +245,7 @@ def _featured(rows: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
-    return rows.select("label", "text").mapInArrow(run, "label int, x array<double>")
+    return in_tasks(rows.select("label", "text"), run, "label int, x array<double>")
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: int = 2, parts: int = 4) -> Model | float:
@@ -300,4 +302,4 @@ def score_toxicity(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), *(batch.columns[2:] if carry else ())], schema.names)
 
-    return rows.mapInArrow(run, schema).withColumn("predicted", flagged)
+    return in_tasks(rows, run, schema).withColumn("predicted", flagged)

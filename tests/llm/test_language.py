@@ -107,3 +107,32 @@ def test_all_chosen_documents_are_learned_from(spark):
     assert len(set(samples["zh"]) - {" "}) == g.SAMPLE_DOCS
     assert all(g.SAMPLE_BYTES * 0.97 < len(t.encode()) <= g.SAMPLE_BYTES for t in samples.values())
     assert g.beginning("aж".encode(), 2) == b"a"
+
+
+def test_repeated_rows_are_one_document(spark):
+    """A document that is repeated does not take the places of others."""
+    rows = [(i, f"word{i} " * 30, "en", "s", "x") for i in range(400)]
+    repeated = [r for r in rows if r[0] < 200 for _ in range(20)]
+    samples = g.labelled_samples(spark.createDataFrame(rows + repeated + rows[:1] * 5000, DOCS), 1, 3)
+    assert g.SAMPLE_BYTES * 0.9 < len(samples["en"].encode()) <= g.SAMPLE_BYTES
+    assert samples == g.labelled_samples(spark.createDataFrame(rows, DOCS), 1, 3)
+
+
+def test_languages_in_rounds(spark, monkeypatch):
+    """With more languages than a worker holds at once the result is the same."""
+    rng = np.random.default_rng(6)
+    words = {f"l{n}": ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(9)] for n in range(7)}
+    rows = [(i, " ".join(rng.choice(words[f"l{i % 7}"], 30)), f"l{i % 7}", "s", "x") for i in range(70)]
+    frame = spark.createDataFrame([*rows, (None, None, None, None, None), (900, "12", None, None, None)], DOCS)
+    want = sorted(map(tuple, g.identify(frame).collect()), key=repr)
+    assert sum(r[2] == f"l{r[0] % 7}" for r in want if r[0] is not None and r[0] < 70) == 70
+    monkeypatch.setattr(g, "AT_ONCE", 2)
+    assert sorted(map(tuple, g.identify(frame).collect()), key=repr) == want
+    assert all("row" in r for r in g.identify(frame, carry=True).collect())
+
+
+def test_phrases_tell_foreign_text(spark):
+    rows = [(i, "the quick brown fox and the lazy dog " * 3, "en", "s", "x") for i in range(0, 40)]
+    rows += [(900, "съешь ещё этих мягких булок", None, "", ""), (901, "a lazy fox", None, "", ""), (902, "1", None, "", "")]
+    told = {r["doc_id"]: r["phrase"] for r in g.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    assert told[900] < 1.5 and told[901] > 2 and told[902] is None
