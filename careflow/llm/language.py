@@ -24,6 +24,8 @@ from careflow.llm.common import broadcast_if_small, cut, fold, in_tasks, text_ro
 #: Bounds of the labelled sample: documents and bytes of each language.
 SAMPLE_DOCS = 64
 SAMPLE_BYTES = 16384
+#: From so much labelled text on the length of phrases tells whether a text is in the language at all.
+KNOWN_BYTES = 2048
 #: A text is parsed in pieces of so many bytes, side by side; a phrase ends with its piece.
 PIECE = 256
 LANES = 1 << 14
@@ -219,7 +221,7 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = F
     as one.  ``lang_pred`` is ``und`` with score 0 if the text is null, empty or has no letter, or if nothing
     could be learned.  Else ``score`` is the runner-up's share of the two lowest costs (0.5: a tie, settled by
     code point; 1: only one language), and ``phrase`` the bytes of an average phrase in the language: about
-    1 if the text is nothing like it.  Long texts are parsed in pieces of ``PIECE`` bytes, where phrases end.
+    1 if the text is nothing like it, null if less than ``KNOWN_BYTES`` of the language could be learned.  Long texts are parsed in pieces of ``PIECE`` bytes, where phrases end.
     Repeated rows stay; other columns, whatever their names, are ignored; an empty table gives no row.
 
     Every text is parsed in each language, so time goes with their number.  ``AT_ONCE`` languages (0.5 MB
@@ -241,7 +243,7 @@ def identify(docs: DataFrame, held_out: int = 1, parts: int = 3, carry: bool = F
     return told.select(
         "doc_id", "held_out", F.coalesce("_name", F.lit(UNKNOWN)).alias("lang_pred"),
         F.when(~known, 0.0).when(second.isNull(), 1.0).otherwise(second / (second + F.col("_lowest"))).alias("score"),
-        (F.col("_bits") / F.col("_lowest")).alias("phrase"), *(["row"] if carry else []))
+        F.when(F.col("_bits") >= math.log2(KNOWN_BYTES), F.col("_bits") / F.col("_lowest")).alias("phrase"), *(["row"] if carry else []))
 
 
 #: What rounds hand on: the language of the lowest cost, that of its phrases, the cost, and the next one.

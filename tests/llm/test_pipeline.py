@@ -1,12 +1,14 @@
 """The pipeline against brute force stage by stage, and the registered queries against their SQL."""
 
 import os
+import subprocess
 import sys
 
 import pytest
 import test_decontaminate
 import test_mixing_licenses
 import test_simhash
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
@@ -109,3 +111,69 @@ def test_leaks_go_by_id_and_text(spark):
     kept = corpus_pipeline.drop_contaminated(spark, docs, SF)
     assert kept.columns == COLUMNS
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[1], rows[3], rows[4]], key=repr)
+
+
+CLASHES = ("copies target rows kept_id kept_hash leaked_id leaked_key mixed_id mixed_hash _key_id _key_hash _KEY_ID _rows row "
+           "root text_hash most unnamed size taken bits phrase score lang_pred held_out predicted fp doc_key _before").split()
+
+
+@pytest.mark.parametrize("place", range(5))
+def test_stages_with_columns_of_any_name(spark, place):
+    """Further columns pass through every stage, however they are called."""
+    name, stage = corpus_pipeline.STAGES[place]
+    plain = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars int")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        more = plain
+        for clash in CLASHES:
+            more = more.withColumn(clash, F.concat(F.lit(clash), F.col("doc_id")))
+        want = sorted((repr(r["doc_id"]), repr(r["text"])) for r in stage(spark, plain, SF).collect())
+        found = stage(spark, more, SF)
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert sorted((repr(r["doc_id"]), repr(r["text"])) for r in rows) == want and want
+    kept = [c for c in CLASHES if place < 4 or c not in ("copies", "target")]
+    assert set(kept) <= set(found.columns)
+    for row in rows:
+        assert all(row[c] == (None if row["doc_id"] is None else f"{c}{row['doc_id']}") for c in kept)
+
+
+def test_language_stage_drops_other_languages(spark):
+    """Foreign text goes though it has letters; texts in the languages that are wanted stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    foreign = ["これは学んだことのない言語で書かれた文章です。" * 5, "Это предложение написано на языке, которого никто не учил. " * 3]
+    rows = [(10 ** 6 + i, t, None, "web", len(t)) for i, t in enumerate(foreign)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.identify_language(spark, both, SF)
+    assert kept.columns == COLUMNS
+    with_letters = both.where(r"text rlike '\\p{L}'").count()
+    assert kept.count() == with_letters - 2
+    assert kept.where("doc_id >= 1000000").isEmpty()
+    french = corpus_pipeline.identify_language(spark, docs, SF, languages=["fr"])
+    langs = [r["lang"] for r in french.collect()]
+    assert langs.count("fr") >= 0.9 * len(langs) > 0
+    # Nothing to learn from: a text with letters stays.
+    bare = both.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, bare, SF).count() == with_letters
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import corpus_pipeline
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+docs = spark.read.parquet({docs!r})
+for name, stage in corpus_pipeline.STAGES:
+    print(name, "gives", stage(spark, docs, {sf!r}).count())
+spark.stop()
+"""
+
+
+def test_workers_of_another_folder_find_the_library(tmp_path):
+    """No registered query has run, and the workers know nothing of the library."""
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYTHONPATH", "SPARK_", "PYSPARK_SUBMIT"))}
+    code = SCRIPT.format(root=ROOT, docs=f"{SF}/documents.parquet", sf=SF)
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.count("gives") == 5, done.stderr[-2000:]
