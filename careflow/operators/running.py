@@ -15,17 +15,25 @@ def with_total_before(df: DataFrame, order: Sequence[str], amount: Column) -> Da
 
     Rows are dealt out by ranges of ``order`` once and settled, so that a row keeps its range; each
     range is summed, and only these sums (one per range) are added up in one place.  ``order`` must
-    settle every tie.
+    settle every tie.  A column that is called ``_before`` already is replaced; any other stays.
     """
-    ranged = checkpointed(df.withColumn("_amount", amount).repartitionByRange(*order))
-    placed = ranged.withColumn("_range", F.spark_partition_id())
-    sums = placed.groupBy("_range").agg(F.sum("_amount").alias("_sum"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name += "_"
+        return name
+
+    value, part, total, offset, inside = map(free, ("_amount", "_range", "_sum", "_offset", "_inside"))
+    ranged = checkpointed(df.withColumn(value, amount).repartitionByRange(*order))
+    placed = ranged.withColumn(part, F.spark_partition_id())
+    sums = placed.groupBy(part).agg(F.sum(value).alias(total))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(part, F.coalesce(F.sum(total).over(earlier), F.lit(0)).alias(offset))
+    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        placed.withColumn("_inside", F.coalesce(F.sum("_amount").over(within), F.lit(0)))
-        .join(F.broadcast(offsets), "_range")
-        .withColumn("_before", F.col("_offset") + F.col("_inside"))
-        .drop("_range", "_inside", "_offset", "_amount")
+        placed.withColumn(inside, F.coalesce(F.sum(value).over(within), F.lit(0)))
+        .join(F.broadcast(offsets), part)
+        .withColumn("_before", F.col(offset) + F.col(inside))
+        .drop(part, inside, offset, value)
     )
