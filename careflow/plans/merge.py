@@ -18,6 +18,7 @@ from careflow.plans import reports
 from careflow.schemas import (
     LIS01, LIS02, LIS03, LIS04, LIS05, LIS06, LISA1, ROW_ID, ROW_IDX, SOURCE_FILE, TABLES, target_schema,
 )
+from careflow.sources import headers
 from careflow.sources.sinks import write_table
 
 ORIGIN, UPDATED = "数据来源", "数据更新时间"
@@ -139,6 +140,31 @@ def merge_patients(df: DataFrame, run_ts: str, key: str = KEYS[LISA1][0]) -> Dat
     return known.unionByName(merged.filter(_blank(F.col(quoted(key)))).select(*map(quoted, own)))
 
 
+def merge_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    run_ts: str,
+    fmt: str = "parquet",
+    keys: Sequence[str] | None = None,
+    keep_null_keys: bool = False,
+    by_day: Sequence[str] = ("就诊日期",),
+    pattern: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One table from many files whose headers differ, merged as by ``merge_table``, and the files that add
+    nothing to it (file, reason, error): missing, unreadable or empty.
+    """
+    found = headers.read_files(spark, paths, fmt, pattern, clean=True)
+    skipped = spark.createDataFrame(found.skipped, "file string, reason string, error string")
+    lost = {entry[0] for entry in found.skipped}
+    there = [p for p in ([paths] if isinstance(paths, str) else paths) if p not in lost]
+    listed = [f for f in (headers.file_names(spark, there, pattern) if there else []) if f not in lost]
+    files = spark.createDataFrame([(f,) for f in listed], "file string")
+    with_rows = found.rows.select(headers.plain_path(F.col(SOURCE_FILE)).alias("file")).distinct()
+    empty = files.join(with_rows, "file", "left_anti").select(
+        "file", F.lit("empty").alias("reason"), F.lit(None).cast("string").alias("error"))
+    return merge_table(found.rows, run_ts, keys, keep_null_keys, by_day), skipped.unionByName(empty)
+
+
 def merged_rows(table: str, df: DataFrame, run_ts: str, compat: bool = False) -> DataFrame:
     """The rows of one table over all files, without duplicates."""
     if compat:

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.schemas import ROW_IDX, SOURCE_FILE
-
 
 def read_table(
     spark: SparkSession,
@@ -17,24 +15,22 @@ def read_table(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     pattern: str | None = None,
+    clean: bool = False,
 ) -> DataFrame:
     """One input table from one or many files, each row with where it came from.
 
-    Types are never inferred: text such as ``030`` must stay text.  Row numbers exist for
-    Parquet only; elsewhere ties are settled by content.
+    Columns are matched by name, whatever the files' headers (``headers.read_files``); with ``schema`` the
+    result has its columns, and values that are not of its types are null.  Without one types are never
+    inferred: text such as ``030`` must stay text.  Row numbers exist for Parquet only; elsewhere ties are
+    settled by content.  A path that is missing or a file that can't be read is an error.
     """
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", False)
-    df = reader.load(paths if isinstance(paths, str) else list(paths))
-    identity = {SOURCE_FILE: F.col("_metadata.file_path")}
-    if fmt == "parquet":
-        identity[ROW_IDX] = F.col("_metadata.row_index")
-    return df.select("*", *[c.alias(n) for n, c in identity.items()])
+    from careflow.sources import headers  # which needs the paths of this module
+
+    found = headers.read_files(spark, paths, fmt, pattern, clean)
+    lost = [entry for entry in found.skipped if entry[1] != "empty"]
+    if lost:
+        raise ValueError(f"{len(lost)} inputs cannot be read, the first: {': '.join(x for x in lost[0] if x)}")
+    return found.rows if schema is None else headers.on_schema(found.rows, schema)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -42,6 +38,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, or any that fits the path's pattern."""
+    fs, place = _hadoop_path(spark, path)
+    return bool(fs.globStatus(place))
+
+
 def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether a directory holds anything but markers and logs, such as ``_SUCCESS``."""
     fs, place = _hadoop_path(spark, path)
