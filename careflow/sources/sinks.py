@@ -1,23 +1,26 @@
 """Table store: runs are appended, and a log says which run is the current one of each file.
 
-A table is one directory with a part per run, and beside them the log (``_files``: file, run,
-position of the run).  A rerun of some files adds their rows and their log lines; nothing that is
-there is read or written again, whatever the store holds.  Readers take of each file the rows of its
-last run.  ``compact_store`` rewrites a store without rows that are out of date.
+A table is one directory with a part per run, and beside them the files of each run (``_files``) and the log
+of runs (``_commits``).  A rerun of some files adds their rows, its list of files and then one numbered
+entry, with which it becomes current; nothing that is there is read or written again, whatever the store
+holds.  Writers need not know of each other: each has folders of its own, and numbers are given once.  Readers
+take of each file the rows of its last run.  ``compact_store`` rewrites a store without rows that are out of
+date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow.schemas import SOURCE_FILE
+from careflow.sources import commits
 from careflow.sources.tables import delete_path, holds_data
 
 # A part's name: the mark keeps a run of digits from being read as a number.
 PART, MARK = "careflow_run", "run-"
-LOG = "_files"
+LOG, COMMITS = "_files", "_commits"
 LOG_SCHEMA = f"{SOURCE_FILE} string, {PART} string, position bigint"
 # Paths are a few hundred bytes at most: some megabytes in all.  More of them are joined by shuffle.
 MAX_BROADCAST_FILES = 20_000
@@ -29,11 +32,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_FILES) -> Da
 
 
 def file_log(spark: SparkSession, path: str) -> DataFrame:
-    """All runs of all files; empty where the table was never written."""
+    """(file, part, position) of all files of all runs that ended; empty where the table was never written."""
     place = f"{path}/{LOG}"
     if not holds_data(spark, place):
         return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(place)
+    runs = broadcast_if_small(commits.entries(spark, f"{path}/{COMMITS}").withColumnRenamed("entry", PART))
+    lines = spark.read.schema(f"{SOURCE_FILE} string, {PART} string").parquet(place)
+    return lines.join(runs, PART).select(SOURCE_FILE, PART, "position")
 
 
 def current_files(spark: SparkSession, path: str) -> DataFrame:
@@ -59,42 +64,49 @@ def read_store(
     return df.join(current, [SOURCE_FILE, PART], "left_semi").select(*[c for c in df.columns if c != PART])
 
 
-def upsert_files(df: DataFrame, files: DataFrame, path: str, run: str) -> None:
-    """Replace what the table at ``path`` holds of ``files`` by ``df``, as run ``run``.
+def upsert_files(
+    df: DataFrame, files: DataFrame, path: str, run: str, after: int | None = None
+) -> int | None:
+    """Replace what the table at ``path`` holds of ``files`` by ``df``, as run ``run``; returns its number.
 
-    ``files`` lists every processed ``_source_file``, also those without rows now.  Rows are added
-    first and become current with the log, so a run that fails in between has changed nothing.  A
-    run's name must be new.
+    ``files`` lists every processed ``_source_file``, also those without rows now.  Rows become current
+    with the entry in the log that is made last, so a run that fails in between has changed nothing, and
+    any number of writers may be at work: of a file that two of them bring, the one that ends last counts.
+    A run's name must be new.  With ``after`` the run only counts if no other ended since that number; else
+    None is returned and nothing has changed.
     """
     spark = df.sparkSession
-    log = file_log(spark, path)
     part = MARK + run
-    known = log.agg(
-        F.coalesce(F.max("position"), F.lit(0)).alias("last"), F.count_if(F.col(PART) == part).alias("same")
-    ).first()
-    if known["same"]:
+    if not commits.entries(spark, f"{path}/{COMMITS}").where(F.col("entry") == part).isEmpty():
         raise ValueError(f"{path} already holds run {run}")
-    (
-        df.withColumn(PART, F.lit(part)).hint("rebalance")
-        # A part that a run of this name left when it failed goes.
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    )
-    (
-        files.select(SOURCE_FILE).distinct()
-        .select(SOURCE_FILE, F.lit(part).alias(PART), F.lit(known["last"] + 1).cast("bigint").alias("position"))
-        .write.mode("append").parquet(f"{path}/{LOG}")
-    )
-
-
-def compact_store(spark: SparkSession, path: str, run: str, schema: T.StructType | None = None) -> None:
-    """Rewrite the current rows as one run and remove the parts of earlier runs."""
+    # What a run of this name left when it failed goes.
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{PART}={part}")
+    files.select(SOURCE_FILE).distinct().write.mode("overwrite").parquet(f"{path}/{LOG}/{PART}={part}")
+    position = commits.append(spark, f"{path}/{COMMITS}", part, after)
+    if position is None:
+        delete_path(spark, f"{path}/{PART}={part}")
+        delete_path(spark, f"{path}/{LOG}/{PART}={part}")
+    return position
+
+
+def compact_store(spark: SparkSession, path: str, run: str, schema: T.StructType | None = None) -> bool:
+    """Rewrite the current rows as one run and remove the parts of earlier runs.
+
+    False, and nothing done, if another run ended meanwhile: its rows would be lost under older ones.
+    """
+    last = commits.last_position(spark, f"{path}/{COMMITS}")
     current = current_files(spark, path).select(SOURCE_FILE)
-    earlier = [r[0] for r in file_log(spark, path).select(PART).distinct().collect()]  # one per run
-    upsert_files(read_store(spark, path, schema), current, path, run)
+    earlier = [r[0] for r in commits.entries(spark, f"{path}/{COMMITS}").select("entry").collect()]  # one per run
+    if upsert_files(read_store(spark, path, schema), current, path, run, after=last) is None:
+        return False
     for part in earlier:
         delete_path(spark, f"{path}/{PART}={part}")
+    return True
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Whole-table overwrite; an empty table keeps its schema."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str) -> int:
+    """Whole-table overwrite; an empty table keeps its schema.  Returns the rows, counted as they are written."""
+    counted = Observation()
+    rows = df.hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").parquet(path)
+    return counted.get["rows"]

@@ -33,27 +33,27 @@ def read_table(
     return found.rows if schema is None else headers.on_schema(found.rows, schema)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, or any that fits the path's pattern."""
-    fs, place = _hadoop_path(spark, path)
+    fs, place = hadoop_path(spark, path)
     return bool(fs.globStatus(place))
 
 
 def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether a directory holds anything but markers and logs, such as ``_SUCCESS``."""
-    fs, place = _hadoop_path(spark, path)
+    fs, place = hadoop_path(spark, path)
     return fs.exists(place) and any(
         not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(place)
     )
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, place = _hadoop_path(spark, path)
+    fs, place = hadoop_path(spark, path)
     fs.delete(place, True)
 
 
