@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from careflow.sources.workbook import MARKER, scan_workbooks, sheet_table, widen
 LANDED = "_landed"
 # All processed files with what they lack, each as its last run found it.
 INPUTS = "_inputs"
+# Tables that are built side by side.
+TABLES_AT_ONCE = 4
 INPUT_SCHEMA = T.StructType([
     T.StructField(SOURCE_FILE, T.StringType()), T.StructField(MISSING, T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
@@ -167,9 +170,8 @@ def process_sheets(
     spark, run = files.sparkSession, run or uuid.uuid4().hex
     built: dict[str, DataFrame] = {}
     failed: dict[int, str] = {}
-    for spec in SPECS:
-        if numbers is not None and spec.number not in numbers:
-            continue
+
+    def build(spec: TableSpec) -> None:
         try:
             path = f"{output}/{spec.name}"
             header = output_header(spark, spec, output)
@@ -177,9 +179,16 @@ def process_sheets(
             upsert_files(table, files.select(SOURCE_FILE), path, run)
         except Exception as problem:  # whatever it is, the other tables go on
             failed[spec.number] = f"{type(problem).__name__}: {problem}".splitlines()[0]
-            continue
-        # Later tables read what was written rather than build it again.
-        built[spec.name] = read_store(spark, path, stored_schema(header), run)
+        else:
+            # Later tables read what was written rather than build it again.
+            built[spec.name] = read_store(spark, path, stored_schema(header), run)
+
+    wanted = [spec for spec in SPECS if numbers is None or spec.number in numbers]
+    # Others read the merged visits; the rest have nothing to do with each other.
+    for spec in wanted[:1]:
+        build(spec)
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(build, wanted[1:]))
     upsert_files(files.select(*INPUT_SCHEMA.names), files.select(SOURCE_FILE), f"{output}/{INPUTS}", run)
     results = reports.file_results(table_outcomes(files, numbers, failed))
     only = numbers[0] if numbers is not None and len(numbers) == 1 else None
@@ -188,8 +197,8 @@ def process_sheets(
         "详细结果": reports.batch_details(results, output, only),
         **reported,
     }
-    for name, frame in report.items():
-        write_table(frame, f"{output}/batch_process_report/{name}")
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(lambda name: write_table(report[name], f"{output}/batch_process_report/{name}"), report))
     return report
 
 
@@ -212,9 +221,7 @@ def merge_processed(
 ) -> dict[str, DataFrame]:
     """Merge what ``process_workbooks`` left in ``processed``."""
     files, tables = processed_files(spark, processed), stored_tables(spark, processed)
-    report = merge.merge_results(
-        spark, tables, files.select(F.col(SOURCE_FILE).alias("path")), output, run_ts, compat
+    return merge.merge_results(
+        spark, tables, files.select(F.col(SOURCE_FILE).alias("path")), output, run_ts, compat,
+        {"跳过的文件": lambda: skipped_inputs(files, tables)},
     )
-    report["跳过的文件"] = skipped_inputs(files, tables)
-    write_table(report["跳过的文件"], f"{output}/merge_report/跳过的文件")
-    return report

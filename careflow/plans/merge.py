@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +18,9 @@ from careflow.plans import reports
 from careflow.schemas import (
     LIS01, LIS02, LIS03, LIS04, LIS05, LIS06, LISA1, ROW_ID, ROW_IDX, SOURCE_FILE, TABLES, target_schema,
 )
-from careflow.sources import headers
+from careflow.sources import generations, headers
 from careflow.sources.sinks import write_table
+from careflow.sources.tables import delete_path
 
 ORIGIN, UPDATED = "数据来源", "数据更新时间"
 
@@ -39,6 +40,7 @@ DAY_KEYS: dict[str, tuple[str, ...]] = {LIS01: ("就诊日期",), LIS02: ("就
 FIRST, LAST, VISITS = "首次就诊日期", "最近就诊日期", "就诊次数"
 # Tables that are merged side by side.
 MERGES = 4
+REPORT, ATTEMPT = "merge_report", "last_attempt"
 
 
 def with_provenance(df: DataFrame, run_ts: str) -> DataFrame:
@@ -181,41 +183,57 @@ def merge_results(
     output: str,
     run_ts: str,
     compat: bool = False,
+    reported: Mapping[str, Callable[[], DataFrame]] = {},
+    keep_last: bool = True,
 ) -> dict[str, DataFrame]:
-    """Merge and write every table, then report from what was written.
+    """Merge and write every table, then report; all of it becomes current at once.
 
-    ``files`` has (path).  A table that fails is reported and does not stop the others.
+    ``files`` has (path).  A table that fails is reported and does not stop the others.  If one failed and an
+    earlier merge of ``output`` was whole, that one stays current, all tables and its report, and this run's
+    report is left in ``last_attempt``; with ``keep_last`` off, or where there is none before, what went well is
+    published.  ``reported`` are more report tables.  ``read_merged`` reads the current tables.
     """
-    def merged(table: str) -> DataFrame:
-        """(sheet, rows, error) of one table, written."""
-        path, error, rows = f"{output}/{table}", None, 0
+    folder = generations.new_generation(output)
+
+    def merged(table: str) -> tuple[str, int, str | None]:
+        """(sheet, rows, error) of one table, written; rows are counted on the way."""
         try:
-            if table in tables:
-                write_table(merged_rows(table, tables[table], run_ts, compat), path)
-                rows = spark.read.parquet(path).count()
-            else:
-                write_table(spark.createDataFrame([], target_schema(table)), path)
+            found = (
+                merged_rows(table, tables[table], run_ts, compat) if table in tables
+                else spark.createDataFrame([], target_schema(table)))
+            return table, write_table(found, f"{folder}/{table}"), None
         except Exception as problem:
-            error = f"{type(problem).__name__}: {problem}"
-        return spark.range(1).select(
-            F.lit(table).alias("sheet"), F.lit(rows).cast("bigint").alias("rows"),
-            F.lit(error).cast("string").alias("error"),
-        )
+            return table, 0, f"{type(problem).__name__}: {problem}".splitlines()[0]
 
     # The tables have nothing to do with each other.
     with ThreadPoolExecutor(MERGES) as pool:
-        counts = list(pool.map(merged, TABLES))
-    per_table = counts[0]
-    for more in counts[1:]:
-        per_table = per_table.unionByName(more)
+        per_table = spark.createDataFrame(list(pool.map(merged, TABLES)), "sheet string, rows bigint, error string")
     expected = spark.createDataFrame(list(enumerate(TABLES, 1)), "ordinal int, sheet string")
     details = reports.merge_details(per_table, expected)
+    failed = not per_table.where(F.col("error").isNotNull()).isEmpty()
+    rolled_back = failed and keep_last and generations.current_generation(spark, output) is not None
     n_files = files.agg(F.countDistinct("path")).scalar()
     report = {
         "总体统计": reports.merge_summary(details, n_files, output),
         "输入文件列表": reports.input_files(files),
         "详细结果": details.orderBy("ordinal").drop("ordinal"),
+        **{name: make() for name, make in reported.items()},
     }
-    for name, frame in report.items():
-        write_table(frame, f"{output}/merge_report/{name}")
+    place = f"{output}/{ATTEMPT}" if rolled_back else f"{folder}/{REPORT}"
+    with ThreadPoolExecutor(MERGES) as pool:
+        list(pool.map(lambda name: write_table(report[name], f"{place}/{name}"), report))
+    if rolled_back:
+        delete_path(spark, folder)
+    else:
+        generations.publish(spark, output, folder)
     return report
+
+
+def read_merged(spark: SparkSession, output: str, table: str) -> DataFrame:
+    """A merged table, of the last merge that counts."""
+    return generations.read_published(spark, output, table)
+
+
+def read_report(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """A table of the report that belongs to the merged tables."""
+    return generations.read_published(spark, output, f"{REPORT}/{name}")

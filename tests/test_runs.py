@@ -120,7 +120,7 @@ def test_batch(spark, folder, tmp_path):
     assert skipped >= {("b.xlsx", LIS04, "empty"), ("b.xlsx", LIS06, "missing sheet"),
                        ("c.xlsx", LIS05, "missing sheet"), ("bad.xlsx", LIS01, "unreadable")}
     assert len(skipped) == 2 + 2 + 7
-    visits = spark.read.parquet(f"{merged}/{LIS01}")
+    visits = merge.read_merged(spark, merged, LIS01)
     assert {"年龄周岁", "诊断ICD编码", "数据来源", "数据更新时间"} <= set(visits.columns)
     assert {r["数据更新时间"] for r in visits.collect()} == {"2024-01-01 00:00:00"}
 
@@ -279,7 +279,7 @@ def test_merge_isolates_a_failing_table(spark, tmp_path):
     states = {r["sheet名称"]: r["状态"] for r in report["详细结果"].collect()}
     assert states[LIS06] == "success" and states[LIS04] == "error" and states[LIS01] == "empty"
     assert {r["数值"] for r in report["总体统计"].collect()} >= {"partial", "1", "6"}
-    assert spark.read.parquet(str(tmp_path / "m" / LIS01)).count() == 0
+    assert merge.read_merged(spark, str(tmp_path / "m"), LIS01).count() == 0
 
 
 def test_report_without_files(spark):
