@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from careflow.catalog.registry import query, read
-from careflow.plans import merge
+from careflow.plans import incremental, merge
 from careflow.schemas import LIS04, LIS06, ROW_IDX, SOURCE_FILE, TABLES
 from careflow.sources import scratch, sinks
 
@@ -84,3 +84,24 @@ def merge_failed_table_rolls_back(spark, sf_dir):
     tried = attempt["详细结果"].select("sheet名称", F.col("状态").alias("attempt"))
     result = counts[0].unionByName(counts[1]).join(stored, "sheet名称").join(tried, "sheet名称")
     return scratch.without_folder(result.select("sheet名称", "rows", "stored", "attempt"), folder)
+
+
+@query("merge_incremental", """WITH f AS (
+  SELECT '/in/' || o_orderstatus || '.xlsx' AS path, o_orderstatus || '.xlsx' AS name, CAST(o_custkey AS VARCHAR) AS id,
+    o_orderpriority AS drug, CAST(o_orderdate AS VARCHAR) AS day, o_orderkey AS row
+  FROM orders WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_totalprice >= 100000)),
+r AS (SELECT *, row_number() OVER (PARTITION BY id, drug, day ORDER BY path, row) AS n FROM f)
+SELECT id AS "患者ID", drug AS "药物名称", day AS "用药日期", name AS "数据来源" FROM r WHERE n = 1""")
+def merge_incremental(spark, sf_dir):
+    """Three files are merged; then one comes with fewer rows and one with none, and only these are merged again."""
+    folder = scratch.new_folder(spark)
+    rows, store = _merge_rows(spark, sf_dir), f"{folder}/processed/{LIS04}"
+    files = rows.select(SOURCE_FILE).distinct()
+    sinks.upsert_files(rows, files, store, "first")
+    schemas = {LIS04: rows.schema}
+    incremental.merge_incremental(spark, f"{folder}/processed", schemas, f"{folder}/merged", "2024-02-01 00:00:00", 16)
+    dear = read(spark, sf_dir, "orders").where(F.col("o_totalprice") >= 100000).select(F.col("o_orderkey").alias(ROW_IDX))
+    fewer = rows.filter(F.col(SOURCE_FILE).endswith("F.xlsx")).join(dear, ROW_IDX, "left_semi").select(*rows.columns)
+    sinks.upsert_files(fewer, files.filter(~F.col(SOURCE_FILE).endswith("O.xlsx")), store, "second")
+    incremental.merge_incremental(spark, f"{folder}/processed", schemas, f"{folder}/merged", "2024-02-02 00:00:00", 16)
+    return scratch.without_folder(incremental.read_incremental(spark, f"{folder}/merged", LIS04).drop(merge.UPDATED), folder)

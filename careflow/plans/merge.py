@@ -70,6 +70,20 @@ def _blank(column: Column) -> Column:
     return F.trim(F.coalesce(column.cast("string"), F.lit(""))) == ""
 
 
+def _days(df: DataFrame, keys: Sequence[str], by_day: Sequence[str]) -> dict[str, Column]:
+    """The day of each key that counts by day, null where none can be read."""
+    days = {clean_name(k) for k in by_day}
+    return {k: as_timestamp(df, k).cast("date").cast("string") for k in map(clean_name, keys) if k in days}
+
+
+def key_columns(df: DataFrame, keys: Sequence[str], by_day: Sequence[str] = ()) -> list[Column]:
+    """What must be equal for two rows to be one record."""
+    day = _days(df, keys, by_day)
+    return [
+        F.coalesce(day[k], F.col(quoted(k)).cast("string")) if k in day else F.col(quoted(k)) for k in map(clean_name, keys)
+    ]
+
+
 def merge_table(
     df: DataFrame,
     run_ts: str,
@@ -92,11 +106,8 @@ def merge_table(
         if found is None:
             return dedup.drop_duplicate_rows(merged, lineage(merged))
         keys = (found,)
-    keys, days = [clean_name(k) for k in keys], {clean_name(k) for k in by_day}
-    day = {k: as_timestamp(merged, k).cast("date").cast("string") for k in keys if k in days}
-    columns = [
-        F.coalesce(day[k], F.col(quoted(k)).cast("string")) if k in day else F.col(quoted(k)) for k in keys
-    ]
+    day = _days(merged, keys, by_day)
+    columns = key_columns(merged, keys, by_day)
     order = dedup.tie_break(merged, _row_order(merged, own))
     if not keep_null_keys:
         return dedup.keep_first(merged, columns, order).select(*map(quoted, own))
