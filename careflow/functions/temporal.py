@@ -23,10 +23,15 @@ def parse_text_timestamp(
     text: Column, layouts: Sequence[tuple[str, str]] = TEXT_LAYOUTS
 ) -> Column:
     """Lenient parse: text in none of the known layouts becomes null."""
+    iso = _iso(text, layouts)
+    return F.when(iso.rlike(_ISO_DAY), iso.try_cast(T.TimestampNTZType()))
+
+
+def _iso(text: Column, layouts: Sequence[tuple[str, str]] = TEXT_LAYOUTS) -> Column:
     iso = F.trim(text)
     for pattern, replacement in layouts:
         iso = F.regexp_replace(iso, pattern, replacement)
-    return F.when(iso.rlike(_ISO_DAY), iso.try_cast(T.TimestampNTZType()))
+    return iso
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
@@ -63,3 +68,25 @@ def unparsable_dates(df: DataFrame, name: str) -> Column:
     """Aggregate: how many non-blank values of ``name`` are not dates."""
     text = F.col(quoted(name)).cast("string")
     return F.count_if(as_timestamp(df, name).isNull() & (F.trim(text) != ""))
+
+
+NO_LAYOUT, NO_DAY = "no known layout", "no such day or time"
+
+
+def date_problem(df: DataFrame, name: str) -> Column:
+    """Why a non-blank value of ``name`` is not a date; null if it is one, or blank."""
+    text = F.col(quoted(name)).cast("string")
+    unread = as_timestamp(df, name).isNull() & (F.trim(text) != "")
+    return F.when(unread, F.when(_iso(text).rlike(_ISO_DAY), NO_DAY).otherwise(NO_LAYOUT))
+
+
+def rejected_dates(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """One row per value of the columns ``names`` that is not a date: ``column, text, reason`` beside the
+    columns ``keep`` of its row.  All columns are judged in one scan; a column that is not there has none."""
+    judged = [
+        F.struct(F.lit(n).alias("column"), F.col(quoted(n)).cast("string").alias("text"), date_problem(df, n).alias("reason"))
+        for n in names if n in df.columns]
+    if not judged:
+        return df.select(*map(quoted, keep), *[F.lit(None).cast("string").alias(c) for c in ("column", "text", "reason")]).limit(0)
+    bad = F.filter(F.array(*judged), lambda v: v["reason"].isNotNull())
+    return df.select(*map(quoted, keep), F.inline(bad))

@@ -10,19 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careflow.functions.temporal import unparsable_dates
+from careflow.functions import temporal
 from careflow.operators.projection import MISSING, existing_header
 from careflow.operators.union import union_aligned
-from careflow.plans import merge, reports
+from careflow.plans import incremental, merge, reports
 from careflow.plans.registry import SPECS, TableSpec, layouts
 from careflow.schemas import HEADERS, ROW_IDX, SOURCE_FILE, SOURCE_RANK, target_type
+from careflow.sources import ledger
+from careflow.sources.scratch import checkpointed
 from careflow.sources.sinks import read_store, upsert_files, write_table
 from careflow.sources.tables import holds_data, skip_reasons
-from careflow.sources.workbook import MARKER, scan_workbooks, sheet_table, widen
+from careflow.sources.workbook import MARKER, list_workbooks, scan_workbooks, sheet_table, widen
 
 LANDED = "_landed"
 # All processed files with what they lack, each as its last run found it.
 INPUTS = "_inputs"
+# Columns whose text must be a date.
+DATES = ("就诊日期", "入院日期")
 # Tables that are built side by side.
 TABLES_AT_ONCE = 4
 INPUT_SCHEMA = T.StructType([
@@ -32,7 +36,7 @@ INPUT_SCHEMA = T.StructType([
 
 
 def land_workbooks(
-    spark: SparkSession, directory: str, output: str, pattern: str = "*.xlsx", compat: bool = False
+    spark: SparkSession, directory: str | Sequence[str], output: str, pattern: str = "*.xlsx", compat: bool = False
 ) -> DataFrame:
     """Parse every workbook once; the tables read the result, by sheet and by column."""
     wanted = layouts(compat)
@@ -89,7 +93,7 @@ def bad_dates(landed: DataFrame) -> DataFrame:
 
     Such a date becomes blank and its row is kept, so this is where one learns of it.
     """
-    unread = unparsable_dates(landed, "就诊日期") + unparsable_dates(landed, "入院日期")
+    unread = sum((temporal.unparsable_dates(landed, name) for name in DATES), F.lit(0))
     return (
         landed.filter(F.col(ROW_IDX) != MARKER)
         .groupBy(F.col(SOURCE_FILE).alias("源文件路径"), F.col("sheet").alias("sheet名称"))
@@ -98,6 +102,14 @@ def bad_dates(landed: DataFrame) -> DataFrame:
     )
 
 
+def quarantined_dates(landed: DataFrame) -> DataFrame:
+    """The visit and admission dates that no known layout reads, each with its row, its text and the reason."""
+    rows = landed.filter(F.col(ROW_IDX) != MARKER)
+    return temporal.rejected_dates(rows, DATES, [SOURCE_FILE, "sheet", ROW_IDX]).select(
+        F.col(SOURCE_FILE).alias("源文件路径"), F.col("sheet").alias("sheet名称"), F.col(ROW_IDX).alias("行号"),
+        F.col("column").alias("列名"), F.col("text").alias("原文"), F.col("reason").alias("原因"))
+
+
 def skipped_inputs(files: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """(file, sheet, reason): which processed file adds nothing to which table, and why."""
     counts = union_aligned([
@@ -140,16 +152,41 @@ def process_workbooks(
     numbers: Sequence[int] | None = None,
     compat: bool = False,
     run: str | None = None,
+    changed_only: bool = False,
 ) -> dict[str, DataFrame]:
     """Build the tables of all workbooks; rows of a file replace its earlier rows.
 
     ``numbers`` picks tables (1-7); ``run`` names the run and must be new.  Returns the report
-    tables, which are written too.
+    tables, which are written too.  With ``changed_only`` only files that are new or changed since they
+    were last processed so are opened, and the report is of these; files that are gone keep their rows.
+    A run in which a table could not be built is not remembered, so its files come again.
     """
-    landed = land_workbooks(spark, directory, output, pattern, compat)
+    if not changed_only:
+        return _process_files(spark, directory, output, pattern, numbers, compat, run)
+    if numbers is not None:
+        raise ValueError("files are remembered for all tables, not for some")
+    run = run or uuid.uuid4().hex
+    listing = checkpointed(list_workbooks(spark, directory, pattern))
+    changes = checkpointed(ledger.compare(listing, ledger.read_ledger(spark, output)))
+    paths = ledger.to_process(changes)
+    report = {"文件变化": changes}
+    if paths:
+        report |= _process_files(spark, paths, output, pattern, None, compat, run)
+        state, problem = F.col("状态"), F.col("错误信息")
+        if report["详细结果"].where((state != "error") & problem.isNotNull() & (problem != "")).isEmpty():
+            opened = changes.where(F.col("change").isin(ledger.NEW, ledger.CHANGED))
+            ledger.remember(listing.join(opened, "path", "left_semi"), output, run)
+    return report
+
+
+def _process_files(
+    spark: SparkSession, places: str | Sequence[str], output: str, pattern: str, numbers: Sequence[int] | None,
+    compat: bool, run: str | None,
+) -> dict[str, DataFrame]:
+    landed = land_workbooks(spark, places, output, pattern, compat)
     return process_sheets(
         input_sheets(landed, compat), workbook_files(landed), output, numbers, compat, run,
-        {"日期异常": bad_dates(landed)},
+        {"日期异常": bad_dates(landed), "日期隔离": quarantined_dates(landed)},
     )
 
 
@@ -225,3 +262,15 @@ def merge_processed(
         spark, tables, files.select(F.col(SOURCE_FILE).alias("path")), output, run_ts, compat,
         {"跳过的文件": lambda: skipped_inputs(files, tables)},
     )
+
+
+def merge_changed(spark: SparkSession, processed: str, output: str, run_ts: str) -> dict[str, incremental.Change]:
+    """As ``merge_processed``, but only of what changed in ``processed`` since the last such merge.
+
+    ``incremental.read_incremental`` reads the merged tables.
+    """
+    schemas = {}
+    for spec in SPECS:
+        if holds_data(spark, f"{processed}/{spec.name}"):
+            schemas[spec.name] = stored_schema(output_header(spark, spec, processed))
+    return incremental.merge_incremental(spark, processed, schemas, output, run_ts)

@@ -25,7 +25,7 @@ from careflow.operators.projection import as_text
 from careflow.operators.union import outer_union
 from careflow.schemas import ROW_IDX, SOURCE_FILE
 from careflow.shipping import ship
-from careflow.sources.tables import path_exists
+from careflow.sources.tables import literal_path, path_exists
 
 # One file to a partition, whatever its size: a header is at a file's beginning.
 WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60)}
@@ -60,11 +60,6 @@ def unique_names(names: Sequence[str], clean: bool = False) -> tuple[str, ...]:
     return tuple(found)
 
 
-def literal_path(path: str) -> str:
-    """A path that is read as it is, though its name holds characters of a pattern."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def file_names(spark: SparkSession, paths: Sequence[str], pattern: str | None = None) -> list[str]:
     """All files in ``paths``, empty ones too, from the listing alone."""
     reader = spark.read.format("binaryFile")

@@ -24,6 +24,7 @@ from careflow.functions.naming import clean_name, clean_names, locate, quoted
 from careflow.operators.projection import FIELD_PREFIX, MISSING
 from careflow.schemas import ROW_IDX, SOURCE_FILE
 from careflow.shipping import ship
+from careflow.sources.tables import literal_path
 
 # One marker row per sheet (and per unreadable file) has this number instead of a row's.
 MARKER = -1
@@ -78,14 +79,14 @@ def list_workbooks(spark: SparkSession, directory: str, pattern: str = "*.xlsx")
 
 def scan_workbooks(
     spark: SparkSession,
-    directory: str,
+    directory: str | Sequence[str],
     pattern: str = "*.xlsx",
     layouts: Mapping[str, Layout] | None = None,
 ) -> DataFrame:
     """All rows of the sheets in ``layouts`` (of every sheet, as it is, without layouts).
 
     A row has its cells in layout order.  Every sheet and every unreadable file gives a
-    marker row.  ``_missing`` lists the sheets and required fields that the row's file
+    marker row.  ``directory`` may be a list of files instead.  ``_missing`` lists the sheets and required fields that the row's file
     lacks.  A bad file or sheet never fails the job: it is reported in ``error``.
     """
     ship(spark)
@@ -96,7 +97,8 @@ def scan_workbooks(
             for path, content in zip(batch["path"], batch["content"]):
                 yield from _batches(_workbook_rows(path, content, wanted))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    places = directory if isinstance(directory, str) else [literal_path(f) for f in directory]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(places)
     return files.select("path", "content").mapInPandas(read, SCAN_SCHEMA)
 
 
