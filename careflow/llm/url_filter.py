@@ -42,7 +42,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     starts with the rule's; the longest host and path together wins, then the longer host, then
     ``block``.  Without a rule the verdict is ``default``.  Null urls and urls without ``://`` have
     empty host and path and no rule; null ids and repeated rows stay, one result per row; other
-    columns are ignored.  Rules with a null part are ignored; an empty rule table fits nothing.
+    columns are ignored.  Rules with a null part are ignored; an empty rule table fits nothing.  A long url is
+    cut to as many labels and path lengths as rules have; an empty table gives no row.
     """
     named = (
         rules.select("host", "path", "verdict").dropna().distinct()
@@ -58,10 +59,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         F.array_sort(F.collect_set(F.length("rule_path"))).alias("lengths"),
     ).first()
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    # Equal rows share one judgement; narrow rows are shuffled once, and what follows keeps them in place.
-    rows = parsed.groupBy("page_id", "host", "path").agg(F.count(F.lit(1)).alias("copies"))
+    # Each host and path is judged once, however many pages have it.
+    urls = parsed.select("host", "path").distinct()
     if not shape["lengths"]:
-        return _result(rows.withColumn("best", F.lit(None).cast("struct<rule_verdict:string,rule:string>")), default)
+        return _result(parsed, urls.withColumn("best", F.lit(None).cast("struct<rule_verdict:string,rule:string>")), default)
     labels = F.split("host", r"\.")
     kept = F.least(F.size(labels), F.lit(shape["labels"]))
     suffixes = F.transform(
@@ -77,15 +78,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         F.length("rule_host").alias("host_size"), F.col("rule_verdict"),
         F.concat("rule_host", "rule_path").alias("rule"))))
     judged = (
-        rows.withColumn("digest", F.explode_outer(expressions))
+        urls.withColumn("digest", F.explode_outer(expressions))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
         .join(named, "prefix", "left")
-        .groupBy("page_id", "host", "path").agg(F.first("copies").alias("copies"), best.alias("best"))
+        .groupBy("host", "path").agg(best.alias("best"))
     )
-    return _result(judged, default)
+    return _result(parsed, judged, default)
 
 
-def _result(judged: DataFrame, default: str) -> DataFrame:
-    return judged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+def _result(parsed: DataFrame, judged: DataFrame, default: str) -> DataFrame:
+    """One row per page; pages of one url that is very frequent stay spread, as a join can be split."""
+    return parsed.join(judged, ["host", "path"]).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.rule_verdict"), F.lit(default)).alias("verdict"))

@@ -116,3 +116,13 @@ def test_long_conversations_in_linear_time(spark):
         assert time.time() - begun < 20  # 1 to 3 s; 100 s when it was quadratic
         assert (row.n_turns, row.n_blocks, row.read) == (64_000, blocks, 64_000)
         assert row.loss == "".join(f"a <turn> of # {i}" for i in range(64_000) if roles[i % 2] == "assistant")
+
+
+def test_one_url_on_very_many_pages_is_judged_once(spark):
+    """300,000 equal rows and as many pages of one url: the result stays spread over partitions."""
+    rules = spark.createDataFrame([("com", "/a", "block")], "host string, path string, verdict string")
+    equal = spark.range(300_000, numPartitions=6).select(F.lit(1).alias("page_id"), F.lit("http://x.com/ab").alias("url"))
+    found = url_filter.judge_urls(equal.unionByName(equal.withColumn("page_id", F.col("page_id") + 1)), rules)
+    sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 600_000 and len(sizes) >= 6
+    assert found.select("page_id", "rule", "verdict").distinct().count() == 2
