@@ -9,7 +9,7 @@ from careflow.catalog.registry import query, read
 from careflow.functions.naming import clean_column_names, find_columns, quoted, resolve_column
 from careflow.functions.temporal import parse_text_timestamp, render_date_columns
 from careflow.operators.filters import keyword_rows
-from careflow.operators.impute import fill_missing
+from careflow.operators.impute import approximate_medians, fill_missing
 from careflow.operators.keyword_join import keyword_semijoin
 from careflow.operators.projection import align, prefix_columns
 from careflow.operators.union import outer_union
@@ -160,6 +160,23 @@ def impute_median(spark, sf_dir):
     return _rounded(fill_missing(_gappy(spark, sf_dir), "median"))
 
 
+@query("median_approx_ranks", """SELECT name, n, true AS near FROM (
+  SELECT 'l_extendedprice' AS name, count(l_extendedprice) AS n FROM lineitem
+  UNION ALL SELECT 'l_quantity', count(l_quantity) FROM lineitem)""")
+def median_approx_ranks(spark, sf_dir):
+    """The rank of each approximate median, counted exactly, is as near to the middle as promised."""
+    lines, names, accuracy = read(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"], 1000
+    medians = approximate_medians(lines, names, accuracy).first()
+    # Equal values share ranks from the first to the last of them; the middle must be within reach of one.
+    ranks = lines.agg(*[x for c in names for x in (
+        F.count_if(F.col(c) < medians[c]).alias(f"{c}_below"), F.count_if(F.col(c) <= medians[c]).alias(f"{c}_upto"),
+        F.count(c).alias(f"{c}_n"))])
+    return ranks.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("name"), F.col(f"{c}_n").alias("n"),
+        ((F.col(f"{c}_below") <= F.col(f"{c}_n") * (0.5 + 1 / accuracy) + 1)
+         & (F.col(f"{c}_upto") >= F.col(f"{c}_n") * (0.5 - 1 / accuracy) - 1)).alias("near")) for c in names])))
+
+
 @query("impute_mode", _filled_sql(_mode_sql("amount"), _mode_sql('"user"'), _mode_sql("kind")))
 def impute_mode(spark, sf_dir):
     return _rounded(fill_missing(_gappy(spark, sf_dir), "mode"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from careflow.functions.naming import quoted
 from careflow.operators.filters import keyed_rows
+from careflow.sources.scratch import checkpointed
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows.  There can be at most
 # HOT_SHARE such keys whatever the data, which bounds what is broadcast.
@@ -76,7 +77,8 @@ def with_group_size(
 
     ``count(*) OVER (PARTITION BY keys)`` would bring a whole group into one task.
     Sizes are aggregated first, then joined back; rows of hot keys are spread over as
-    many salts as the key has shares of 1/``hot_share``.
+    many salts as the key has shares of 1/``hot_share``: by ``row_key`` if there is one, else one
+    after another, so that equal rows are spread as well.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     sizes = group_sizes(df, [F.col(quoted(k)).alias(n) for k, n in zip(keys, names)])
@@ -94,15 +96,28 @@ def with_group_size(
         ).alias("_salt_of_key"),
     )
     on_hot = [F.col(quoted(k)).eqNullSafe(F.col(f"h{n}")) for k, n in zip(keys, names)]
-    identity = [F.col(quoted(c)) for c in (row_key or df.columns)]
-    rows = df.join(F.broadcast(hot), on_hot, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*identity), F.col("_splits")).cast("int"), F.lit(0))
-    )
+    marked = df.join(F.broadcast(hot), on_hot, "left")
+    if row_key:
+        place = F.xxhash64(*[F.col(quoted(c)) for c in row_key])
+        rows = marked.withColumn("_salt", F.coalesce(F.pmod(place, F.col("_splits")).cast("int"), F.lit(0)))
+    else:
+        rows = _running_salts(marked)
     on_key = [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     joined = rows.join(salted_sizes, [*on_key, F.col("_salt") == F.col("_salt_of_key")], "inner")
     return joined.select(*[F.col(quoted(c)) for c in df.columns], "group_size")
 
 
+def _running_salts(marked: DataFrame) -> DataFrame:
+    """Salts dealt out one after another within each task.
+
+    The rows of hot keys are settled first: a task that runs again must deal the same salts.
+    """
+    cold = marked.filter(F.col("_splits").isNull()).withColumn("_salt", F.lit(0))
+    hot = checkpointed(marked.filter(F.col("_splits").isNotNull()))
+    dealt = F.pmod(F.monotonically_increasing_id(), F.col("_splits")).cast("int")
+    return cold.unionByName(hot.withColumn("_salt", dealt))
+
+
 def duplicate_members(
     df: DataFrame, keys: Sequence[str], row_key: Sequence[str] = ()
 ) -> DataFrame:

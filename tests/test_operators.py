@@ -239,3 +239,35 @@ def test_anchors_send_few_rows(spark):
     known[(anchor & np.uint64((1 << hashed.FILTER_BITS) - 1)).astype(np.int64)] = True
     assert len(keyword_join._pieces(b"need " * 5000, (4,), 6, known)) <= 2
     assert len(keyword_join._pieces(b"hay and straw " * 5000, (4,), 6, known)) == 0
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """A million equal rows, without a row key: over many partitions, each with the size of its group."""
+    df = spark.range(1_000_000, numPartitions=4).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    found = dedup.duplicate_members(df, ["k"])
+    # Without a broadcast, so that the rows have to move.
+    forced = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64",
+              "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in forced}
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        parts = found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.min("group_size"), F.max("group_size")).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(parts) >= 50 and sum(p["n"] for p in parts) == 1_000_000
+    assert {(p[2], p[3]) for p in parts} == {(1_000_000, 1_000_000)} and max(p["n"] for p in parts) < 60_000
+
+
+def test_approximate_median_keeps_its_promise(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 7919) % 20_011).cast("double").alias("x"), F.lit(None).cast("int").alias("none"),
+        F.when(F.col("id") % 2 == 0, "t").alias("t"))
+    known = sorted(r.x for r in df.where("x is not null").collect())
+    for accuracy in (50, 1000):
+        row = impute.approximate_medians(df, ["x", "none"], accuracy).first()
+        assert row["none"] is None
+        assert abs(known.index(row["x"]) - len(known) / 2) <= len(known) / accuracy + 1
+    filled = impute.fill_missing(df, "median_approx", 1000)
+    assert filled.where("x is null or t is null").isEmpty() and filled.where("none is not null").isEmpty()
