@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words looked at before and from a keyword on; no rule reaches further.
-REACH = 12
+REACH = 16
 
-BASE, TAGGED, GRANTED, NAMED, MENTIONED = range(5)
-CONFIDENCE = {BASE: 1.0, TAGGED: 0.95, GRANTED: 0.9, NAMED: 0.7, MENTIONED: 0.5}
+#: The last one tells more than its own words: it hides nothing that lies within it.
+BASE, TAGGED, GRANTED, NAMED, MENTIONED, EXPRESSED = range(6)
+CONFIDENCE = {BASE: 1.0, TAGGED: 0.95, GRANTED: 0.9, NAMED: 0.7, MENTIONED: 0.5, EXPRESSED: 0.5}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class Rule(NamedTuple):
@@ -95,6 +97,44 @@ CREATIVE_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 LONG_ELEMENTS = {
     "by": "attribution", "sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?derivatives?(?: works)?",
 }
+#: Sentences of the licenses' own texts and of the notices that go with them, and their addresses.
+TEXT_RULES = (
+    Rule("hereby", "permission is ", "hereby granted free of charge to any person obtaining a copy", "mit", GRANTED),
+    Rule("purpose", "permission to use copy modify and(?: or)? distribute this software for any ",
+         "purpose with or without fee is hereby granted", "isc", GRANTED),
+    Rule("redistribution", "", "redistribution and use in source and binary forms with or without modification", "bsd", GRANTED),
+    Rule("neither", "", r"neither the names? of (?:\S+ ){1,5}nor the names?", "bsd-3", GRANTED),
+    Rule("advertising", "all ", "advertising materials mentioning features or use of this software", "bsd-4", GRANTED),
+    Rule("express", "provided as is without any ", "express or implied warranty", "zlib", MENTIONED),
+    Rule("unencumbered", "this is free and ", "unencumbered software released into the public domain", "unlicense", GRANTED),
+    Rule("foundation", "gnu general public licen[cs]e as published by the free software ", "foundation (?:either )?version 3", "gpl-3", GRANTED),
+    Rule("foundation", "gnu general public licen[cs]e as published by the free software ", "foundation (?:either )?version 2", "gpl-2", GRANTED),
+    Rule("foundation", "lesser general public licen[cs]e as published by the free software ", "foundation (?:either )?version 3", "lgpl-3", GRANTED),
+    Rule("foundation", "lesser general public licen[cs]e as published by the free software ", "foundation (?:either )?version 2 1", "lgpl-2.1", GRANTED),
+    Rule("foundation", "affero general public licen[cs]e as published by the free software ", "foundation (?:either )?version 3", "agpl-3", GRANTED),
+    Rule("source", "subject to the terms of the mozilla public licen[cs]e v 2 0 this ", "source code form", "mpl-2", GRANTED),
+    Rule("mozilla", "subject to the terms of the ", "mozilla public licen[cs]e v 2 0", "mpl-2", GRANTED),
+    Rule("licensed", "(?:mit|expat|x11) ", "licensed", "mit", NAMED),
+    Rule("licenced", "(?:mit|expat|x11) ", "licenced", "mit", NAMED),
+    Rule("licensed", "bsd ", "licensed", "bsd", NAMED),
+    Rule("licensed", "isc ", "licensed", "isc", NAMED),
+    Rule("opensource", "", "opensource org licen[cs]es? mit", "mit", TAGGED),
+    Rule("opensource", "", "opensource org licen[cs]es? bsd 3 clause", "bsd-3", TAGGED),
+    Rule("opensource", "", "opensource org licen[cs]es? bsd 2 clause", "bsd-2", TAGGED),
+    Rule("opensource", "", "opensource org licen[cs]es? isc", "isc", TAGGED),
+    Rule("apache", "", "apache org licenses license 2 0", "apache-2", TAGGED),
+    Rule("gnu", "", "gnu org licenses gpl 3 0", "gpl-3", TAGGED),
+    Rule("gnu", "", "gnu org licenses (?:old licenses )?gpl 2 0", "gpl-2", TAGGED),
+    Rule("gnu", "", "gnu org licenses lgpl 3 0", "lgpl-3", TAGGED),
+    Rule("gnu", "", "gnu org licenses agpl 3 0", "agpl-3", TAGGED),
+    Rule("mozilla", "", "mozilla org (?:en us )?mpl 2 0", "mpl-2", TAGGED),
+    Rule("creativecommons", "", "creativecommons org publicdomain zero 1 0", "cc0-1", TAGGED),
+)
+#: Names that the short word MIT is put beside by AND, OR or WITH; alone it is no license.
+PARTNERS = (
+    ("apache", "apache(?: licen[cs]e)?(?: version| v)? ?2(?: 0)?"), ("gpl", "gpl(?: version| v)? ?[23](?: 0)?"),
+    ("bsd", "bsd(?: [234] clause)?"), ("mpl", "mpl 2(?: 0)?"), ("lgpl", "lgpl(?: v)? ?[23](?: [01])?"), ("unlicense", "unlicense"),
+)
 #: How a name is granted, named or mentioned: words before it, words after it, priority.
 FRAMES = (
     (r"(?:licen[cs]ed|released|distributed|published|available|provided|offered) (?:\S+ ){0,2}?under"
@@ -116,9 +156,14 @@ def _framed(label: str, keyword: str, before: str, onward: str) -> list[Rule]:
 
 def all_rules() -> tuple[Rule, ...]:
     """Several hundred rules: base phrases, SPDX tags, and every name in every frame."""
-    rules = list(BASE_RULES)
+    rules = [*BASE_RULES, *TEXT_RULES]
+    tag, more = "spdx licen[cs]e identifier", r"(?:\S+ ){1,9}(?:and|or|with)"
+    for keyword, name in PARTNERS:
+        rules.append(Rule(keyword, "mit (?:and|or|with) ", keyword, "mit", EXPRESSED))
+        rules.append(Rule(keyword, "", f"{name} (?:and|or|with) mit", "mit", EXPRESSED))
     for label, keyword, before, onward, spdx in FAMILIES:
-        rules.append(Rule("spdx", "", f"spdx licen[cs]e identifier {spdx}", label, TAGGED))
+        rules.append(Rule("spdx", "", f"{tag} {spdx}", label, TAGGED))
+        rules.append(Rule("spdx", "", f"{tag} {more} {spdx}", label, EXPRESSED))
         rules += _framed(label, keyword, before, onward)
     for elements in CREATIVE:
         label = "cc-" + elements.replace(" ", "-")
@@ -126,6 +171,7 @@ def all_rules() -> tuple[Rule, ...]:
         for version in CREATIVE_VERSIONS:
             rules.append(Rule("spdx", "", f"spdx licen[cs]e identifier cc {elements} {version}", label, TAGGED))
             rules.append(Rule("cc", "", f"cc {elements} {version}", label, NAMED))
+            rules.append(Rule("creativecommons", "", f"creativecommons org licenses {elements} {version}", label, TAGGED))
         rules += _framed(label, "cc", "", f"cc {elements}")
         rules += _framed(label, "creative", "", f"creative commons {spoken}")
     rules.append(Rule("spdx", "", "spdx licen[cs]e identifier cc0 1 0", "cc0-1", TAGGED))
@@ -156,13 +202,13 @@ def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] | None = None) -> Dat
     ``detections`` are all (start, end, priority, label) by word, end exclusive, sorted; ``kept`` the
     labels of those that no detection of the same or a better priority contains (the first of equal
     intervals counts); ``best`` is the best priority kept, null without any.  Null and empty texts
-    have no words and no detections; null ids and repeated rows stay; other columns are ignored; an
-    empty table gives no row.  Everything happens within a row, in one pass without a shuffle.
+    have no words and no detections; null ids and repeated rows stay; other columns are ignored; a long
+    text is looked at wherever a keyword stands, ``REACH`` words to each side; an empty table gives no row.  Everything happens within a row, in one pass without a shuffle.
     """
     rules = all_rules() if rules is None else rules
     keywords = sorted({r.keyword for r in rules})
     known = _literal(rules)
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _UPPER.lower())
     # The cheap gate: texts without any keyword are not looked at again.
     gate = F.lit(False)
     for keyword in keywords:

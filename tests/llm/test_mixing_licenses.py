@@ -164,6 +164,40 @@ def test_labels(spark):
     assert kept["2 clause bsd license"] == ["bsd-2"] and kept["All rights reserved."] == ["proprietary"]
 
 
+SIGNED = {
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated': ["mit"],
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided": ["bsd"],
+    "Neither the name of the copyright holder nor the names of its contributors may be used": ["bsd-3"],
+    "All advertising materials mentioning features or use of this software must display": ["bsd-4"],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,": ["isc"],
+    "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License": ["gpl-3"],
+    "the GNU Lesser General Public License as published by the Free Software Foundation; version 2.1 of": ["lgpl-2.1"],
+    "This is free and unencumbered software released into the public domain.": ["unlicense"],
+    "MIT licensed": ["mit"], "see https://creativecommons.org/licenses/by-sa/4.0/": ["cc-by-sa"],
+    "https://opensource.org/licenses/MIT": ["mit"], "http://www.apache.org/licenses/LICENSE-2.0": ["apache-2"],
+    "Apache-2.0 OR MIT": ["apache-2", "mit"], "MIT OR Apache-2.0": ["apache-2", "mit"],
+    "SPDX-License-Identifier: Apache-2.0 OR MIT": ["apache-2", "mit"],
+    "SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 OR ISC": ["gpl-2", "isc"],
+    "SPDX-License-Identifier: MIT AND BSD-3-Clause": ["bsd-3", "mit"],
+    "students of MIT or Yale, mit der Bahn": [], "permission is granted to any person": []}
+
+
+def test_texts_notices_addresses_and_expressions(spark):
+    found = scan(spark, list(SIGNED))
+    for i, (text, labels) in enumerate(SIGNED.items()):
+        got = set(found[i]["kept"])
+        # A sentence may tell more than one name, never a wrong one.
+        assert set(labels) <= got and not (got and not labels), (text, got)
+    only = {t: found[i]["kept"] for i, t in enumerate(SIGNED)}
+    assert only["MIT licensed"] == ["mit"] and only["Apache-2.0 OR MIT"] == ["apache-2", "mit"]
+
+
+def test_only_a_to_z_are_lowered(spark):
+    """Other capitals stay, as words are compared by the contract's letters."""
+    found = scan(spark, ["UNDER THE MIT LICENSE", "\u212aPL", "under the m\u0130t license"])
+    assert found[0]["kept"] == ["mit"] and found[1]["n_words"] == 1 and found[2]["kept"] == []
+
+
 def test_rules_by_hand(spark):
     """Detections and suppression against regexes over the joined words."""
     rng = random.Random(5)
