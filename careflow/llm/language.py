@@ -24,6 +24,8 @@ from careflow.llm.common import broadcast_if_small, cut, fold, in_tasks, text_ro
 #: Bounds of the labelled sample: documents and bytes of each language.
 SAMPLE_DOCS = 64
 SAMPLE_BYTES = 16384
+#: A language's documents are drawn from so many shares side by side.
+SHARES = 16
 #: From so much labelled text on the length of phrases tells whether a text is in the language at all.
 KNOWN_BYTES = 2048
 #: A text is parsed in pieces of so many bytes, side by side; a phrase ends with its piece.
@@ -180,10 +182,17 @@ def labelled_pieces(docs: DataFrame, held_out: int, parts: int) -> DataFrame:
     """
     rows = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), parts) != held_out))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # In two steps, so that no task gets some of a language from every other.
+    share = F.pmod(F.xxhash64("doc_id", F.lit("share")), F.lit(SHARES))
+    few = (
+        rows.select("lang", "doc_id").distinct().withColumn("part", share)
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+        .where(F.col("place") <= SAMPLE_DOCS)
+    )
     chosen = (
-        rows.select("lang", "doc_id").distinct()
-        .withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
+        few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+        .where(F.col("place") <= SAMPLE_DOCS)
         # A blank parts the pieces.
         .select("lang", "doc_id", (F.expr(f"{SAMPLE_BYTES} div count(*) OVER (PARTITION BY lang)") - 1).alias("share"))
     )
