@@ -114,6 +114,24 @@ def passages_shuffled(spark, sf_dir):
     return _passages(spark, sf_dir, max_nested_terms=0)
 
 
+@query("keyword_semijoin_shared_beginning", """SELECT o_orderkey, o_orderstatus FROM (
+  SELECT o_orderkey, o_orderstatus, 'sent to https://shop.example.com/customers/Customer#'
+    || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || ', thanks' AS note FROM orders) o
+WHERE EXISTS (SELECT 1 FROM customer c WHERE c_acctbal > 4000
+  AND contains(o.note, 'https://shop.example.com/customers/' || c_name))""")
+def shared_beginning(spark, sf_dir):
+    """Terms that share their first 44 bytes with each other and with every text."""
+    address = "https://shop.example.com/customers/"
+    number = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    notes = read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus",
+        F.concat(F.lit(f"sent to {address}Customer#"), number, F.lit(", thanks")).alias("note"))
+    customers = read(spark, sf_dir, "customer").where("c_acctbal > 4000")
+    terms = customers.select(F.concat(F.lit(address), "c_name").alias("term"))
+    found = keyword_semijoin(notes, "note", terms, "term", ["o_orderkey"])
+    return found.select("o_orderkey", "o_orderstatus")
+
+
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with values blanked by rules on other columns."""
     return read(spark, sf_dir, "events").select(

@@ -1,4 +1,4 @@
-"""Hashes of all windows of a text at once, and a bit set of hashes of fixed size."""
+"""Hashes of all windows of a text at once, and a bit set of hashes, sized by their number."""
 
 from __future__ import annotations
 
@@ -6,8 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A bit set of this many bits is one megabyte, whatever it holds.
-FILTER_BITS = 23
+# Bits for each hash, and the log of the most: 8 MB, and eight times that unpacked in a worker.
+BITS_EACH = 16
+MOST_BITS = 26
+MOST_HASHES = (1 << MOST_BITS) // BITS_EACH
+# Where a hash holds the places in its block; the low MOST_BITS pick the block.
+PROBES = (40, 46, 52)
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -33,14 +37,25 @@ def window_hashes(text: bytes, lengths: tuple[int, ...]) -> dict[int, np.ndarray
         length, power = length * 2, power * power % (1 << 64)
 
 
-def bit_filter(hashes: DataFrame, column: str) -> bytes:
-    """The low bits of all hashes as one bit set, made in parts of 4 KB."""
-    place = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+def filter_bits(n: int) -> int:
+    """Log of the bits of a filter of ``n`` hashes: 16 to 32 for each of them, from 8 KB to 8 MB."""
+    return min(max((BITS_EACH * n - 1).bit_length(), 16), MOST_BITS)
+
+
+def bit_filter(hashes: DataFrame, column: str, bits: int) -> bytes:
+    """All hashes as a blocked Bloom filter of 2^``bits`` bits, made in parts of 4 KB.
+
+    The low bits of a hash pick a block of 64 bits, high bits ``PROBES`` places in it.
+    """
+    h = F.col(column)
+    block = h.bitwiseAND(F.lit((1 << bits) - 64))
+    places = [block + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)) + 1 for shift in PROBES]
     parts = (
-        hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+        hashes.select(F.explode(F.array(*places)).alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
     )
-    whole = bytearray((1 << FILTER_BITS) // 8)
+    whole = bytearray((1 << bits) // 8)
     for part in parts:
         at = (part["bucket"] - 1) * len(part["bits"])
         whole[at:at + len(part["bits"])] = part["bits"]
@@ -52,5 +67,10 @@ def unpacked(bits: bytes) -> np.ndarray:
 
 
 def passes(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which hashes may be in the set; those that are in it always pass."""
-    return known[(hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]
+    """Indices of hashes that may be in the set; those that are in it always pass."""
+    block, at = hashes & np.uint64(len(known) - 64), None
+    for shift in PROBES:
+        place = (block + (hashes >> np.uint64(shift) & np.uint64(63))).astype(np.int64)
+        hit = np.flatnonzero(known[place])
+        at, block, hashes = hit if at is None else at[hit], block[hit], hashes[hit]
+    return at

@@ -36,7 +36,8 @@ def test_query(spark, con, name):
     assert check_oracles.compare(spark, con, SF, name) is None
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(catalog.QUERIES) if n.startswith("keyword_semijoin")])
+@pytest.mark.parametrize("name", [
+    n for n in sorted(catalog.QUERIES) if n.startswith("keyword_semijoin") and "beginning" not in n])
 def test_every_passage_is_searched_as_a_whole(spark, tmp_path, name):
     passages = ["shared beginning of one", "shared beginning of two", "another passage"]
     texts = [f"so {p} it is" for p in passages] + ["shared beginning of none", "another pass", None]

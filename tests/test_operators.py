@@ -225,20 +225,59 @@ def test_keyword_semijoin_by_anchors_property(spark, texts, terms):
 
 
 def test_terms_across_blocks_and_longer_than_them(spark, monkeypatch):
-    text = "".join(chr(97 + i * i % 23) for i in range(5000))
-    known = np.ones(1 << hashed.FILTER_BITS, bool)
+    text = "".join(chr(97 + i * i % 23) for i in range(5000)).encode()
+    known = np.ones(1 << 16, bool)
     monkeypatch.setattr(keyword_join, "BLOCK", 64)
-    pieces = keyword_join._pieces(text.encode(), (1, 2, 32), 300, known)
-    assert {p for _, p in pieces if len(p) == 300} == {text[i:i + 300].encode() for i in range(len(text) - 299)}
+    pieces = keyword_join._pieces(text, {1: (0, 1), 2: (1, 2), 32: (100, 200)}, known)
+    assert {p for _, _, p in pieces if len(p) == 300} == {text[i:i + 300] for i in range(len(text) - 299)}
+    assert {(at, p) for _, at, p in pieces if len(p) <= 3} >= {(1, text[i:i + 3]) for i in range(len(text) - 2)}
 
 
 def test_anchors_send_few_rows(spark):
     """Texts without terms send nothing; what is sent doesn't grow with repeats in a text."""
-    known = np.zeros(1 << hashed.FILTER_BITS, bool)
-    anchor = hashed.window_hashes(b"need", (4,))[4]
-    known[(anchor & np.uint64((1 << hashed.FILTER_BITS) - 1)).astype(np.int64)] = True
-    assert len(keyword_join._pieces(b"need " * 5000, (4,), 6, known)) <= 2
-    assert len(keyword_join._pieces(b"hay and straw " * 5000, (4,), 6, known)) == 0
+    anchors = spark.createDataFrame(
+        [(int(hashed.window_hashes(b"need", (4,))[4].view(np.int64)[0]),)], "h long")
+    known = hashed.unpacked(hashed.bit_filter(anchors, "h", 16))
+    assert known.sum() <= len(hashed.PROBES)
+    assert 1 <= len(keyword_join._pieces(b"need " * 5000, {4: (1, 5)}, known)) <= 3
+    assert len(keyword_join._pieces(b"hay and straw " * 5000, {4: (1, 5)}, known)) == 0
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_filter_lets_few_others_pass(spark, n):
+    hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
+    bits = hashed.filter_bits(n)
+    known = hashed.unpacked(hashed.bit_filter(hashes, "h", bits))
+    inside = np.array([r.h for r in hashes.collect()], np.int64).view(np.uint64)
+    others = np.random.default_rng(5).integers(0, 1 << 63, 100_000, np.uint64)
+    assert len(known) == 1 << bits and len(hashed.passes(inside, known)) == n
+    assert len(hashed.passes(others, known)) < 1500
+    assert hashed.filter_bits(10 ** 12) == hashed.MOST_BITS
+
+
+def test_terms_with_a_common_beginning_have_anchors_of_their_own(spark):
+    """100,000 addresses that share 32 bytes and more; no window stands for many of them."""
+    terms = spark.range(100_000).select(
+        F.concat(F.lit("https://www.example.com/articles/of/"), F.hash("id").cast("string"), F.lit(".html"))
+        .alias("_term"))
+    counts = keyword_join._sketch(terms.select(F.col("_term").cast("binary")), (32,))
+    anchored = keyword_join._anchored_terms(terms, spark.sparkContext.broadcast(counts))
+    assert anchored.groupBy("_anchor").count().agg(F.max("count")).first()[0] <= 20
+    texts = terms.withColumnRenamed("_term", "t").limit(3000).select(
+        F.monotonically_increasing_id().alias("id"), F.concat(F.lit("see "), "t", F.lit(" or https://www.example.com/articles/of/none.html")).alias("t"))
+    odd = texts.withColumn("t", F.when(F.col("id") % 2 == 1, F.regexp_replace("t", "html", "htm")).otherwise(F.col("t")))
+    found = keyword_join.keyword_semijoin(odd, "t", terms, "_term", ["id"])
+    assert found.count() == odd.filter("id % 2 = 0").count()
+
+
+def test_large_vocabularies_are_looked_up_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(keyword_join, "MOST_HASHES", 3)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta"]
+    texts = [f"the {w} of it" for w in words] + ["alph", "", "zet eth"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    vocabulary = spark.createDataFrame([(w,) for w in words], "w string")
+    found = keyword_join.keyword_semijoin(docs, "t", vocabulary, "w", ["id"], 0)
+    assert sorted(r.id for r in found.collect()) == list(range(len(words)))
 
 
 def test_equal_rows_of_a_hot_key_are_spread(spark):
