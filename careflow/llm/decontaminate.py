@@ -11,6 +11,7 @@ import heapq
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careflow.llm.common import cut, in_tasks
+from careflow.operators import hashed
+from careflow.operators.hashed import mixed, passes, unpacked
 
 #: Words of the shortest tile, and the share of an item's words that tiles must cover.
 LEAST = 5
 COVERAGE = 0.8
-#: Bits of the filter of seeds that benchmark items have: 1 MB, whatever their number.
-FILTER_BITS = 23
 #: Pairs of equal windows that are looked at together.
 PAIRS = 1 << 20
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -33,12 +34,6 @@ _BASE = 0x9E3779B97F4A7C15
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
 class WordHasher:
     """Hashes of all words of a text at once: differences of running polynomials over its bytes."""
 
@@ -59,7 +54,7 @@ class WordHasher:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         running = np.cumsum(np.r_[np.uint64(0), (data.astype(np.uint64) + np.uint64(1)) * self.powers[:len(data)]])
-        return _mixed((running[ends] - running[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+        return mixed((running[ends] - running[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
 
 
 def rolled(words: np.ndarray, width: int) -> np.ndarray:
@@ -70,7 +65,7 @@ def rolled(words: np.ndarray, width: int) -> np.ndarray:
     running = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
         running = running * np.uint64(_BASE) + words[i:len(words) - width + 1 + i]
-    return _mixed(running)
+    return mixed(running)
 
 
 def lowered(text: str | None) -> bytes:
@@ -196,17 +191,16 @@ def _suspects(docs: DataFrame, widths: list[int], fewest: int, keep: bytes) -> D
         docs.schema["doc_id"], T.StructField("doc_key", T.LongType()), T.StructField("text", T.StringType()),
         T.StructField("seeds", T.ArrayType(T.LongType()))])
     bits = docs.sparkSession.sparkContext.broadcast(keep)
-    low = np.uint64((1 << FILTER_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        known = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").astype(bool)
+        known = unpacked(bits.value)
         for batch in batches:
             owner, seeds = [], []
             for at, text in enumerate(batch.column(2)):
                 words = hasher(lowered(text.as_py()))
                 own = np.concatenate([rolled(words, w) for w in widths])
-                own = np.unique(own[known[(own & low).astype(np.int64)]])
+                own = np.unique(own[passes(own, known)])
                 if len(own) >= fewest:
                     owner.append(at)
                     seeds.append(own.view(np.int64))
@@ -219,20 +213,6 @@ def _suspects(docs: DataFrame, widths: list[int], fewest: int, keep: bytes) -> D
     return in_tasks(docs, run, schema)
 
 
-def _filter_of(seeds: DataFrame) -> bytes:
-    """The low bits of all seeds as one bit set of ``2 ** FILTER_BITS`` bits, built in parts."""
-    place = F.col("seed").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
-    parts = (
-        seeds.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    )
-    whole = bytearray((1 << FILTER_BITS) // 8)
-    for part in parts:
-        at = (part["bucket"] - 1) * len(part["bits"])
-        whole[at:at + len(part["bits"])] = part["bits"]
-    return bytes(whole)
-
-
 def _tiled(pairs: DataFrame, least: int) -> DataFrame:
     """``doc_id, doc_key, item_id, n_words, n_covered, n_tiles`` of pairs with both texts."""
     schema = T.StructType([
@@ -268,7 +248,8 @@ def contaminated(
     ignored; an empty table gives no row.
 
     Documents are hashed where they are, in one pass; only those with enough seeds that pass a filter of
-    the benchmark's seeds, of fixed size, go on.  Tiles of ``least`` words or more that cover the share
+    the benchmark's seeds, sized by their number, go on.  If there are more seeds than the largest filter is
+    for, items are taken in rounds, each with a filter and a pass of its own.  Tiles of ``least`` words or more that cover the share
     hold at least that share over ``least`` of the item's runs as seeds, so other pairs need no tiling.
     Runs that an item repeats are one seed, so documents are held to the fewest different ones of any item.
     """
@@ -299,11 +280,25 @@ def _covered(docs: DataFrame, items: DataFrame, coverage: float, least: int) ->
         .select("item_id", key.alias("item_key"), "text").distinct()
     )
     seeds = cut(_item_seeds(items, float(coverage), least))
-    shape = seeds.agg(F.collect_set("width").alias("widths"), F.min("distinct").alias("distinct")).first()
-    widths, distinct = sorted(shape["widths"]), max(1, shape["distinct"] or 1)
-    suspects = cut(_suspects(docs, widths or [least], distinct, _filter_of(seeds)).distinct())
+    shape = seeds.agg(
+        F.collect_set("width").alias("widths"), F.min("distinct").alias("distinct"), F.count("*").alias("n")).first()
+    rounds = max(1, -(-shape["n"] // hashed.MOST_HASHES))
+    widths, distinct = sorted(shape["widths"]) or [least], max(1, shape["distinct"] or 1)
+    bits = hashed.filter_bits(-(-shape["n"] // rounds))
+    turn = F.pmod(F.xxhash64("item_id", "item_key"), F.lit(rounds))
+    found = []
+    for i in range(rounds):
+        now = seeds if rounds == 1 else seeds.where(turn == i)
+        keep = hashed.bit_filter(now, "seed", bits)
+        found.append(_tiled(_pairs(cut(_suspects(docs, widths, distinct, keep).distinct()), now, items), least))
+    return reduce(DataFrame.unionAll, found).where(
+        F.col("n_covered") >= F.ceil(F.col("n_words") * F.lit(float(coverage)) - 1e-9))
+
+
+def _pairs(suspects: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame:
+    """Documents and items, with both texts, that share as many seeds as coverage takes."""
     texts = suspects.select(F.col("doc_id").alias("text_id"), F.col("doc_key").alias("text_key"), "text")
-    pairs = (
+    return (
         suspects.select("doc_id", "doc_key", F.explode("seeds").alias("seed"))
         .join(seeds, "seed").groupBy("doc_id", "doc_key", "item_id", "item_key")
         .agg(F.sum("n").alias("hits"), F.first("fewest").alias("fewest"))
@@ -311,5 +306,3 @@ def _covered(docs: DataFrame, items: DataFrame, coverage: float, least: int) ->
         .join(texts, F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("doc_key") == F.col("text_key")))
         .join(items.withColumnRenamed("text", "item_text"), ["item_id", "item_key"])
     )
-    return _tiled(pairs, least).where(
-        F.col("n_covered") >= F.ceil(F.col("n_words") * F.lit(float(coverage)) - 1e-9))

@@ -108,6 +108,19 @@ def test_items_that_repeat_themselves(spark):
         assert found == by_hand(docs, bench) and {r[1] for r in found} == {i for i, _ in bench}
 
 
+def test_many_seeds_are_taken_in_rounds(spark, monkeypatch):
+    """More seeds than one filter is for: items go in rounds, and no pair is lost."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((3, 12, 30, 30, 30, 60))]
+    docs = [(i, f"{word()} {t} {word()}") for i, t in items] + [(50, " ".join(t for _, t in items)), (51, word())]
+    monkeypatch.setattr(d.hashed, "MOST_HASHES", 40)
+    found = sorted(map(tuple, d.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id int, text string")).collect()))
+    assert found == by_hand(docs, items) and len(found) == 2 * len(items)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
