@@ -6,12 +6,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bits for each hash, and the log of the most: 8 MB, and eight times that unpacked in a worker.
-BITS_EACH = 16
+# Bits for each hash, and the logs of the fewest (1 MB) and of the most: 8 MB, and eight times that
+# unpacked in a worker.
+BITS_EACH = 32
+LEAST_BITS = 23
 MOST_BITS = 26
 MOST_HASHES = (1 << MOST_BITS) // BITS_EACH
 # Where a hash holds the places in its block; the low MOST_BITS pick the block.
-PROBES = (40, 46, 52)
+PROBES = (40, 46, 52, 58)
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -38,8 +40,8 @@ def window_hashes(text: bytes, lengths: tuple[int, ...]) -> dict[int, np.ndarray
 
 
 def filter_bits(n: int) -> int:
-    """Log of the bits of a filter of ``n`` hashes: 16 to 32 for each of them, from 8 KB to 8 MB."""
-    return min(max((BITS_EACH * n - 1).bit_length(), 16), MOST_BITS)
+    """Log of the bits of a filter of ``n`` hashes: at least ``BITS_EACH`` for each, up to ``MOST_HASHES``."""
+    return min(max((BITS_EACH * n - 1).bit_length(), LEAST_BITS), MOST_BITS)
 
 
 def bit_filter(hashes: DataFrame, column: str, bits: int) -> bytes:

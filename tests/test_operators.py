@@ -243,15 +243,15 @@ def test_anchors_send_few_rows(spark):
     assert len(keyword_join._pieces(b"hay and straw " * 5000, {4: (1, 5)}, known)) == 0
 
 
-@pytest.mark.parametrize("n", [10, 5000])
+@pytest.mark.parametrize("n", [10, 300_000])
 def test_filter_lets_few_others_pass(spark, n):
     hashes = spark.range(n).select(F.xxhash64("id").alias("h"))
     bits = hashed.filter_bits(n)
     known = hashed.unpacked(hashed.bit_filter(hashes, "h", bits))
     inside = np.array([r.h for r in hashes.collect()], np.int64).view(np.uint64)
-    others = np.random.default_rng(5).integers(0, 1 << 63, 100_000, np.uint64)
+    others = np.random.default_rng(5).integers(0, 1 << 64, 100_000, np.uint64)
     assert len(known) == 1 << bits and len(hashed.passes(inside, known)) == n
-    assert len(hashed.passes(others, known)) < 1500
+    assert len(hashed.passes(others, known)) < 300
     assert hashed.filter_bits(10 ** 12) == hashed.MOST_BITS
 
 
