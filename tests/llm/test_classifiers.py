@@ -1,7 +1,11 @@
 """Toxicity and quality: held-out accuracy, whole texts, odd input."""
 
+import math
+import re
+
 import numpy as np
 import pytest
+import zstandard
 
 from careflow.llm import quality, toxicity
 
@@ -105,3 +109,77 @@ def test_training_is_repeatable():
     chunks[labels == 1, 100:104] = [200, 201, 202, 203]
     a, b = quality.train(chunks, labels), quality.train(chunks, labels)
     assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+
+
+def probability_by_hand(x, c):
+    """Logistic regression on kept-in-range, standardised features, a number at a time."""
+    total = c.beta[0]
+    for k, value in enumerate(x):
+        total += c.beta[k + 1] * (min(max(value, c.low[k]), c.high[k]) - c.center[k]) / c.spread[k]
+    return 1 / (1 + math.exp(-total))
+
+
+def distances_by_hand(text, model):
+    """How much shorter the toxic dictionary makes each window: a window takes words until it has 40 bytes."""
+    words = re.findall("[0-9A-Za-z\u0080-\U0010ffff]+", text.lower())
+    blocks, now = [], ""
+    for word in words:
+        now += " " + word
+        if len(now.encode()) >= toxicity.WINDOW:
+            blocks.append(now + " ")
+            now = ""
+    blocks += [now + " "] if now else []
+
+    def size(window, dictionary):
+        settings = zstandard.ZstdCompressionParameters(
+            window_log=17, hash_log=15, chain_log=15, search_log=5, min_match=5, target_length=24,
+            strategy=zstandard.STRATEGY_LAZY2, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+            write_content_size=False, write_checksum=False, write_dict_id=False)
+        data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(compression_params=settings)
+        return len(zstandard.ZstdCompressor(compression_params=settings, dict_data=data).compress(window.encode()))
+
+    return [size(b, model.ordinary) - size(b, model.toxic) for b in blocks]
+
+
+def test_toxicity_by_hand(spark):
+    good = "these are some plain words that everybody uses on most days "
+    bad = "pathetic worthless scum you disgusting moron "
+    rows = [(i, good * (1 + i % 5) + (bad if i % 2 else "") + good * (i % 3)) for i in range(80)]
+    rows += [(100, ""), (101, "é ü 新冠 words, " * 30), (102, good * 40 + bad + good * 40), (103, "!! ??")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    for doc_id, text in rows[::7] + rows[-4:]:
+        d = distances_by_hand(text, model) or [0]
+        at_least = {k: sum(v >= k for v in d) for k in (1, 2, 3, 4, 5)}
+        top = sorted(d)[-3:]
+        x = [min(max(d), 12), sum(top) / len(top), sum(d) / len(d), math.log(1 + len(d)),
+             *(math.log(1 + at_least[k]) for k in (2, 3, 4, 5)), *(at_least[k] / len(d) for k in (1, 2, 3, 5))]
+        assert abs(found[doc_id] - probability_by_hand(x, model.probability)) < 1e-9
+    assert max(distances_by_hand(bad, model)) >= 3 > max(distances_by_hand(good, model))
+
+
+def test_quality_by_hand(spark):
+    """Chunks of two blocks that overlap by one, maxima over all their places, one probability."""
+    good, bad = "A sentence that was written with care. ", "clck HERE!!! $$$ buy "
+    rows = [(i, (good if i % 2 else bad) * (1 + i % 9)) for i in range(60)]
+    rows += [(100, ""), (101, good * 30 + bad * 9 + good * 5), (102, "é" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    network, probability = quality.learn(docs, labels)
+    found = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, labels).collect()}
+    for doc_id, text in rows[3:9] + rows[-3:]:
+        data = text.encode()
+        blocks = -(-(len(data) + quality.WIDTH - 1) // quality.BLOCK)
+        padded = data + bytes(blocks * quality.BLOCK + quality.WIDTH - len(data))
+        seen = np.array([
+            sum(network.filters[k, padded[p + k]].astype(float) for k in range(quality.WIDTH))
+            for p in range(blocks * quality.BLOCK)])
+        logits = []
+        for first in range(max(1, blocks - 1)):
+            pooled = seen[first * quality.BLOCK:(first + 2) * quality.BLOCK].max(axis=0)
+            logits.append(float(np.maximum(pooled + network.bias, 0) @ network.dense + network.offset))
+        x = [sum(logits) / len(logits), min(logits), max(logits), math.log(len(logits))]
+        assert abs(found[doc_id] - probability_by_hand(x, probability)) < 1e-3
