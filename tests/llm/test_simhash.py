@@ -1,5 +1,6 @@
 """SimHash: fingerprints, links and components against brute force."""
 
+import math
 import random
 import re
 from itertools import combinations
@@ -156,3 +157,37 @@ def test_components(spark):
     own = [n for n in roots if n >= 2000]
     assert all((roots[a] == roots[b]) == (top(a) == top(b)) for a, b in combinations(own, 2))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_copies_of_a_fingerprint_by_their_number():
+    """The figures of the docstring; more fingerprints never make a coarser grid."""
+    sizes = [256_000, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9, 10 ** 10]
+    assert [math.comb(simhash.n_blocks(4, n), 4) for n in sizes] == [15, 15, 35, 35, 70, 210]
+    assert all(simhash.n_blocks(4, 2 ** k) <= simhash.n_blocks(4, 2 ** (k + 1)) <= 32 for k in range(60))
+    assert simhash.n_blocks(4, 0) == simhash.n_blocks(4, 1) == 5
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 7, 9])
+def test_links_are_the_same_in_any_grid(spark, monkeypatch, blocks):
+    rng = random.Random(9)
+    points = [rng.getrandbits(64) for _ in range(40)]
+    for _ in range(160):
+        flipped = rng.choice(points)
+        for bit in rng.sample(range(64), rng.randint(1, 6)):
+            flipped ^= 1 << bit
+        points.append(flipped)
+    points = sorted({p - (1 << 64) if p >> 63 else p for p in points})
+    monkeypatch.setattr(simhash, "n_blocks", lambda distance, size: blocks)
+    links = {(r.a, r.b) for r in simhash.close_links(spark.createDataFrame([(p,) for p in points], "fp long")).collect()}
+    root = {p: p for p in points}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in links:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 4
+        root[top(a)] = top(b)
+    close = [(a, b) for i, a in enumerate(points) for b in points[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+    assert len(close) > 60 and all(top(a) == top(b) for a, b in close)
